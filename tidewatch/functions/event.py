@@ -49,18 +49,18 @@ def bytes_changed(length: Column) -> Column:
 
 
 def _host_part(server_name: Column, position: int) -> Column:
-    parts = F.split(server_name, "[.]")
-    return F.when(F.size(parts) >= 2, F.get(parts, F.lit(position)))
+    part = F.split_part(server_name, F.lit("."), F.lit(position))
+    return F.when(server_name.contains("."), part)
 
 
 def language(server_name: Column) -> Column:
     """First host label, null for a host without a dot."""
-    return _host_part(server_name, 0)
+    return _host_part(server_name, 1)
 
 
 def project(server_name: Column) -> Column:
     """Second host label, null for a host without a dot."""
-    return _host_part(server_name, 1)
+    return _host_part(server_name, 2)
 
 
 def event_key(meta: Column, event_id: Column) -> Column:

@@ -8,19 +8,19 @@ from tidewatch.functions import event as ev
 KEY = "event_key"
 
 
-def with_event_key(events: DataFrame) -> DataFrame:
-    return events.withColumn(KEY, ev.event_key(F.col("meta"), F.col("id")))
-
-
-def _split(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return keyed.filter(F.col(KEY).isNotNull()), keyed.filter(F.col(KEY).isNull())
+def _split(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events with a key, in ``event_key``, and events without one. The second filter names the
+    stored columns, so a scan skips all row groups where every event has an id."""
+    anonymous = F.col("meta.id").isNull() & F.col("id").isNull()
+    keyed = events.withColumn(KEY, ev.event_key(F.col("meta"), F.col("id")))
+    return keyed.filter(~anonymous), events.filter(anonymous)
 
 
 def dedup_events(events: DataFrame) -> DataFrame:
     """One row per event key. Copies are combined before the shuffle, so many copies of one
     event do not meet in one task. Which copy stays is not defined."""
-    identified, anonymous = _split(with_event_key(events))
-    return identified.dropDuplicates([KEY]).unionByName(anonymous).drop(KEY)
+    identified, anonymous = _split(events)
+    return identified.dropDuplicates([KEY]).drop(KEY).unionByName(anonymous)
 
 
 def dedup_stream(
@@ -35,13 +35,11 @@ def dedup_stream(
     one task. ``spread`` (an expression that differs between copies, such as the topic offset)
     first removes copies per key and one of 16 slices of it.
     """
-    identified, anonymous = _split(
-        with_event_key(events).withWatermark(event_time, delay)
-    )
+    identified, anonymous = _split(events.withWatermark(event_time, delay))
     if spread is not None:
         identified = (
             identified.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(16)))
             .dropDuplicatesWithinWatermark([KEY, "_slice"])
             .drop("_slice")
         )
-    return identified.dropDuplicatesWithinWatermark([KEY]).unionByName(anonymous).drop(KEY)
+    return identified.dropDuplicatesWithinWatermark([KEY]).drop(KEY).unionByName(anonymous)

@@ -84,7 +84,7 @@ def traffic_count_window(records: DataFrame, size: int = COUNT_WINDOW) -> DataFr
     pass is needed; the row is labelled with its latest event time.
     """
     return (
-        records.groupBy("partition", F.floor(F.col("offset") / size).alias("_window"))
+        records.groupBy("partition", (F.col("offset") - F.col("offset") % size).alias("_first"))
         .agg(F.max("event_time").alias("window_start"), *traffic_totals())
         .filter(F.col("event_count") == size)
         .transform(with_average)

@@ -27,17 +27,20 @@ def value_counts(df: DataFrame, measure: str, counted: str) -> DataFrame:
     return df.groupBy(measure).agg(F.count(F.lit(1)).alias(counted))
 
 
-def rank_top(df: DataFrame, measure: str, keys: list[str], k: int) -> DataFrame:
+def rank_top(
+    df: DataFrame, measure: str, keys: list[str], k: int, sizes: DataFrame | None = None
+) -> DataFrame:
     """The ``k`` first rows with ``rank`` (1..k, unique) and ``percentile``.
 
     ``percentile`` is the percent rank over all of ``df``: the share of the other rows that have
     a larger ``measure``, equal for ties and 0 for the first. A plain window would sort every row
     in one task; here the ranks come from the k rows, and the percentiles from the counts per
-    value.
+    value. ``sizes`` may give the same ``measure`` values as ``df`` where they are cheaper to
+    compute alone.
     """
     largest_first = Window.orderBy(F.desc(measure))
     places = (
-        value_counts(df, measure, "_rows")
+        value_counts(df if sizes is None else sizes, measure, "_rows")
         .withColumns(
             {
                 "_larger": F.coalesce(

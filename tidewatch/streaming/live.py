@@ -20,17 +20,13 @@ BATCH = "batch_id"
 _LIVE_PARTITIONS = {DAY: DateType(), BATCH: LongType()}
 
 
-def _by_day(df: DataFrame, time: str) -> DataFrame:
-    return df.withColumn(DAY, F.to_date(time))
-
-
 # --- recent changes: append only ----------------------------------------------------------
 
 
 def recent_changes_writer(changes: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append change rows by day; the file sink's commit log makes each batch count once."""
     return (
-        _by_day(changes, "event_time")
+        changes.withColumn(DAY, F.to_date("event_time"))
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(DAY)
@@ -58,7 +54,7 @@ def traffic_writer(traffic: DataFrame, path: str, checkpoint: str) -> DataStream
     watermark passes it; here an open window is visible and a later batch supersedes it."""
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        _write_batch(_by_day(rows, "window_start"), path, batch_id)
+        _write_batch(rows, "window_start", path, batch_id)
 
     return (
         traffic.writeStream.outputMode("update")
@@ -93,11 +89,9 @@ def live_tables_writer(
     def store(rows: DataFrame, batch_id: int) -> None:
         batch = rows.persist()
         try:
-            _write_batch(_by_day(batch, "event_time"), changes_path(root), batch_id)
+            _write_batch(batch, "event_time", changes_path(root), batch_id)
             _write_batch(
-                _by_day(traffic_volume(batch, window), "window_start"),
-                traffic_path(root),
-                batch_id,
+                traffic_volume(batch, window), "window_start", traffic_path(root), batch_id
             )
         finally:
             batch.unpersist()
@@ -139,9 +133,11 @@ def _retained(rows: DataFrame, time: str, hours: int, as_of: clock.AsOf) -> Data
     return keep_recent(rows.filter(F.col(DAY) >= first_day), time, hours, as_of).drop(DAY, BATCH)
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+def _write_batch(rows: DataFrame, time: str, path: str, batch_id: int) -> None:
+    """Replace the batch's own partitions; files are in time order, so their statistics prune."""
     (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        rows.withColumns({DAY: F.to_date(time), BATCH: F.lit(batch_id).cast("bigint")})
+        .sortWithinPartitions(DAY, BATCH, time)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY, BATCH)
