@@ -54,12 +54,12 @@ def decode(payloads: DataFrame, schema: StructType, reject_null_length: bool = F
     which otherwise counts as 0.
     """
     as_text = ", ".join(f"`{name}` STRING" for name in schema.fieldNames())
-    parsed = payloads.withColumn(
-        "_event",
-        F.from_json(
-            "payload", f"{as_text}, {_CORRUPT} STRING", {"columnNameOfCorruptRecord": _CORRUPT}
-        ),
+    event = F.from_json(
+        "payload", f"{as_text}, {_CORRUPT} STRING", {"columnNameOfCorruptRecord": _CORRUPT}
     )
+    # Exploding a one-element array keeps a later filter on the parsed event from being pushed
+    # below it, where it would parse every payload a second time.
+    parsed = payloads.select("*", F.explode(F.array(event)).alias("_event"))
     event = F.col("_event")
     reason = F.when(
         event.isNull() | event.getField(_CORRUPT).isNotNull(), MALFORMED
