@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import event as ev
-from tidewatch.operators.ingest import enrich_events, filter_events, project_schema
+from tidewatch.operators.ingest import enrich_events, filter_events
 from tidewatch.operators.live import recent_changes
 from tidewatch.schemas import RAW_SCHEMA
 
@@ -35,42 +35,34 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque*")
 
 
+_SERVER_ARRAY = ", ".join(f"'{name}'" for name in SERVERS)
+_FILLED = {
+    "id": "event_id",
+    "timestamp": "unix_seconds(cast(ts AS timestamp))",
+    "type": """CASE WHEN event_type IN ('view', 'click') THEN 'edit'
+        WHEN event_type = 'purchase' THEN 'new' WHEN event_type = 'signup' THEN 'log'
+        ELSE 'categorize' END""",
+    "bot": "CASE WHEN event_id % 97 <> 0 THEN user_id % 5 = 0 END",
+    "minor": "event_id % 3 = 0",
+    "user": "concat('user_', user_id)",
+    "server_name": f"element_at(array({_SERVER_ARRAY}), cast(1 + (event_id * 7 + user_id) % 7 AS int))",
+    "title": """concat(CASE event_id % 8 WHEN 0 THEN 'Talk:Page_' WHEN 2 THEN 'User:Page_'
+        WHEN 4 THEN 'Template:Page_' ELSE 'Page_' END, event_id % 200)""",
+    "namespace": "cast(event_id % 16 AS int)",
+    "length": """named_struct('old', cast(regexp_extract(props, '[0-9]+', 0) AS int) * 10,
+        'new', cast(floor(value * 10) AS int))""",
+    "log_params": "CASE WHEN event_type = 'signup' THEN replace(props, ' ', '') END",
+}
+
+
 def to_raw(events: DataFrame) -> DataFrame:
-    """Rows of ``events`` in the raw event's shape."""
-    event_id, kind = F.col("event_id"), F.col("event_type")
-    event_type = (
-        F.when(kind.isin("view", "click"), "edit")
-        .when(kind == "purchase", "new")
-        .when(kind == "signup", "log")
-        .otherwise("categorize")
-    )
-    prefix = (
-        F.when(event_id % 8 == 0, "Talk:Page_")
-        .when(event_id % 8 == 2, "User:Page_")
-        .when(event_id % 8 == 4, "Template:Page_")
-        .otherwise("Page_")
-    )
-    server = F.element_at(
-        F.array(*[F.lit(name) for name in SERVERS]),
-        (F.lit(1) + (event_id * 7 + F.col("user_id")) % 7).cast("int"),
-    )
-    old = F.regexp_extract("props", "[0-9]+", 0).cast("int") * 10
-    new = F.floor(F.col("value") * 10).cast("int")
-    columns = {
-        "id": event_id,
-        "timestamp": F.unix_seconds(F.col("ts").cast("timestamp")),
-        "type": event_type,
-        "bot": F.when(event_id % 97 != 0, F.col("user_id") % 5 == 0),
-        "minor": event_id % 3 == 0,
-        "user": F.concat(F.lit("user_"), F.col("user_id").cast("string")),
-        "server_name": server,
-        "title": F.concat(prefix, (event_id % 200).cast("string")),
-        "namespace": (event_id % 16).cast("int"),
-        "length": F.struct(old.alias("old"), new.alias("new")),
-        "log_params": F.when(kind == "signup", F.regexp_replace("props", " ", "")),
-    }
-    return project_schema(
-        events.select(*[column.alias(name) for name, column in columns.items()]), RAW_SCHEMA
+    """Rows of ``events`` in the raw event's shape; what the table cannot fill is null."""
+    return events.selectExpr(
+        *[
+            f"{_FILLED.get(field.name, f'cast(NULL AS {field.dataType.simpleString()})')}"
+            f" AS `{field.name}`"
+            for field in RAW_SCHEMA
+        ]
     )
 
 

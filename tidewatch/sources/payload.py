@@ -1,11 +1,13 @@
 """JSON payload -> typed event columns, with malformed payloads kept apart.
 
-One ``from_json`` reads every field as text, which accepts any JSON value. That makes the
-corrupt-record column mean "not a JSON object" and nothing else: a number that arrives quoted, a
-``length`` that is not an object or a text namespace is an odd value, not a malformed event. The
-text is then cast per field, so a column nobody asks for costs nothing.
+One ``from_json`` reads every scalar as text, which accepts any JSON value: a number that arrives
+quoted or a text namespace is an odd value, not a malformed event. The text is then cast per
+field. Only a struct can fail to fit, when something else stands in its place; the parser then
+still delivers the other fields, while a payload that is not a JSON object delivers none.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -18,12 +20,19 @@ from pyspark.sql.types import (
 )
 
 from tidewatch.functions import event as ev
+from tidewatch.schemas import extended, struct
 
 MALFORMED = "malformed"
 NULL_LENGTH = "null_length"
 _CORRUPT = "_corrupt"
 
 
+def _as_text(data_type: DataType) -> DataType:
+    if isinstance(data_type, StructType):
+        return struct({field.name: _as_text(field.dataType) for field in data_type})
+    return StringType()
+
+
 def _typed(text: Column, data_type: DataType) -> Column:
     if isinstance(data_type, StringType):
         return text
@@ -33,16 +42,22 @@ def _typed(text: Column, data_type: DataType) -> Column:
         return ev.whole_number(text).try_cast("int")
     if isinstance(data_type, BooleanType):
         return text.try_cast("boolean")
-    return F.from_json(text, data_type)
+    fields = [
+        _typed(text.getField(field.name), field.dataType).alias(field.name) for field in data_type
+    ]
+    return F.when(text.isNotNull(), F.struct(*fields))
 
 
-def _has_null_side(length_text: Column) -> Column:
-    sides = F.from_json(length_text, "map<string,string>")
+def _has_null_side(payload: Column) -> Column:
+    """Whether ``length`` holds an explicit null, which a typed read cannot tell from none."""
+    event = F.try_parse_json(payload)
 
     def explicit_null(side: str) -> Column:
-        return F.map_contains_key(sides, side) & F.element_at(sides, side).isNull()
+        return F.is_variant_null(F.try_variant_get(event, f"$.length.{side}", "variant"))
 
-    return F.coalesce(explicit_null("old") | explicit_null("new"), F.lit(False))
+    return F.coalesce(explicit_null("old"), F.lit(False)) | F.coalesce(
+        explicit_null("new"), F.lit(False)
+    )
 
 
 def decode(payloads: DataFrame, schema: StructType, reject_null_length: bool = False) -> DataFrame:
@@ -53,19 +68,20 @@ def decode(payloads: DataFrame, schema: StructType, reject_null_length: bool = F
     ``reject_null_length`` also rejects an explicit null in ``length.old`` / ``length.new``,
     which otherwise counts as 0.
     """
-    as_text = ", ".join(f"`{name}` STRING" for name in schema.fieldNames())
-    event = F.from_json(
-        "payload", f"{as_text}, {_CORRUPT} STRING", {"columnNameOfCorruptRecord": _CORRUPT}
-    )
+    as_text = extended(_as_text(schema), {_CORRUPT: StringType()})
+    event = F.from_json("payload", as_text, {"columnNameOfCorruptRecord": _CORRUPT})
     # Exploding a one-element array keeps a later filter on the parsed event from being pushed
     # below it, where it would parse every payload a second time.
     parsed = payloads.select("*", F.explode(F.array(event)).alias("_event"))
     event = F.col("_event")
-    reason = F.when(
-        event.isNull() | event.getField(_CORRUPT).isNotNull(), MALFORMED
+    delivered = reduce(
+        lambda some, more: some | more,
+        [event.getField(name).isNotNull() for name in schema.fieldNames()],
     )
+    unreadable = event.getField(_CORRUPT).isNotNull() & ~delivered
+    reason = F.when(event.isNull() | unreadable, MALFORMED)
     if reject_null_length:
-        reason = reason.when(_has_null_side(event.getField("length")), NULL_LENGTH)
+        reason = reason.when(_has_null_side(F.col("payload")), NULL_LENGTH)
     fields = [
         _typed(
             event.getField(field.name),
