@@ -429,12 +429,12 @@ def table_counts(spark, sf_dir):
 @_register
 def incremental_hours(spark, sf_dir):
     """Two runs, the second over a lake that has grown, must equal one run over everything."""
-    table = work_dir(spark, "hours")
-    events = lake.scan_lake(spark, _written_lake(spark, sf_dir), days_back=0)
-    middle = events.agg(F.avg(F.unix_seconds("timestamp")).cast("bigint")).first()[0]
-    known = events.filter(F.col("timestamp") < F.timestamp_seconds(F.lit(middle)))
-    incremental.update_hours(known, table)
-    incremental.update_hours(events, table)
+    path, table = work_dir(spark, "lake"), work_dir(spark, "hours")
+    events = ingest.normalize_events(feed.enriched(spark, sf_dir))
+    middle = events.agg(F.avg("timestamp").cast("bigint")).first()[0]
+    for part in (F.col("timestamp") < middle, F.col("timestamp") >= middle):
+        lake.write_lake(events.filter(part), path, by="event_time")
+        incremental.update_hours(spark, path, table)
     return incremental.read_hours(spark, table)
 
 

@@ -172,31 +172,36 @@ def test_jdbc_options():
 # --- incremental hours --------------------------------------------------------------------
 
 
-def as_events(df):
-    return df.withColumn("timestamp", F.timestamp_seconds("timestamp"))
-
-
-def test_incremental_hours_take_late_events_of_the_last_day(spark, tmp_path, rows):
+def test_incremental_hours_take_late_events_of_the_last_day(spark, path, tmp_path, rows):
     table = str(tmp_path / "hours")
+    incremental.update_hours(spark, path, table)
+    assert incremental.read_hours(spark, table).isEmpty()
     first = stored(spark, {"timestamp": NOON}, {"timestamp": NOON - 2 * DAY})
-    incremental.update_hours(as_events(first), table)
-    late = first.unionByName(stored(spark, {"timestamp": NOON - HOUR}, {"timestamp": NOON + DAY}))
+    lake.write_lake(first, path, by="event_time")
+    incremental.update_hours(spark, path, table)
+    late = stored(spark, {"timestamp": NOON - HOUR}, {"timestamp": NOON + DAY})
+    lake.write_lake(late, path, by="event_time")
     for _ in range(2):
-        incremental.update_hours(as_events(late), table)
+        incremental.update_hours(spark, path, table)
         hours = incremental.read_hours(spark, table)
         got = rows(hours, F.unix_seconds("hour_bucket") - (NOON - NOON % HOUR), "total_events")
         assert sorted(got) == [(-2 * DAY, 1), (-HOUR, 1), (0, 1), (DAY, 1)]
 
 
-def test_incremental_hours_filter_reaches_the_scan(spark, filled, tmp_path, monkeypatch):
+def test_incremental_hours_read_only_the_reopened_days(spark, filled, tmp_path, monkeypatch):
     table = str(tmp_path / "hours")
-    incremental.update_hours(lake.scan_lake(spark, filled, 0), table)
-    seen = []
-    monkeypatch.setattr(
-        incremental, "hourly_patterns", lambda events: seen.append(plan_of(events)) or events.limit(0).selectExpr("timestamp AS hour_bucket")
-    )
-    incremental.update_hours(lake.scan_lake(spark, filled, 0), table)
-    assert "GreaterThanOrEqual" in seen[0] or "timestamp_seconds" in seen[0]
+    incremental.update_hours(spark, filled, table)
+    plans = []
+    scan = incremental.scan_since
+
+    def watched(*args):
+        plans.append(plan_of(scan(*args)))
+        return scan(*args)
+
+    monkeypatch.setattr(incremental, "scan_since", watched)
+    incremental.update_hours(spark, filled, table)
+    midnight = NOON - NOON % DAY
+    assert f"GreaterThanOrEqual(timestamp,{midnight})" in plans[0]
 
 
 # --- retention and session ----------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql.types import DateType
 
 from tidewatch.operators.historical import hourly_patterns
 from tidewatch.schemas import HISTORY_SCHEMAS
+from tidewatch.sources.lake import scan_since
 from tidewatch.sources.tables import read_table
 
 PARTITION = "event_date"
@@ -18,22 +19,18 @@ def read_hours(spark: SparkSession, table: str) -> DataFrame:
     ).drop(PARTITION)
 
 
-def update_hours(events: DataFrame, table: str, reopen_days: int = 1) -> None:
-    """Bring the hours table up to the newest event.
+def update_hours(spark: SparkSession, lake: str, table: str, reopen_days: int = 1) -> None:
+    """Bring the hours table up to the newest event of the lake.
 
     Only events since the high-water mark are read, from the start of its day and
     ``reopen_days - 1`` days before it, so that late events of those days count too. The days
-    read replace their partitions, so a repeated run changes nothing. ``events`` holds
-    ``timestamp`` as a timestamp.
+    read replace their partitions, so a repeated run changes nothing.
     """
-    spark = events.sparkSession
     last_day = F.date_trunc("day", F.max("hour_bucket"))
     mark = read_hours(spark, table).agg(F.unix_seconds(last_day)).first()[0]
-    if mark is not None:
-        first_second = mark - (reopen_days - 1) * DAY_SECONDS
-        events = events.filter(F.col("timestamp") >= F.timestamp_seconds(F.lit(first_second)))
+    since = None if mark is None else F.lit(mark - (reopen_days - 1) * DAY_SECONDS)
     (
-        hourly_patterns(events)
+        hourly_patterns(scan_since(spark, lake, since))
         .withColumn(PARTITION, F.to_date("hour_bucket"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

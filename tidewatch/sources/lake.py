@@ -96,26 +96,36 @@ def scan_lake(
     merge_schema: bool = False,
 ) -> DataFrame:
     """Events of the last ``days_back`` days with ``timestamp`` as a timestamp; 0 or less reads
-    all. A lake that was never written gives an empty result.
+    all. See ``scan_since``."""
+    if days_back <= 0:
+        return scan_since(spark, lake, None, merge_schema)
+    cutoff = clock.days_before(as_of, days_back)
+    # The first whole second that is not before the cutoff.
+    second = F.unix_seconds(cutoff + F.expr("INTERVAL '0.999999' SECOND"))
+    return scan_since(spark, lake, second, merge_schema)
 
-    The cutoff is compared with the stored bigint, before the cast, so it reaches the Parquet
-    scan; the same cutoff bounds the partition folders. An event is archived after it happened,
-    so the folder bound holds for both kinds of partition time. ``merge_schema`` takes the union
-    of the files' own columns instead of the declared schema.
+
+def scan_since(
+    spark: SparkSession, lake: str, second: Column | None, merge_schema: bool = False
+) -> DataFrame:
+    """Events from epoch ``second`` on, or all, with ``timestamp`` as a timestamp. A lake that was
+    never written gives an empty result.
+
+    The bound is compared with the stored bigint, before the cast, so it reaches the Parquet
+    scan; it bounds the partition folders too. An event is archived after it happened, so the
+    folder bound holds for both kinds of partition time. ``merge_schema`` takes the union of the
+    files' own columns instead of the declared schema.
     """
     path = events_path(lake)
     if merge_schema:
         events = spark.read.option("mergeSchema", "true").parquet(path)
     else:
         events = read_table(spark, path, LAKE_SCHEMA, {"year": INT, "month": INT})
-    if days_back > 0:
-        cutoff = clock.days_before(as_of, days_back)
-        first_second = F.unix_seconds(cutoff + F.expr("INTERVAL '0.999999' SECOND"))
-        oldest = clock.days_before(cutoff, PRUNING_SLACK_DAYS)
-        events = events.filter(
-            (_month_number(F.col("year"), F.col("month")) >= _month_number(F.year(oldest), F.month(oldest)))
-            & (F.col("timestamp") >= first_second)
-        )
+    if second is not None:
+        oldest = clock.days_before(F.timestamp_seconds(second), PRUNING_SLACK_DAYS)
+        stored_month = _month_number(F.col("year"), F.col("month"))
+        first_month = _month_number(F.year(oldest), F.month(oldest))
+        events = events.filter((stored_month >= first_month) & (F.col("timestamp") >= second))
     return events.withColumn("timestamp", F.timestamp_seconds("timestamp"))
 
 
