@@ -125,23 +125,16 @@ def normalize_events(spark, sf_dir):
 def kafka_records(spark, sf_dir):
     """Key and decoded check of the value; the JSON text itself differs between engines."""
     records = topic.encode(feed.enriched(spark, sf_dir))
-    return records.select(
-        "key",
-        F.get_json_object("value", "$.id").cast("bigint").alias("id"),
-        F.get_json_object("value", "$.bytes_changed").cast("bigint").alias("bytes_changed"),
-        F.get_json_object("value", "$.length.new").cast("int").alias("len_new"),
+    checked = "id BIGINT, bytes_changed BIGINT, length STRUCT<new: INT>"
+    return records.select("key", F.from_json("value", checked).alias("event")).select(
+        "key", "event.id", "event.bytes_changed", F.col("event.length.new").alias("len_new")
     )
 
 
 @_register
 def kafka_decode(spark, sf_dir):
     placed = feed.with_coordinates(feed.enriched(spark, sf_dir))
-    records = topic.encode(placed).select(
-        F.lit("changes").alias("topic"),
-        F.get_json_object("value", "$.partition").cast("int").alias("partition"),
-        F.get_json_object("value", "$.offset").cast("bigint").alias("offset"),
-        F.encode("value", "utf-8").alias("value"),
-    )
+    records = topic.encode(placed).withColumn("value", F.encode("value", "utf-8"))
     return payload.accepted(topic.decode_records(records)).select(
         "partition", "offset", "timestamp", "type", "user", "server_name", *DERIVED
     )
@@ -395,12 +388,14 @@ def silence_gaps(spark, sf_dir):
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events, changes = feed.enriched(spark, sf_dir), feed.changes(spark, sf_dir)
+    """The seven tables, the historical ones as the batch job stored them."""
+    root, _ = _stored_history(spark, sf_dir)
+    changes = feed.changes(spark, sf_dir)
     return {
         serving.TRAFFIC_VOLUME: live.traffic_volume(changes),
         serving.RECENT_CHANGES: changes,
         **{
-            history_table(view): getattr(historical, view)(events)
+            history_table(view): batch_job.read_history(spark, root, view)
             for view in batch_job.HISTORY_SCHEMAS
         },
     }

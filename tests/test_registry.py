@@ -9,6 +9,7 @@ from tests.conftest import SMALL, plan_of
 
 WRITES = (
     "lake_", "batch_run", "hist_read_", "incremental_hours", "stream_", "live_sink", "retention_",
+    "freshness", "table_counts",
 )
 
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import clock
@@ -10,7 +10,7 @@ from tidewatch.operators import historical, rollup
 from tidewatch.schemas import HISTORY_SCHEMAS, history_table
 from tidewatch.sources import jdbc
 from tidewatch.sources.lake import scan_lake
-from tidewatch.sources.tables import materialise, read_table
+from tidewatch.sources.tables import materialised, read_table
 
 # Stores a view under a table name, replacing what was there, and returns its row count.
 Store = Callable[[DataFrame, str], int]
@@ -18,10 +18,11 @@ Store = Callable[[DataFrame, str], int]
 
 def parquet_store(root: str) -> Store:
     def store(view: DataFrame, table: str) -> int:
-        path = f"{root.rstrip('/')}/{table}"
-        view.write.mode("overwrite").parquet(path)
-        # Counted from the footers of the files just written.
-        return view.sparkSession.read.schema(view.schema).parquet(path).count()
+        written = Observation()
+        view.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+            f"{root.rstrip('/')}/{table}"
+        )
+        return written.get["rows"]
 
     return store
 
@@ -58,15 +59,15 @@ def store_views(events: DataFrame, store: Store, literal_counts: bool = False) -
 
     The result is empty, and no table is touched, when there are no events.
     """
-    rows = materialise(rollup.rollup_all(events), "rollup", partition_by=["grain"])
-    read = rollup.grain_rows(rows, "hours").agg(F.sum("events")).first()[0]
-    if not read:
-        return {}
-    counts = {
-        history_table(name): store(view, history_table(name))
-        for name, view in views_of(rows, literal_counts).items()
-    }
-    return {"events": read, **counts}
+    with materialised(rollup.rollup_all(events), "rollup", partition_by=["grain"]) as rows:
+        read = rollup.grain_rows(rows, "hours").agg(F.sum("events")).first()[0]
+        if not read:
+            return {}
+        counts = {
+            history_table(name): store(view, history_table(name))
+            for name, view in views_of(rows, literal_counts).items()
+        }
+        return {"events": read, **counts}
 
 
 def run(

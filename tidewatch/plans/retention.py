@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import SparkSession
 
 from tidewatch.operators.retention import RETENTION_HOURS
+from tidewatch.sources import files
 
 PARTITION_PREFIX = "event_date="
 
@@ -24,15 +25,9 @@ def expire_days(
     """
     now = as_of.astimezone(timezone.utc) if as_of else datetime.now(timezone.utc)
     cutoff = now - timedelta(hours=hours)
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not files.exists(path):
-        return []
-    expired = []
-    for status in files.listStatus(path):
-        name = status.getPath().getName()
-        day = name.removeprefix(PARTITION_PREFIX)
-        if day != name and date.fromisoformat(day) < cutoff.date():
-            files.delete(status.getPath(), True)
-            expired.append(day)
-    return sorted(expired)
+    days = [name.removeprefix(PARTITION_PREFIX) for name in files.names(spark, table)
+            if name.startswith(PARTITION_PREFIX)]
+    expired = [day for day in days if date.fromisoformat(day) < cutoff.date()]
+    for day in expired:
+        files.delete(spark, f"{table.rstrip('/')}/{PARTITION_PREFIX}{day}")
+    return expired

@@ -1,11 +1,15 @@
 """Parquet tables read with a declared schema."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
 from tidewatch.schemas import extended
 from tidewatch.session import work_dir
+from tidewatch.sources import files
 
 
 def read_table(
@@ -28,13 +32,19 @@ def read_table(
         return spark.createDataFrame([], schema)
 
 
-def materialise(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write an intermediate result to the shared work folder and read it back.
+@contextmanager
+def materialised(
+    df: DataFrame, purpose: str, partition_by: list[str] | None = None
+) -> Iterator[DataFrame]:
+    """An intermediate result, written to the shared work folder and deleted afterwards.
 
-    Several outputs can then be derived from it without computing it again, and a lost executor
-    costs a re-read instead of a re-computation.
+    Several outputs can be derived from it without computing it again, and a lost executor costs
+    a re-read instead of a re-computation.
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        df.write.partitionBy(*(partition_by or [])).parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        files.delete(spark, path)

@@ -17,10 +17,14 @@ COORDINATES = ["topic", "partition", "offset"]
 
 
 def encode(events: DataFrame) -> DataFrame:
-    """Events -> ``key`` (server name) and ``value`` (JSON), with no shuffle."""
+    """Events -> ``key`` (server name) and ``value`` (JSON), with no shuffle. Topic coordinates,
+    where present, stay columns of their own."""
+    carried = [name for name in COORDINATES if name in events.columns]
+    fields = [name for name in events.columns if name not in carried]
     return events.select(
         F.coalesce("server_name", F.lit(UNKNOWN_KEY)).alias("key"),
-        F.to_json(F.struct(*events.columns)).alias("value"),
+        F.to_json(F.struct(*fields)).alias("value"),
+        *carried,
     )
 
 

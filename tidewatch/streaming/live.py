@@ -134,9 +134,11 @@ def _retained(rows: DataFrame, time: str, hours: int, as_of: clock.AsOf) -> Data
 
 
 def _write_batch(rows: DataFrame, time: str, path: str, batch_id: int) -> None:
-    """Replace the batch's own partitions; files are in time order, so their statistics prune."""
+    """Replace the batch's own partitions. The rebalance makes few files of a batch that many
+    tasks read; they are in time order, so their statistics prune."""
     (
         rows.withColumns({DAY: F.to_date(time), BATCH: F.lit(batch_id).cast("bigint")})
+        .hint("rebalance", DAY)
         .sortWithinPartitions(DAY, BATCH, time)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
