@@ -33,7 +33,10 @@ def with_partitions(
     else:
         raise ValueError(f"unknown partition time: {by}")
     return events.withColumns(
-        {"year": F.date_format(placed, "yyyy"), "month": F.date_format(placed, "MM")}
+        {
+            "year": F.lpad(F.year(placed).cast("string"), 4, "0"),
+            "month": F.lpad(F.month(placed).cast("string"), 2, "0"),
+        }
     )
 
 
