@@ -1,7 +1,9 @@
 """Lake -> five historical tables, reading the lake once."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,17 +59,21 @@ def views_of(rows: DataFrame, literal_counts: bool = False) -> dict[str, DataFra
 def store_views(events: DataFrame, store: Store, literal_counts: bool = False) -> dict[str, int]:
     """Compute and store all views of ``events``; rows per table, and ``events`` read.
 
-    The result is empty, and no table is touched, when there are no events.
+    The result is empty, and no table is touched, when there are no events. The views are small
+    jobs of several stages each, so they are stored side by side; an error in one is raised.
     """
     with materialised(rollup.rollup_all(events), "rollup", partition_by=["grain"]) as rows:
         read = rollup.grain_rows(rows, "hours").agg(F.sum("events")).first()[0]
         if not read:
             return {}
-        counts = {
-            history_table(name): store(view, history_table(name))
-            for name, view in views_of(rows, literal_counts).items()
+        tables = {
+            history_table(name): view for name, view in views_of(rows, literal_counts).items()
         }
-        return {"events": read, **counts}
+        # Jobs started from a pool thread keep the caller's Spark properties.
+        submit = inheritable_thread_target(events.sparkSession)(store)
+        with ThreadPoolExecutor(len(tables)) as pool:
+            counts = pool.map(submit, tables.values(), tables)
+            return {"events": read, **dict(zip(tables, counts))}
 
 
 def run(
