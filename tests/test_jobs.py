@@ -1,5 +1,6 @@
 """The command line, and one failing table in the batch job."""
 
+import os
 import sys
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 from tests.build import NOON, stored
 from tidewatch import __main__ as cli
 from tidewatch.plans import batch_job
+from tidewatch.session import work_dir
 from tidewatch.sources import files, lake
 from tidewatch.streaming import live as streams
 
@@ -46,7 +48,7 @@ def test_expire(command, spark, tmp_path, capsys):
 
 
 def test_an_error_in_one_table_is_raised_and_the_intermediate_is_deleted(spark, filled):
-    root = spark.conf.get("spark.checkpoint.dir") + "/tidewatch"
+    root = os.path.dirname(work_dir(spark, "x"))
     before = files.names(spark, root)
 
     def store(view, table):

@@ -1,6 +1,7 @@
 """Lake, tables and the jobs over them."""
 
 from datetime import datetime, timedelta, timezone
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,8 +218,22 @@ def test_whole_expired_days_are_deleted(spark, tmp_path):
     assert retention.expire_days(spark, str(tmp_path / "none")) == []
 
 
-def test_work_folders_lie_below_the_shared_one(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    one, two = session.work_dir(spark, "x"), session.work_dir(spark, "x")
-    assert one != two
-    assert root is None or one.startswith(root)
+def session_of(master, shared):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: shared or default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_work_folders_lie_below_the_shared_one():
+    cluster = session_of("yarn", "hdfs:///shared/")
+    one, two = session.work_dir(cluster, "x"), session.work_dir(cluster, "x")
+    assert one != two and one.startswith("hdfs:///shared/tidewatch/x-")
+
+
+def test_only_a_local_session_may_use_a_temporary_folder():
+    alone = session_of("local[8]", None)
+    roots = {session.work_dir(alone, "x").split("/tidewatch/")[0] for _ in range(2)}
+    assert len(roots) == 1
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(session_of("yarn", None), "x")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 # What the noise filter keeps and drops.
 KEPT_TYPES = ["edit", "new", "log"]
 DROPPED_NAMESPACE_TEXT = "talk"
-TALK_NAMESPACE_IDS_ARE_ODD = 2
 
 
 def is_kept_type(event_type: Column) -> Column:
@@ -22,7 +21,7 @@ def is_talk_namespace(namespace: Column, by_id: bool = False) -> Column:
     talk = text.contains(DROPPED_NAMESPACE_TEXT)
     if by_id:
         number = F.coalesce(text.try_cast("int"), F.lit(0))
-        talk = talk | ((number > 0) & (number % TALK_NAMESPACE_IDS_ARE_ODD == 1))
+        talk = talk | ((number > 0) & (number % 2 == 1))
     return talk
 
 
