@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe
+from tidewatch.llm import bpe, simhash
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_register
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(documents, shingle=3, max_bits=2, seed=42)
