@@ -9,7 +9,7 @@ its own text only, and memory is bounded by a batch plus a piece cache of bounde
 
 import base64
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -185,7 +185,7 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.cache: dict[str, bytes | None] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
         out: list[bytes] = []
         group: list[str] = []
         size = 0
@@ -257,10 +257,6 @@ def _appended(df: DataFrame, column: str, kind, function: Callable) -> DataFrame
     return df.mapInArrow(run, schema)
 
 
-def _without(df: DataFrame, column: str) -> DataFrame:
-    return df.drop(column)
-
-
 def encode(
     df: DataFrame, ranks: bytes, pattern: str, text: str = "text", ids: str = "ids"
 ) -> DataFrame:
@@ -271,11 +267,11 @@ def encode(
     empty table gives an empty result. Special tokens are ordinary text. ``ranks`` is the text of
     a rank file and must hold all 256 single bytes; it is broadcast (about 1 MB, fixed).
     """
-    df = _without(df, ids)
+    df = df.drop(ids)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def column(batch: pa.RecordBatch) -> pa.Array:
-        texts = [value or "" for value in batch.column(text).to_pylist()]
+        texts = (value.as_py() or "" for value in batch.column(text))
         found = _encoder(shared.value, pattern).encode(texts)
         ends = np.cumsum([0, *(len(some) // 4 for some in found)]).astype(np.int32)
         values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
@@ -290,13 +286,16 @@ def decode(df: DataFrame, ranks: bytes, ids: str = "ids", out: str = "decoded")
     A null array counts as empty; an id outside the vocabulary is an error. An existing column
     named ``out`` is replaced.
     """
-    df = _without(df, out)
+    df = df.drop(out)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def column(batch: pa.RecordBatch) -> pa.Array:
         token = _tokens(shared.value)
         return pa.array(
-            [b"".join([token[i] for i in some or ()]) for some in batch.column(ids).to_pylist()],
+            [
+                b"".join(map(token.__getitem__, some.values.to_pylist())) if some.is_valid else b""
+                for some in batch.column(ids)
+            ],
             type=pa.binary(),
         )
 

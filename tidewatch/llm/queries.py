@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, simhash
+from tidewatch.llm import bpe, line_dedup, simhash
 from tidewatch.llm.common import table
+from tidewatch.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,26 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_index(spark: SparkSession, documents: DataFrame) -> line_dedup.LineIndex:
+    """An empty index with about a million line keys per shard for these documents."""
+    shards = 8 + documents.count() // 50_000
+    return line_dedup.LineIndex(spark, work_dir(spark, "lines"), shards)
+
+
+@_register
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line deduplication leaves of every document, as digests."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = line_index(spark, documents)
+    index.insert(documents)
+    return index.clean(documents).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @_register
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""

@@ -1,3 +1,30 @@
 """The SQL that registered queries must equal, where SQL can express them on whole tables."""
 
-ORACLES: dict[str, str] = {}
+# The blanks that are stripped from a line, as the other engine writes them.
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_LINES = f"""
+WITH cut AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), numbered AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM cut
+), keyed AS (
+  SELECT doc_id, line, pos, translate(trim(line, {_BLANKS}), {_LOWER}) AS key FROM numbered
+), repeated AS (
+  SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING min(doc_id) < max(doc_id)
+), marked AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.owner AS dropped
+  FROM keyed k LEFT JOIN repeated r USING (key)
+)
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": _LINES + """
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
+    AS kept_sha256
+FROM marked GROUP BY doc_id
+""",
+}
