@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, line_dedup, simhash
-from tidewatch.llm.common import table
+from tidewatch.llm import bpe, line_dedup, quality, simhash
+from tidewatch.llm.common import held_out, table
 from tidewatch.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(documents, shingle=3, max_bits=2, seed=42)
+
+
+@_register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; labels of every fifth one are never learned from."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, sf_dir, "labels"))
+    return quality.score(documents, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted"
+    )
