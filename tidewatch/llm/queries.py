@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, line_dedup, quality, simhash
+from tidewatch.llm import bpe, line_dedup, mixing, quality, simhash, winnow
 from tidewatch.llm.common import held_out, table
 from tidewatch.session import work_dir
 
@@ -21,6 +21,15 @@ def _register(query: Query) -> Query:
     QUERIES[query.__name__] = query
     return query
 
+# A dominant source at a quarter of its natural share, two sources twice as often as the others.
+WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 2.0}
+
+
+@_register
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in shuffled order, each as often as its source's rate says."""
+    return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
+
 
 @_register
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +67,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside those of its edited text and of the next document."""
+    return winnow.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 @_register
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""

@@ -20,7 +20,43 @@ WITH cut AS (
 )
 """
 
+_MIX = """
+WITH sizes AS (
+  SELECT source, CAST(sum(length(coalesce(text, '')) + 1) AS DOUBLE) AS size,
+    CASE source WHEN 'src0' THEN 4.0 WHEN 'src1' THEN 2.0 WHEN 'src2' THEN 2.0 ELSE 1.0 END::DOUBLE
+      AS weight
+  FROM documents GROUP BY source
+), rated AS (
+  SELECT source, weight / (SELECT sum(weight) FROM sizes) * (SELECT sum(size) FROM sizes) / size
+    AS rate FROM sizes
+), counted AS (
+  SELECT source, rate, unnest(range(CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1)) AS k
+  FROM rated
+), chances AS (
+  SELECT source, k,
+    exp(k * ln(rate) - rate - sum(CASE WHEN k > 0 THEN ln(greatest(k, 1)) ELSE 0.0 END) OVER up_to)
+      AS chance
+  FROM counted WINDOW up_to AS (PARTITION BY source ORDER BY k)
+), summed AS (
+  SELECT source, k, sum(chance) OVER (PARTITION BY source ORDER BY k) AS upto FROM chances
+), drawn AS (
+  SELECT doc_id, source,
+    (('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496 AS u
+  FROM documents
+), copies AS (
+  SELECT d.doc_id, count(*) FILTER (WHERE s.upto < d.u) AS n
+  FROM drawn d JOIN summed s ON d.source IS NOT DISTINCT FROM s.source GROUP BY d.doc_id
+), repeated AS (
+  SELECT doc_id, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM copies
+)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_mixing": _MIX + """
+SELECT d.*, r.copy,
+  ('0x' || substr(md5('mix/order:' || doc_id || ':' || r.copy), 1, 13))::BIGINT AS shuffle_key
+FROM documents d JOIN repeated r USING (doc_id)
+""",
     "op5_line_dedup": _LINES + """
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
