@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, line_dedup, mixing, quality, simhash, winnow
+from tidewatch.llm import bpe, html_text, line_dedup, mixing, quality, simhash, winnow
 from tidewatch.llm.common import held_out, table
 from tidewatch.session import work_dir
 
@@ -73,6 +73,13 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html_text.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_register
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
