@@ -1,5 +1,6 @@
-"""Connected components of a link table, by alternating large and small stars."""
+"""Linking the members of lists block by block, and connected components of a link table."""
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +57,44 @@ def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("big").agg(F.min("small").alias("least"))
     moved = links.join(least, "big").where("small <> least").selectExpr("small AS big", "least")
     return moved.unionByName(least).selectExpr("big", "least AS small").distinct()
+
+
+def in_blocks(listed: DataFrame, keys: list[str], member: str, size: int) -> DataFrame:
+    """Rows of lists (named by ``keys``) dealt so that any two rows of a list meet in some
+    ``keys, lo, hi`` group of about ``2 * size`` rows at most, sorted by these columns. ``block`` is
+    the row's own block, ``lo`` and ``hi`` the two that meet.
+
+    Lists of one row go before anything is gathered. A longer list is cut into blocks by a hash of
+    ``member``, and each pair of blocks is a group: a hot list becomes many tasks.
+    """
+    sizes = listed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    dealt = (
+        listed.join(sizes, keys)
+        .withColumn("blocks", F.expr(f"CAST(ceil(n / {size}) AS INT)"))
+        .withColumn("block", F.expr(f"CAST(pmod(xxhash64({member}), blocks) AS INT)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .withColumn("lo", F.least("block", "other"))
+        .withColumn("hi", F.greatest("block", "other"))
+        .drop("n", "blocks", "other")
+    )
+    group = [*keys, "lo", "hi"]
+    return dealt.repartition(*group).sortWithinPartitions(*group)
+
+
+def spanning(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Child and parent row numbers of a forest that spans the links of a boolean matrix."""
+    parent = np.full(len(near), -1)
+    seen = np.zeros(len(near), dtype=bool)
+    for root in range(len(near)):
+        if seen[root]:
+            continue
+        seen[root] = True
+        front = np.array([root])
+        while len(front):
+            reach = near[front] & ~seen
+            fresh = np.flatnonzero(reach.any(axis=0))
+            parent[fresh] = front[reach[:, fresh].argmax(axis=0)]
+            seen[fresh] = True
+            front = fresh
+    child = np.flatnonzero(parent >= 0)
+    return child, parent[child]

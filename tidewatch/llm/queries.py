@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, html_text, line_dedup, mixing, quality, simhash, winnow
+from tidewatch.llm import bpe, html_text, line_dedup, mixing, pivots, quality, simhash, winnow
 from tidewatch.llm.common import held_out, table
 from tidewatch.session import work_dir
 
@@ -31,6 +31,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
+@_register
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate class of every vector."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 @_register
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""

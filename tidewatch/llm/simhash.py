@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch.llm.common import stored
-from tidewatch.llm.components import components
+from tidewatch.llm.components import components, in_blocks, spanning
 
 BITS = 64
 # Lists are compared in blocks of about this many fingerprints.
@@ -119,21 +119,8 @@ def _forest(found: np.ndarray, steps: list[tuple[int, int]]) -> tuple[np.ndarray
     near = np.ones(unlike.shape, dtype=bool)
     for mask, budget in steps:
         near &= np.bitwise_count(unlike & np.uint64(mask)) <= budget
-    parent = np.full(len(found), -1)
-    seen = np.zeros(len(found), dtype=bool)
-    for root in range(len(found)):
-        if seen[root]:
-            continue
-        seen[root] = True
-        front = np.array([root])
-        while len(front):
-            reach = near[front] & ~seen
-            fresh = np.flatnonzero(reach.any(axis=0))
-            parent[fresh] = front[reach[:, fresh].argmax(axis=0)]
-            seen[fresh] = True
-            front = fresh
-    child = np.flatnonzero(parent >= 0)
-    return found[child], found[parent[child]]
+    child, parent = spanning(near)
+    return found[child], found[parent]
 
 
 def links(fps: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame:
@@ -147,15 +134,7 @@ def links(fps: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame:
     if max_bits < 1:
         return fps.selectExpr("fp AS a", "fp AS b").where("false")
     keys = fps.select("fp", F.explode(_keys(F.col("fp"), max_bits)).alias("key"))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    listed = (
-        keys.join(sizes, "key")
-        .withColumn("blocks", F.expr(f"CAST(ceil(n / {block}) AS INT)"))
-        .withColumn("mine", F.expr("CAST(pmod(xxhash64(fp), blocks) AS INT)"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .selectExpr("key", "least(mine, other) AS lo", "greatest(mine, other) AS hi", "fp")
-    )
-    dealt = listed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "fp")
+    dealt = in_blocks(keys, ["key"], "fp", block).select("key", "lo", "hi", "fp")
     chains = _chains(max_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
