@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, html_text, line_dedup, mixing, pivots, quality, simhash, winnow
+from tidewatch.llm import (
+    bpe,
+    html_text,
+    language_model,
+    line_dedup,
+    mixing,
+    pivots,
+    quality,
+    simhash,
+    winnow,
+)
 from tidewatch.llm.common import held_out, table
 from tidewatch.session import work_dir
 
@@ -73,6 +83,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; every seventh is never learned from."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.train_and_score(documents, order=3, share=1e-5)
+
+
 @_register
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint beside those of its edited text and of the next document."""
