@@ -13,6 +13,7 @@ from tidewatch.llm import (
     line_dedup,
     mixing,
     pivots,
+    preferences,
     quality,
     simhash,
     winnow,
@@ -47,6 +48,24 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+@_register
+def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with another one's last answer."""
+    conversations = table(spark, sf_dir, "conversations")
+    pairs = preferences.format_preferences(
+        conversations, preferences.swapped_answers(conversations), pair="conv_id"
+    )
+    return pairs.select(
+        "conv_id",
+        "n_prompt_turns",
+        "prompt",
+        preferences.completion(F.col("chosen")).alias("chosen"),
+        preferences.mask(F.col("chosen")).alias("chosen_mask"),
+        preferences.completion(F.col("rejected")).alias("rejected"),
+        preferences.mask(F.col("rejected")).alias("rejected_mask"),
+    )
+
+
 @_register
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""

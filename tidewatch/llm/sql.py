@@ -51,6 +51,38 @@ WITH sizes AS (
 )
 """
 
+_SWAPPED = """
+WITH last AS (
+  SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+), rejected AS (
+  SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c LEFT JOIN last l USING (conv_id)
+  WHERE l.turn IS NULL OR c.turn < l.turn
+  UNION ALL
+  SELECT l.conv_id, l.turn, 'assistant', o.text FROM last l JOIN last o ON xor(o.conv_id, 1) = l.conv_id
+), sides AS (
+  SELECT 'c' AS side, conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT 'r', conv_id, turn, role, text FROM rejected
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY side, conv_id ORDER BY turn, role, text) AS pos,
+    '<|im_start|>' || role || chr(10) AS head, text || '<|im_end|>' || chr(10) AS body
+  FROM sides
+), matched AS (
+  SELECT conv_id, pos, count(DISTINCT side || role || ':' || text) AS turns,
+    count(DISTINCT role || ':' || text) AS kinds FROM placed GROUP BY conv_id, pos
+), common AS (
+  SELECT conv_id, CAST(coalesce(min(pos) FILTER (WHERE NOT (turns = 2 AND kinds = 1)) - 1, max(pos))
+    AS INTEGER) AS n FROM matched GROUP BY conv_id
+)
+SELECT p.conv_id, any_value(n) AS n_prompt_turns"""
+
+_SIDE = """,
+  coalesce(string_agg(head || body, '' ORDER BY pos) FILTER (WHERE {where}), '') AS {name}"""
+_MASK = """,
+  coalesce(string_agg(length(head) || '- ' || length(body)
+    || CASE role WHEN 'assistant' THEN '+' ELSE '-' END, ' ' ORDER BY pos)
+    FILTER (WHERE {where}), '') AS {name}"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": _MIX + """
 SELECT d.*, r.copy,
@@ -62,5 +94,14 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
     AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op3_preferences": _SWAPPED
+    + _SIDE.format(where="side = 'c' AND pos <= n", name="prompt")
+    + _SIDE.format(where="side = 'c' AND pos > n", name="chosen")
+    + _MASK.format(where="side = 'c' AND pos > n", name="chosen_mask")
+    + _SIDE.format(where="side = 'r' AND pos > n", name="rejected")
+    + _MASK.format(where="side = 'r' AND pos > n", name="rejected_mask")
+    + """
+FROM placed p JOIN common USING (conv_id) GROUP BY p.conv_id
 """,
 }
