@@ -115,12 +115,14 @@ def test_rank_and_percentile_equal_brute_force(spark, sizes, k):
     assert [r.percentile for r in got] == pytest.approx(list(want.percentile))
 
 
-def test_a_long_ranking_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "BROADCAST_ROWS", 1)
-    servers = spark.range(50).selectExpr("id AS server", "id % 7 + 1 AS edits")
-    ranked = ordering.rank_top(servers, "edits", ["server"], 20)
-    assert ranked.count() == 20
-    assert "ResolvedHint" not in ranked._jdf.queryExecution().analyzed().toString()
+@pytest.mark.parametrize("approximate", [False, True])
+def test_server_rankings_scan_the_events_once(spark, mixed, tmp_path, approximate):
+    mixed.write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    ranked = historical.server_rankings(events, approximate_users=approximate)
+    ranked.collect()
+    final = plan_of(ranked).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 def test_one_pass_rollup_equals_each_grain(mixed, rows):

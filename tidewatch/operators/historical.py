@@ -120,20 +120,17 @@ def server_rankings(
 
     Users are counted exactly by aggregating per server and user first, which spreads a dominant
     server over its users. ``approximate_users`` uses a sketch instead (default relative error).
-    Percentiles need the edit counts of all servers; they are counted from the server columns
-    alone, without the users.
+    Percentiles and places come from one per-server table: the events are scanned once.
     """
-    per_server = events.groupBy(*ru.SERVERS)
-    edits = F.count(F.lit(1)).alias("edit_count")
     if approximate_users:
-        servers = per_server.agg(
-            edits,
+        servers = events.groupBy(*ru.SERVERS).agg(
+            F.count(F.lit(1)).alias("edit_count"),
             F.sum("bytes_changed").alias("total_bytes"),
             F.approx_count_distinct("user").alias("unique_users"),
         )
     else:
         servers = _servers(ru.rollup(events, ru.SERVER_USERS))
-    return rank_top(servers, "edit_count", ru.SERVERS, top_n, sizes=per_server.agg(edits))
+    return rank_top(servers, "edit_count", ru.SERVERS, top_n)
 
 
 def server_rankings_of(server_users: DataFrame, top_n: int = TOP_SERVERS) -> DataFrame:

@@ -3,9 +3,6 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest top-k side that may be broadcast; a longer one is joined by shuffle.
-BROADCAST_ROWS = 100_000
-
 
 def top_k(df: DataFrame, measure: str, keys: list[str], k: int) -> DataFrame:
     """``k`` rows with the largest ``measure``; ties go to the smaller keys, nulls first."""
@@ -27,20 +24,27 @@ def value_counts(df: DataFrame, measure: str, counted: str) -> DataFrame:
     return df.groupBy(measure).agg(F.count(F.lit(1)).alias(counted))
 
 
-def rank_top(
-    df: DataFrame, measure: str, keys: list[str], k: int, sizes: DataFrame | None = None
-) -> DataFrame:
+def _counts_over_all_columns(df: DataFrame, measure: str) -> DataFrame:
+    """``value_counts`` in ``_rows``, but reading every column of ``df``: the top k needs them all,
+    so both are computed from the same shuffled rows, which Spark then reuses, instead of scanning
+    the events once for each set of columns."""
+    touched = F.bit_xor(F.xxhash64(*df.columns)).alias("_touched")
+    counts = df.groupBy(measure).agg(F.count(F.lit(1)).alias("_rows"), touched)
+    return counts.where(F.col("_touched").isNotNull()).select(measure, "_rows")
+
+
+def rank_top(df: DataFrame, measure: str, keys: list[str], k: int) -> DataFrame:
     """The ``k`` first rows with ``rank`` (1..k, unique) and ``percentile``.
 
     ``percentile`` is the percent rank over all of ``df``: the share of the other rows that have
     a larger ``measure``, equal for ties and 0 for the first. A plain window would sort every row
     in one task; here the ranks come from the k rows, and the percentiles from the counts per
-    value. ``sizes`` may give the same ``measure`` values as ``df`` where they are cheaper to
-    compute alone.
+    value. The k rows are ordered in one task, which suits any k that somebody reads, not hundreds
+    of millions.
     """
     largest_first = Window.orderBy(F.desc(measure))
     places = (
-        value_counts(df if sizes is None else sizes, measure, "_rows")
+        _counts_over_all_columns(df, measure)
         .withColumns(
             {
                 "_larger": F.coalesce(
@@ -66,6 +70,4 @@ def rank_top(
     first = top_k(df, measure, keys, k).withColumn(
         "rank", F.row_number().over(Window.orderBy(*descending(measure, keys)))
     )
-    if k <= BROADCAST_ROWS:
-        first = F.broadcast(first)
     return places.join(first, measure).select(*df.columns, "rank", "percentile")
