@@ -3,7 +3,7 @@
 Everything is computed row by row, so the feed grows with the table and needs no shuffle.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import event as ev
@@ -83,14 +83,27 @@ def changes(spark: SparkSession, sf_dir: str, carry: list[str] | None = None) ->
     return recent_changes(enriched(spark, sf_dir), carry=carry)
 
 
+# Payloads that are no JSON object from end to end; N stands for the event's number.
+BROKEN = [
+    '{"id": N', '{"id": N, "log_params": {"a": ', '{"id": N} trailing', '{"id": N} {"id": N}',
+    "{'id': N}", "[N]", "N", '"N"', "null", "{N}", '{"id": N}]',
+]
+
+
+def _broken(number: Column) -> Column:
+    forms = F.array(*map(F.lit, BROKEN))
+    form = F.element_at(forms, (1 + F.floor(number / 50) % len(BROKEN)).cast("int"))
+    return F.replace(form, F.lit("N"), number.cast("string"))
+
+
 def sse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as captured text: mostly data lines, some truncated JSON, some comments."""
+    """The feed as captured text: mostly data lines, some malformed ones, some comments."""
     events = raw(spark, sf_dir).withColumn(
         "log_params", F.from_json("log_params", "map<string,int>")
     )
     number = F.col("id")
     line = (
-        F.when(number % 50 == 0, F.concat(F.lit('data: {"id": '), number.cast("string")))
+        F.when(number % 50 == 0, F.concat(F.lit("data: "), _broken(number)))
         .when(number % 50 == 1, F.lit(": keep-alive"))
         .otherwise(F.concat(F.lit("data: "), F.to_json(F.struct(*events.columns))))
     )

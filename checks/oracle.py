@@ -113,6 +113,11 @@ _CHANGES = """event_time, "user", title, server_name, is_bot, type, bytes_change
 _TRAFFIC = "window_start, total_bytes, event_count, avg_bytes_per_event"
 
 
+# The malformed payloads of the feed.
+_BROKEN = """'{"id": N', '{"id": N, "log_params": {"a": ', '{"id": N} trailing',
+    '{"id": N} {"id": N}', '{''id'': N}', '[N]', 'N', '"N"', 'null', '{N}', '{"id": N}]'"""
+
+
 def _patterns(literal: bool) -> str:
     bots, humans = (
         ("count(is_bot)", "count(is_bot)")
@@ -255,6 +260,14 @@ def all_oracles() -> dict[str, str]:
     all_changes = _with("changes", f"SELECT {_CHANGES} FROM changes")
     traffic = _with("traffic", f"SELECT {_TRAFFIC} FROM traffic")
     traffic_hourly = _with("traffic_hourly", f"SELECT {_TRAFFIC} FROM traffic_hourly")
+    count_windows = _with(
+        "enriched",
+        """SELECT make_timestamp(max("timestamp") * 1000000) AS window_start,
+          CAST(sum(bytes_changed) AS BIGINT) AS total_bytes, count(*) AS event_count,
+          sum(bytes_changed) / count(*) AS avg_bytes_per_event
+        FROM (SELECT *, row_number() OVER (PARTITION BY id % 3 ORDER BY id) - 1 AS n FROM enriched)
+        GROUP BY id % 3, n // 100 HAVING count(*) = 100""",
+    )
     deduplicated = """SELECT id, type, "user", title, bytes_changed FROM enriched"""
     return {
         # ingest
@@ -263,7 +276,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "sse_rejects": _with(
             "lines",
-            """SELECT '{"id": ' || CAST(id AS VARCHAR) AS payload, 'malformed' AS reject_reason
+            f"""SELECT replace(([{_BROKEN}])[1 + (id // 50) % 11], 'N', CAST(id AS VARCHAR))
+              AS payload, 'malformed' AS reject_reason
             FROM lines WHERE broken""",
         ),
         "max_messages": _with(
@@ -304,6 +318,14 @@ def all_oracles() -> dict[str, str]:
               is_minor, is_new_page, bytes_changed, language, project, len_old, len_new
             FROM enriched""",
         ),
+        "project_full": _with(
+            "enriched",
+            f"""SELECT id, "timestamp", type, bot, minor, "user", server_name, title, namespace,
+              is_bot, is_minor, is_new_page, bytes_changed, language, project,
+              (SELECT string_agg(key || '=' || json_extract_string(log_params, '$.' || key), ','
+                ORDER BY key) FROM unnest(json_keys(log_params)) AS t(key)) AS log_params
+            FROM enriched""",
+        ),
         "project_minimal": _with(
             "enriched", 'SELECT "user", bot, type, server_name, "timestamp" FROM enriched'
         ),
@@ -316,6 +338,12 @@ def all_oracles() -> dict[str, str]:
             f"""SELECT {_LAKE} FROM enriched
             WHERE "timestamp" >= (SELECT max("timestamp") FROM enriched) - 7 * 86400""",
         ),
+        "lake_backfill": _LAKE_ALL,
+        "lake_scan_future": _with(
+            "enriched",
+            f"""SELECT * EXCLUDE (year, month) FROM (SELECT {_LAKE} FROM enriched
+            WHERE "timestamp" >= (SELECT max("timestamp") FROM enriched) - 7 * 86400)""",
+        ),
         "lake_scan_empty": _with("enriched", f"SELECT {_LAKE} FROM enriched WHERE false"),
         # historical views
         "hourly_patterns": _patterns(False),
@@ -340,13 +368,8 @@ def all_oracles() -> dict[str, str]:
         "recent_changes": _with("changes", f"SELECT {_CHANGES}, id FROM changes"),
         "traffic_volume": traffic,
         "traffic_volume_hourly": traffic_hourly,
-        "traffic_count_window": _with(
-            "derived",
-            """SELECT make_timestamp(max("timestamp") * 1000000) AS window_start,
-              CAST(sum(bytes_changed) AS BIGINT) AS total_bytes, count(*) AS event_count,
-              sum(bytes_changed) / count(*) AS avg_bytes_per_event
-            FROM derived GROUP BY id % 3, id // 3 // 100 HAVING count(*) = 100""",
-        ),
+        "traffic_count_window": count_windows,
+        "stream_count_window": count_windows,
         "live_traffic": _with("asked_traffic", f"SELECT {_TRAFFIC} FROM asked_traffic"),
         "live_velocity": _with(
             "asked_traffic",
@@ -442,6 +465,11 @@ def all_oracles() -> dict[str, str]:
               FROM (SELECT DISTINCT date_trunc('minute', event_time) AS m FROM changes))
             WHERE gap_end - gap_start >= INTERVAL '5' MINUTE""",
         ),
+        "silence_now": _with(
+            "changes",
+            """SELECT date_trunc('minute', max(event_time)) AS gap_start,
+              CAST(NULL AS TIMESTAMP) AS gap_end, CAST(8 AS BIGINT) AS gap_minutes FROM changes""",
+        ),
         "freshness": _with(
             "traffic changes hourly",
             "\nUNION ALL ".join(

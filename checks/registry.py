@@ -12,6 +12,7 @@ from tidewatch.operators import dedup, historical, ingest, live, monitoring
 from tidewatch.plans import batch_job, history_reads, incremental, retention, serving
 from tidewatch.schemas import (
     ANALYTICS_SCHEMA,
+    FULL_SCHEMA,
     MINIMAL_SCHEMA,
     RECENT_CHANGES_SCHEMA,
     history_table,
@@ -19,6 +20,7 @@ from tidewatch.schemas import (
 from tidewatch.session import configure, work_dir
 from tidewatch.sources import lake, payload, sse, topic
 from tidewatch.sources.tables import read_table
+from tidewatch.streaming import count_windows
 from tidewatch.streaming import live as streams
 from tidewatch.streaming.queries import run_available
 
@@ -150,6 +152,17 @@ def project_minimal(spark, sf_dir):
     return ingest.project_schema(feed.enriched(spark, sf_dir), MINIMAL_SCHEMA)
 
 
+@_register
+def project_full(spark, sf_dir):
+    """All fields typed; the map's entries as text, in order of their keys."""
+    full = feed.flat(ingest.project_schema(feed.enriched(spark, sf_dir), FULL_SCHEMA))
+    entries = F.array_sort(F.map_entries("log_params"))
+    shown = F.transform(entries, lambda entry: F.concat(entry["key"], F.lit("="), entry["value"]))
+    return full.select(
+        *SSE_COLUMNS[:9], *DERIVED[1:], F.array_join(shown, ",").alias("log_params")
+    )
+
+
 @_register
 def dedup_events(spark, sf_dir):
     delivered = feed.twice(feed.enriched(spark, sf_dir))
@@ -183,11 +196,33 @@ def lake_roundtrip(spark, sf_dir):
 @_register
 def lake_scan(spark, sf_dir):
     path = _written_lake(spark, sf_dir)
-    return lake.scan_lake(spark, path, days_back=7, as_of=_feed_end(spark, sf_dir)).select(
+    end = _feed_end(spark, sf_dir)
+    return lake.scan_lake(spark, path, days_back=7, as_of=end, by="event_time").select(
         *LAKE_COLUMNS
     )
 
 
+@_register
+def lake_backfill(spark, sf_dir):
+    """One half of the feed streamed, the other appended by a batch job: both are read."""
+    path = work_dir(spark, "lake")
+    streamed = ingest.normalize_events(feed.enriched_stream(spark, sf_dir)).where("id % 2 = 0")
+    run_available(lake.lake_writer(streamed, path, work_dir(spark, "checkpoint"), by="event_time"))
+    events = ingest.normalize_events(feed.enriched(spark, sf_dir)).where("id % 2 = 1")
+    lake.write_lake(events, path, by="event_time")
+    return lake.scan_lake(spark, path, days_back=0).select(*LAKE_COLUMNS)
+
+
+@_register
+def lake_scan_future(spark, sf_dir):
+    """Archived years before the events' own time: the look-back finds them in an old folder."""
+    path, end = work_dir(spark, "lake"), _feed_end(spark, sf_dir)
+    events = ingest.normalize_events(feed.enriched(spark, sf_dir))
+    lake.write_lake(events, path, ingest_time=datetime(2000, 1, 1, tzinfo=timezone.utc))
+    columns = [name for name in LAKE_COLUMNS if name not in lake.PARTITIONS]
+    return lake.scan_lake(spark, path, days_back=7, as_of=end).select(*columns)
+
+
 @_register
 def lake_scan_empty(spark, sf_dir):
     """A look-back window after the last event, and a lake that was never written."""
@@ -281,10 +316,32 @@ def traffic_volume_hourly(spark, sf_dir):
 
 @_register
 def traffic_count_window(spark, sf_dir):
-    records = feed.with_coordinates(ingest.enrich_events(feed.raw(spark, sf_dir)))
+    """Over the records that the noise filter leaves, so that offsets have gaps."""
     return live.traffic_count_window(
-        live.recent_changes(records, carry=["partition", "offset"])
+        live.recent_changes(
+            feed.with_coordinates(feed.enriched(spark, sf_dir)), carry=["partition", "offset"]
+        )
+    )
+
+
+@_register
+def stream_count_window(spark, sf_dir):
+    """The same windows from a stream of several batches."""
+    arrived, path = work_dir(spark, "arrivals"), work_dir(spark, "windows")
+    records = live.recent_changes(
+        feed.with_coordinates(feed.enriched(spark, sf_dir)), carry=["partition", "offset"]
     )
+    checkpoint = work_dir(spark, "checkpoint")
+    middle = records.agg(F.avg("offset")).first()[0]
+    for wave in (F.col("offset") < middle, F.col("offset") >= middle):
+        records.where(wave).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(records.schema).parquet(arrived)
+        windows = count_windows.traffic_count_stream(stream)
+        run_available(
+            windows.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint)
+        )
+    return read_table(spark, path, windows.schema)
 
 
 def _live(query: Callable[..., DataFrame], minutes: int = LOOKBACK) -> Query:
@@ -387,6 +444,14 @@ def silence_gaps(spark, sf_dir):
     return monitoring.silence_gaps(feed.changes(spark, sf_dir))
 
 
+@_register
+def silence_now(spark, sf_dir):
+    """Asked eight minutes after the last event."""
+    changes = feed.changes(spark, sf_dir)
+    later = _newest(changes) + F.expr("INTERVAL '8' MINUTE")
+    return monitoring.silence_now(changes, as_of=later)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The seven tables, the historical ones as the batch job stored them."""
     root, _ = _stored_history(spark, sf_dir)
@@ -423,11 +488,14 @@ def table_counts(spark, sf_dir):
 
 @_register
 def incremental_hours(spark, sf_dir):
-    """Two runs, the second over a lake that has grown, must equal one run over everything."""
+    """Three runs over a growing lake must equal one run over everything: the first part holds
+    the oldest events and the very last one, the next what is new, the third what came late."""
     path, table = work_dir(spark, "lake"), work_dir(spark, "hours")
     events = ingest.normalize_events(feed.enriched(spark, sf_dir))
-    middle = events.agg(F.avg("timestamp").cast("bigint")).first()[0]
-    for part in (F.col("timestamp") < middle, F.col("timestamp") >= middle):
+    middle, last = events.agg(F.avg("timestamp").cast("bigint"), F.max("id")).first()
+    late, newest = F.col("id") % 10 == 3, F.col("id") == last
+    old = F.col("timestamp") < middle
+    for part in (~late & old | newest, ~late & ~old & ~newest, late & ~newest):
         lake.write_lake(events.filter(part), path, by="event_time")
         incremental.update_hours(spark, path, table)
     return incremental.read_hours(spark, table)

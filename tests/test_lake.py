@@ -13,6 +13,7 @@ from tidewatch.plans import batch_job, history_reads, incremental, retention
 from tidewatch.schemas import HISTORY_SCHEMAS, LAKE_SCHEMA, TRAFFIC_SCHEMA
 from tidewatch.sources import jdbc, lake
 from tidewatch.sources.tables import read_table
+from tidewatch.streaming.queries import run_available
 
 DAY = 24 * HOUR
 AS_OF = datetime.fromtimestamp(NOON, timezone.utc)
@@ -49,12 +50,37 @@ def test_zero_days_reads_all(spark, filled):
 
 
 def test_cutoff_reaches_scan_and_folders(spark, filled):
-    plan = plan_of(lake.scan_lake(spark, filled, 7, AS_OF).select("user"))
+    plan = plan_of(lake.scan_lake(spark, filled, 7, AS_OF, by="event_time").select("user"))
     assert f"GreaterThanOrEqual(timestamp,{NOON - 7 * DAY})" in plan
     assert ">= 202401)" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "ReadSchema: struct<timestamp:bigint,user:string>" in plan
     default = plan_of(lake.scan_lake(spark, filled).select("user"))
-    assert "GreaterThanOrEqual(timestamp," in default
+    assert "GreaterThanOrEqual(timestamp," in default and "PartitionFilters: []" in default
+
+
+def test_an_event_stamped_after_its_archive_time_is_found(spark, path):
+    early = AS_OF - timedelta(days=60)
+    lake.write_lake(stored(spark, {"user": "d0", "timestamp": NOON}), path, ingest_time=early)
+    assert users(lake.scan_lake(spark, path, 7, AS_OF)) == [0]
+
+
+def test_a_stream_and_a_batch_job_share_a_lake(spark, path, tmp_path):
+    arrived = str(tmp_path / "arrived")
+    stored(spark, {"user": "d1"}).write.parquet(arrived)
+    stream = spark.readStream.schema(LAKE_SCHEMA).parquet(arrived)
+    run_available(lake.lake_writer(stream, path, str(tmp_path / "cp")))
+    lake.write_lake(stored(spark, {"user": "d2"}), path)
+    assert users(lake.scan_lake(spark, path, 0)) == [1, 2]
+    assert users(lake.scan_lake(spark, path, 0, merge_schema=True)) == [1, 2]
+
+
+def test_compaction_of_one_month(spark, path, tmp_path):
+    target = str(tmp_path / "t")
+    for when in (NOON, NOON - 40 * DAY):
+        lake.write_lake(stored(spark, {"user": "d0", "timestamp": when}), path, by="event_time")
+    for _ in range(2):
+        lake.compact_lake(spark, path, target, 2024, 1)
+    assert lake.scan_lake(spark, target, 0).count() == 1
 
 
 def test_archive_partitions_by_ingest_time_and_late_events_are_found(spark, path):
@@ -68,6 +94,7 @@ def test_a_lake_that_does_not_exist_is_empty(spark, path):
     nothing = lake.scan_lake(spark, path)
     assert nothing.isEmpty()
     assert nothing.drop("year", "month").columns == LAKE_SCHEMA.fieldNames()
+    assert lake.scan_lake(spark, path, merge_schema=True).isEmpty()
 
 
 def test_other_read_errors_are_raised(spark, tmp_path):
@@ -189,20 +216,34 @@ def test_incremental_hours_take_late_events_of_the_last_day(spark, path, tmp_pat
         assert sorted(got) == [(-2 * DAY, 1), (-HOUR, 1), (0, 1), (DAY, 1)]
 
 
-def test_incremental_hours_read_only_the_reopened_days(spark, filled, tmp_path, monkeypatch):
+def test_incremental_hours_count_events_of_any_age_and_of_the_future(spark, path, tmp_path):
+    table = str(tmp_path / "hours")
+    for when in ([NOON, NOON + 30000 * DAY], [NOON - 900 * DAY, NOON + HOUR], [NOON]):
+        events = stored(spark, *[{"timestamp": second} for second in when])
+        lake.write_lake(events, path, by="event_time")
+        incremental.update_hours(spark, path, table, slack_seconds=0)
+    total = incremental.read_hours(spark, table).agg(F.sum("total_events")).first()[0]
+    assert total == 5
+
+
+def test_incremental_hours_read_the_touched_days_only(spark, filled, tmp_path, monkeypatch):
     table = str(tmp_path / "hours")
     incremental.update_hours(spark, filled, table)
+    lake.write_lake(stored(spark, {"timestamp": NOON}), filled, by="event_time")
     plans = []
-    scan = incremental.scan_since
+    scan = incremental.scan_files
 
     def watched(*args):
-        plans.append(plan_of(scan(*args)))
+        plans.append((args[2:], plan_of(scan(*args))))
         return scan(*args)
 
-    monkeypatch.setattr(incremental, "scan_since", watched)
-    incremental.update_hours(spark, filled, table)
-    midnight = NOON - NOON % DAY
-    assert f"GreaterThanOrEqual(timestamp,{midnight})" in plans[0]
+    mark = incremental.read_table(spark, incremental.mark_path(table), incremental.MARK).first()
+    monkeypatch.setattr(incremental, "scan_files", watched)
+    incremental.update_hours(spark, filled, table, slack_seconds=0)
+    # The newest file of the first run is looked at again; its month, not the lake, is read.
+    month = NOON - NOON % DAY - 14 * DAY
+    assert mark is not None and plans[-1][0] == (month, month + 15 * DAY)
+    assert f"GreaterThanOrEqual(timestamp,{month})" in plans[-1][1]
 
 
 # --- retention and session ----------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from tidewatch.functions import clock
 from tidewatch.functions import event as ev
@@ -60,18 +60,22 @@ def normalize_events(events: DataFrame, ingest_time: clock.AsOf = None) -> DataF
 def project_schema(
     events: DataFrame, schema: StructType, computed: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Select exactly ``schema``'s columns with its types."""
+    """Select exactly ``schema``'s columns with its types. JSON text becomes a map where the schema
+    asks for one, null if it is not an object."""
     computed = computed or {}
-    present = set(events.columns)
+    present = {field.name: field.dataType for field in events.schema}
+
+    def column(field: StructField) -> Column:
+        if field.name in computed:
+            return computed[field.name]
+        if field.name not in present:
+            return F.lit(None)
+        if isinstance(field.dataType, MapType) and isinstance(present[field.name], StringType):
+            return F.from_json(field.name, field.dataType)
+        return F.col(field.name)
+
     return events.select(
-        *[
-            computed.get(
-                field.name, F.col(field.name) if field.name in present else F.lit(None)
-            )
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in schema
-        ]
+        *[column(field).cast(field.dataType).alias(field.name) for field in schema]
     )
 
 

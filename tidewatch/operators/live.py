@@ -21,6 +21,8 @@ LATEST_CHANGES = 400
 POWER_USER_EDITS = 10
 HISTOGRAM_BINS = 20
 COUNT_WINDOW = 100
+# Offsets numbered together.
+OFFSET_SPAN = 100_000
 UNKNOWN = "unknown"
 NO_SERVER = "N/A"
 LEADERBOARD_NAMES = {"total_edits": "Edits", "total_bytes": "Bytes", "server_name": "Server"}
@@ -78,13 +80,35 @@ def traffic_volume(changes: DataFrame, window: str = "10 seconds") -> DataFrame:
 
 
 def traffic_count_window(records: DataFrame, size: int = COUNT_WINDOW) -> DataFrame:
-    """Bytes and events per ``size`` consecutive records of a topic partition.
+    """Bytes and events per ``size`` consecutive records of a topic partition, whatever offsets lie
+    between them; the row is labelled with its latest event time.
 
-    A window that is not full yet is left out. Records are placed by their offset, so no ordering
-    pass is needed; the row is labelled with its latest event time.
+    Only the last window of a partition may lack records, and is left out until it is full. Records
+    are numbered within spans of offsets, and the spans by what was counted before them, so no
+    partition is sorted as a whole.
     """
+    span = F.floor(F.col("offset") / OFFSET_SPAN).alias("_span")
+    placed = records.select("partition", "offset", "event_time", "bytes_changed", span)
+    earlier = Window.partitionBy("partition").orderBy("_span").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    spans = (
+        placed.groupBy("partition", "_span")
+        .agg(F.count(F.lit(1)).alias("_records"))
+        .select(
+            F.col("partition").alias("_partition"),
+            F.col("_span").alias("_of"),
+            F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_before"),
+        )
+    )
+    within = Window.partitionBy("partition", "_span").orderBy("offset")
+    numbered = placed.withColumn("_number", F.row_number().over(within)).join(
+        spans,
+        F.col("partition").eqNullSafe(F.col("_partition")) & F.col("_span").eqNullSafe(F.col("_of")),
+    )
+    window = F.floor((F.col("_before") + F.col("_number") - 1) / size).alias("_window")
     return (
-        records.groupBy("partition", (F.col("offset") - F.col("offset") % size).alias("_first"))
+        numbered.groupBy("partition", window)
         .agg(F.max("event_time").alias("window_start"), *traffic_totals())
         .filter(F.col("event_count") == size)
         .transform(with_average)

@@ -71,6 +71,24 @@ def hourly_spikes(trends: DataFrame, threshold: float | None = None) -> DataFram
     return ratios if threshold is None else ratios.filter(F.col("spike_ratio") >= threshold)
 
 
+def silence_now(
+    changes: DataFrame, minutes: int = SILENCE_MINUTES, as_of: clock.AsOf = None
+) -> DataFrame:
+    """The silence that goes on at ``as_of``: one row with an open end if the last event is at least
+    ``minutes`` old, else none; none either without any event."""
+    start = F.col("gap_start")
+    now = F.unix_seconds(clock.minute_of(clock.moment(as_of)))
+    return (
+        changes.agg(clock.minute_of(F.max("event_time")).alias("gap_start"))
+        .select(
+            "gap_start",
+            F.lit(None).cast("timestamp").alias("gap_end"),
+            F.floor((now - F.unix_seconds(start)) / 60).alias("gap_minutes"),
+        )
+        .filter(F.col("gap_minutes") >= minutes)
+    )
+
+
 def silence_gaps(changes: DataFrame, minutes: int = SILENCE_MINUTES) -> DataFrame:
     """Stretches without events: pairs of consecutive active minutes at least ``minutes`` apart.
 

@@ -1,16 +1,22 @@
 """Hourly patterns kept up to date without reading the whole lake again."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, TimestampType
 
 from tidewatch.operators.historical import hourly_patterns
-from tidewatch.schemas import HISTORY_SCHEMAS
-from tidewatch.sources.lake import scan_since
-from tidewatch.sources.tables import read_table
+from tidewatch.schemas import HISTORY_SCHEMAS, struct
+from tidewatch.sources.lake import FILE_TIME, scan_files
+from tidewatch.sources.tables import materialised, read_table
 
 PARTITION = "event_date"
+# Files this much older than the newest one seen are looked at again: writers' clocks differ, and a
+# file may become visible after a younger one.
+SLACK_SECONDS = 3600
 DAY_SECONDS = 24 * 3600
+MARK = struct({FILE_TIME: TimestampType()})
 
 
 def read_hours(spark: SparkSession, table: str) -> DataFrame:
@@ -19,21 +25,48 @@ def read_hours(spark: SparkSession, table: str) -> DataFrame:
     ).drop(PARTITION)
 
 
-def update_hours(spark: SparkSession, lake: str, table: str, reopen_days: int = 1) -> None:
-    """Bring the hours table up to the newest event of the lake.
+def mark_path(table: str) -> str:
+    return f"{table.rstrip('/')}_mark"
+
+
+def update_hours(
+    spark: SparkSession, lake: str, table: str, slack_seconds: int = SLACK_SECONDS
+) -> None:
+    """Bring the hours table up to date with the files of the lake.
 
-    Only events since the high-water mark are read, from the start of its day and
-    ``reopen_days - 1`` days before it, so that late events of those days count too. The days
-    read replace their partitions, so a repeated run changes nothing.
+    The mark is the time of the newest file seen, not of an event, so an event stamped in the
+    future hides nothing and one of any age counts. Every day that has an event in a file since
+    the mark is computed again from all its files and replaces its partition; a repeated run
+    changes nothing, and a lost mark only means that everything is computed again.
     """
-    last_day = F.date_trunc("day", F.max("hour_bucket"))
-    mark = read_hours(spark, table).agg(F.unix_seconds(last_day)).first()[0]
-    since = None if mark is None else F.lit(mark - (reopen_days - 1) * DAY_SECONDS)
-    (
-        hourly_patterns(scan_since(spark, lake, since))
-        .withColumn(PARTITION, F.to_date("hour_bucket"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(table)
-    )
+    day = F.to_date("timestamp")
+    events = scan_files(spark, lake)
+    mark = read_table(spark, mark_path(table), MARK).first()
+    fresh = events
+    if mark is not None:
+        since = F.lit(mark[FILE_TIME]) - F.make_interval(secs=F.lit(slack_seconds))
+        fresh = events.where(F.col(FILE_TIME) >= since)
+    touched = fresh.groupBy(day.alias(PARTITION)).agg(F.max(FILE_TIME).alias(FILE_TIME))
+    with materialised(touched, "touched-days") as days:
+        newest, first, last = days.agg(
+            F.max(FILE_TIME), F.min(PARTITION), F.max(PARTITION)
+        ).first()
+        if newest is None:
+            return
+        # The span of the days reaches the scan, the join keeps those that were touched.
+        spanned = scan_files(spark, lake, _second(first), _second(last) + DAY_SECONDS)
+        chosen = spanned.join(days, day == days[PARTITION], "left_semi")
+        (
+            hourly_patterns(chosen)
+            .withColumn(PARTITION, F.to_date("hour_bucket"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PARTITION)
+            .parquet(table)
+        )
+    marked = spark.createDataFrame([(newest,)], MARK)
+    marked.coalesce(1).write.mode("overwrite").parquet(mark_path(table))
+
+
+def _second(day: date) -> int:
+    return (day - date(1970, 1, 1)).days * DAY_SECONDS

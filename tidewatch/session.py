@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # As most JSON readers do, take the last of repeated keys instead of refusing the object.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Dedup and window state may outgrow the heap; RocksDB keeps it on executor disk and
     # uploads only changes to the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -1,18 +1,27 @@
-"""The Parquet lake: ``<lake>/raw_events/year=YYYY/month=MM``."""
+"""The Parquet lake: ``year=YYYY/month=MM`` folders below two roots.
+
+Batch jobs append to ``<lake>/raw_events``, streams to ``<lake>/raw_events_streamed``: a folder that a
+stream writes has a commit log, and readers of it see the stream's files only, so the two must
+not share one. Every scan reads both.
+"""
+
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import DataType
 
 from tidewatch.functions import clock
 from tidewatch.schemas import INT, LAKE_SCHEMA, TEXT
+from tidewatch.sources import files
 from tidewatch.sources.tables import read_table
 
 RAW_EVENTS = "raw_events"
+STREAMED_EVENTS = "raw_events_streamed"
 PARTITIONS = ["year", "month"]
 COMPRESSION = "snappy"
-# Clocks of the feed and of the archive may disagree; partitions are pruned one day late.
-PRUNING_SLACK_DAYS = 1
+FILE_TIME = "file_time"
 
 
 def events_path(lake: str) -> str:
@@ -22,6 +31,10 @@ def events_path(lake: str) -> str:
     return f"{lake.rstrip('/')}/{RAW_EVENTS}"
 
 
+def streamed_path(lake: str) -> str:
+    return f"{events_path(lake).removesuffix(RAW_EVENTS)}{STREAMED_EVENTS}"
+
+
 def with_partitions(
     events: DataFrame, by: str = "ingest_time", ingest_time: clock.AsOf = None
 ) -> DataFrame:
@@ -82,7 +95,7 @@ def lake_writer(
         .outputMode("append")
         .partitionBy(*PARTITIONS)
         .option("compression", COMPRESSION)
-        .option("path", events_path(lake))
+        .option("path", streamed_path(lake))
         .option("checkpointLocation", checkpoint)
     )
 
@@ -97,44 +110,101 @@ def scan_lake(
     days_back: int = 7,
     as_of: clock.AsOf = None,
     merge_schema: bool = False,
+    by: str = "ingest_time",
 ) -> DataFrame:
     """Events of the last ``days_back`` days with ``timestamp`` as a timestamp; 0 or less reads
     all. See ``scan_since``."""
     if days_back <= 0:
-        return scan_since(spark, lake, None, merge_schema)
+        return scan_since(spark, lake, None, merge_schema, by)
     cutoff = clock.days_before(as_of, days_back)
     # The first whole second that is not before the cutoff.
     second = F.unix_seconds(cutoff + F.expr("INTERVAL '0.999999' SECOND"))
-    return scan_since(spark, lake, second, merge_schema)
+    return scan_since(spark, lake, second, merge_schema, by)
 
 
 def scan_since(
-    spark: SparkSession, lake: str, second: Column | None, merge_schema: bool = False
+    spark: SparkSession,
+    lake: str,
+    second: Column | None,
+    merge_schema: bool = False,
+    by: str = "ingest_time",
 ) -> DataFrame:
     """Events from epoch ``second`` on, or all, with ``timestamp`` as a timestamp. A lake that was
     never written gives an empty result.
 
     The bound is compared with the stored bigint, before the cast, so it reaches the Parquet
-    scan; it bounds the partition folders too. An event is archived after it happened, so the
-    folder bound holds for both kinds of partition time. ``merge_schema`` takes the union of the
-    files' own columns instead of the declared schema.
+    scan and its row-group statistics. Where all of the lake is placed ``by`` event time it bounds
+    the folders too; by ingest time it does not, since an event may be stamped later than it was
+    archived. ``merge_schema`` takes the union of the files' own columns instead of the declared
+    schema.
     """
-    path = events_path(lake)
     if merge_schema:
-        events = spark.read.option("mergeSchema", "true").parquet(path)
+        found = [path for path in _roots(lake) if files.names(spark, path)]
+        events = reduce(
+            lambda some, more: some.unionByName(more, allowMissingColumns=True),
+            [spark.read.option("mergeSchema", "true").parquet(path) for path in found]
+            or [_stored(spark, lake, INT)],
+        )
     else:
-        events = read_table(spark, path, LAKE_SCHEMA, {"year": INT, "month": INT})
+        events = _stored(spark, lake, INT)
     if second is not None:
-        oldest = clock.days_before(F.timestamp_seconds(second), PRUNING_SLACK_DAYS)
-        stored_month = _month_number(F.col("year"), F.col("month"))
-        first_month = _month_number(F.year(oldest), F.month(oldest))
-        events = events.filter((stored_month >= first_month) & (F.col("timestamp") >= second))
+        if by == "event_time":
+            oldest = F.timestamp_seconds(second)
+            first_month = _month_number(F.year(oldest), F.month(oldest))
+            events = events.filter(_month_number(F.col("year"), F.col("month")) >= first_month)
+        events = events.filter(F.col("timestamp") >= second)
+    return events.withColumn("timestamp", F.timestamp_seconds("timestamp"))
+
+
+def scan_files(
+    spark: SparkSession, lake: str, first: int | None = None, end: int | None = None
+) -> DataFrame:
+    """Events with the time their file was written in ``file_time``, all or those of the epoch
+    seconds from ``first`` up to ``end``. A filter on ``file_time`` alone decides per file, before it
+    is read."""
+    parts = [
+        read_table(spark, path, LAKE_SCHEMA, {"year": INT, "month": INT}).withColumn(
+            FILE_TIME, F.col("_metadata.file_modification_time")
+        )
+        for path in _roots(lake)
+        if files.names(spark, path)
+    ]
+    if not parts:
+        parts = [_stored(spark, lake, INT).withColumn(FILE_TIME, F.lit(None).cast("timestamp"))]
+    events = reduce(DataFrame.unionByName, parts)
+    if first is not None:
+        events = events.filter(F.col("timestamp") >= first)
+    if end is not None:
+        events = events.filter(F.col("timestamp") < end)
     return events.withColumn("timestamp", F.timestamp_seconds("timestamp"))
 
 
-def compact_lake(spark: SparkSession, lake: str, target: str) -> None:
-    """Rewrite many small archive files into few, into another lake folder."""
-    stored = read_table(spark, events_path(lake), LAKE_SCHEMA, {"year": TEXT, "month": TEXT})
-    _clustered(stored).write.partitionBy(*PARTITIONS).option("compression", COMPRESSION).parquet(
-        events_path(target)
+def _roots(lake: str) -> list[str]:
+    return [events_path(lake), streamed_path(lake)]
+
+
+def _stored(spark: SparkSession, lake: str, kind: DataType) -> DataFrame:
+    """Everything below both roots; a root that was never written is left out."""
+    places = {"year": kind, "month": kind}
+    found = [path for path in _roots(lake) if files.names(spark, path)] or [events_path(lake)]
+    return reduce(
+        DataFrame.unionByName, [read_table(spark, path, LAKE_SCHEMA, places) for path in found]
     )
+
+
+def compact_lake(
+    spark: SparkSession,
+    lake: str,
+    target: str,
+    year: int | None = None,
+    month: int | None = None,
+) -> None:
+    """Rewrite many small archive files into few, into another lake folder: all of the lake, or
+    one year or month of it, replacing what the target holds of the months it writes."""
+    stored = _stored(spark, lake, TEXT)
+    for name, value, width in (("year", year, 4), ("month", month, 2)):
+        if value is not None:
+            stored = stored.where(F.col(name) == f"{value:0{width}d}")
+    _clustered(stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *PARTITIONS
+    ).option("compression", COMPRESSION).parquet(events_path(target))

@@ -3,7 +3,8 @@
 One ``from_json`` reads every scalar as text, which accepts any JSON value: a number that arrives
 quoted or a text namespace is an odd value, not a malformed event. The text is then cast per
 field. Only a struct can fail to fit, when something else stands in its place; the parser then
-still delivers the other fields, while a payload that is not a JSON object delivers none.
+still delivers the other fields, while a payload that is not a JSON object delivers none. A second
+parse, as a variant, tells whether the payload is strict JSON from end to end.
 """
 
 from functools import reduce
@@ -48,12 +49,27 @@ def _typed(text: Column, data_type: DataType) -> Column:
     return F.when(text.isNotNull(), F.struct(*fields))
 
 
-def _has_null_side(payload: Column) -> Column:
+def _closed(payload: Column) -> Column:
+    """The payload and its own hash as a JSON array, null if that is not strict JSON."""
+    proof = F.xxhash64(payload).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), payload, F.lit(","), proof, F.lit("]")))
+
+
+def _is_whole(payload: Column, closed: Column) -> Column:
+    """Whether the payload is one JSON value from its first to its last character.
+
+    A parser that has read a value ignores what follows. In the array the payload's hash must
+    follow, so text that is cut off, or goes on after the value, does not pass.
+    """
+    follows = F.try_variant_get(closed, "$[1]", "bigint")
+    return F.coalesce(follows == F.xxhash64(payload), F.lit(False))
+
+
+def _has_null_side(closed: Column) -> Column:
     """Whether ``length`` holds an explicit null, which a typed read cannot tell from none."""
-    event = F.try_parse_json(payload)
 
     def explicit_null(side: str) -> Column:
-        return F.is_variant_null(F.try_variant_get(event, f"$.length.{side}", "variant"))
+        return F.is_variant_null(F.try_variant_get(closed, f"$[0].length.{side}", "variant"))
 
     return F.coalesce(explicit_null("old"), F.lit(False)) | F.coalesce(
         explicit_null("new"), F.lit(False)
@@ -69,19 +85,22 @@ def decode(payloads: DataFrame, schema: StructType, reject_null_length: bool = F
     which otherwise counts as 0.
     """
     as_text = extended(_as_text(schema), {_CORRUPT: StringType()})
-    event = F.from_json("payload", as_text, {"columnNameOfCorruptRecord": _CORRUPT})
+    options = {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
+    event = F.from_json("payload", as_text, options)
     # Exploding a one-element array keeps a later filter on the parsed event from being pushed
-    # below it, where it would parse every payload a second time.
-    parsed = payloads.select("*", F.explode(F.array(event)).alias("_event"))
-    event = F.col("_event")
+    # below it, where it would parse every payload once more.
+    both = F.struct(event.alias("event"), _closed(F.col("payload")).alias("closed"))
+    parsed = payloads.select("*", F.explode(F.array(both)).alias("_read"))
+    event, closed = F.col("_read.event"), F.col("_read.closed")
     delivered = reduce(
         lambda some, more: some | more,
         [event.getField(name).isNotNull() for name in schema.fieldNames()],
     )
     unreadable = event.getField(_CORRUPT).isNotNull() & ~delivered
-    reason = F.when(event.isNull() | unreadable, MALFORMED)
+    whole = _is_whole(F.col("payload"), closed)
+    reason = F.when(event.isNull() | unreadable | ~whole, MALFORMED)
     if reject_null_length:
-        reason = reason.when(_has_null_side(F.col("payload")), NULL_LENGTH)
+        reason = reason.when(_has_null_side(closed), NULL_LENGTH)
     fields = [
         _typed(
             event.getField(field.name),
