@@ -20,9 +20,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 # Pieces longer than this are merged one by one with a heap of their own.
 LONG_PIECE = 200
 # The piece cache of a worker is emptied beyond this many entries.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 # Documents are encoded in groups of about this many characters.
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 2 << 20
 
 
 def load_ranks(path: str) -> bytes:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidewatch.session import configure, work_dir
 
 # Rows and bytes of one Arrow batch: long documents must not add up to more than a task's memory.
-BATCH_ROWS = 2048
+BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
 
 # The characters that count as white space in keys and between words.
