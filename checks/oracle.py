@@ -505,6 +505,15 @@ def all_oracles() -> dict[str, str]:
         ),
         "stream_archive": _LAKE_ALL,
         "live_sink": traffic,
+        "live_fold": traffic,
+        "pipeline_live": _with(
+            "enriched",
+            """SELECT 'changes' AS table_name, count(*) AS rows,
+              CAST(sum(bytes_changed) AS BIGINT) AS bytes FROM enriched WHERE id % 50 <> 0
+            UNION ALL SELECT 'traffic', count(DISTINCT "timestamp" // 10),
+              CAST(sum(bytes_changed) AS BIGINT) FROM enriched WHERE id % 50 <> 0
+            UNION ALL SELECT 'rejects', 2 * count(*), 0 FROM enriched WHERE id % 50 = 0""",
+        ),
         "retention_24h": _with(
             "changes",
             f"""SELECT {_CHANGES} FROM changes

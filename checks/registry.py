@@ -9,7 +9,14 @@ from pyspark.sql.types import TimestampType
 
 from checks import feed
 from tidewatch.operators import dedup, historical, ingest, live, monitoring
-from tidewatch.plans import batch_job, history_reads, incremental, retention, serving
+from tidewatch.plans import (
+    batch_job,
+    history_reads,
+    incremental,
+    pipelines,
+    retention,
+    serving,
+)
 from tidewatch.schemas import (
     ANALYTICS_SCHEMA,
     FULL_SCHEMA,
@@ -549,7 +556,7 @@ def stream_dedup(spark, sf_dir):
     delivered = feed.twice(feed.enriched_stream(spark, sf_dir)).withColumn(
         "event_time", F.timestamp_seconds("timestamp")
     )
-    unique = dedup.dedup_stream(delivered, spread=F.col("copy")).select(
+    unique = dedup.dedup_stream(delivered, "10 seconds", spread=F.col("copy")).select(
         "id", "event_time", "type", "user", "title", "bytes_changed"
     )
     run_available(
@@ -579,6 +586,51 @@ def live_sink(spark, sf_dir):
     return streams.read_live_traffic(spark, root, hours=0)
 
 
+@_register
+def live_fold(spark, sf_dir):
+    """Traffic after six batches that were folded, and the folds again."""
+    arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
+    changes = feed.changes(spark, sf_dir)
+    changes.repartition(6).write.parquet(arrived)
+    stream = (
+        spark.readStream.schema(RECENT_CHANGES_SCHEMA)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(arrived)
+    )
+    checkpoint = work_dir(spark, "checkpoint")
+    run_available(streams.live_tables_writer(stream, root, checkpoint, fold_every=2, fold_again=2))
+    return streams.read_live_traffic(spark, root, hours=0)
+
+
+@_register
+def pipeline_live(spark, sf_dir):
+    """Topic records, every tenth delivered twice and every fiftieth malformed, to both live
+    tables and quarantine; rows and bytes of each."""
+    arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
+    placed = feed.with_coordinates(feed.twice(feed.enriched(spark, sf_dir)))
+    placed = placed.withColumn("offset", F.col("offset") * 2 + F.col("copy")).drop("copy")
+    whole = F.get_json_object("value", "$.id").cast("bigint") % 50 != 0
+    records = topic.encode(placed).withColumn(
+        "value", F.when(whole, F.col("value")).otherwise(F.lit('{"id": 5, "log_params": {"a": '))
+    )
+    records.write.parquet(arrived)
+    stream = spark.readStream.schema(records.schema).parquet(arrived)
+    run_available(pipelines.records_to_live(stream, root, work_dir(spark, "checkpoint")))
+
+    def summary(name: str, df: DataFrame, bytes_: str) -> DataFrame:
+        total = F.coalesce(F.sum(bytes_), F.lit(0)).cast("bigint")
+        return df.agg(F.count(F.lit(1)).alias("rows"), total.alias("bytes")).select(
+            F.lit(name).alias("table_name"), "rows", "bytes"
+        )
+
+    rejects = pipelines.read_quarantine(spark, pipelines.rejects_path(root))
+    return (
+        summary("changes", streams.read_live_changes(spark, root, hours=0), "bytes_changed")
+        .unionByName(summary("traffic", streams.read_live_traffic(spark, root, 0), "total_bytes"))
+        .unionByName(summary("rejects", rejects.withColumn("none", F.lit(0)), "none"))
+    )
+
+
 @_register
 def retention_24h(spark, sf_dir):
     """Expired days are deleted from the stored table, the rest of the cutoff's day is left out

@@ -11,8 +11,9 @@ from tests.conftest import SMALL
 from tidewatch.operators import dedup, ingest, live
 from tidewatch.plans import pipelines
 from tidewatch.schemas import LAKE_SCHEMA, RECENT_CHANGES_SCHEMA
-from tidewatch.sources import lake, payload, sse, topic
+from tidewatch.sources import files, lake, payload, sse, topic
 from tidewatch.sources.tables import read_table
+from tidewatch.streaming import folding
 from tidewatch.streaming import live as streams
 from tidewatch.streaming.queries import rows_dropped_late, run_available
 from tidewatch.streaming.stats import IngestTotals, observe_ingest
@@ -139,13 +140,13 @@ def test_restart_on_the_same_checkpoint_loses_and_repeats_nothing(spark, at, row
 def test_a_retried_batch_replaces_itself(spark, at, rows):
     batch = changes(spark, {"at": 0, "bytes_changed": 3}, {"at": 20, "bytes_changed": 4})
     for _ in range(3):
-        streams._write_batch(batch, "event_time", at("changes"), 7)
-    streams._write_batch(changes(spark, {"at": 1, "bytes_changed": 5}), "event_time", at("changes"), 8)
+        folding.write_batch(batch, "event_time", at("changes"), 7)
+    folding.write_batch(changes(spark, {"at": 1, "bytes_changed": 5}), "event_time", at("changes"), 8)
     assert spark.read.parquet(at("changes")).count() == 3
 
 
 def test_an_empty_batch_writes_nothing(spark, at):
-    streams._write_batch(changes(spark).limit(0), "event_time", at("changes"), 0)
+    folding.write_batch(changes(spark).limit(0), "event_time", at("changes"), 0)
     assert read_table(spark, at("changes"), RECENT_CHANGES_SCHEMA).isEmpty()
 
 
@@ -168,7 +169,7 @@ def test_retention_on_read_prunes_days(spark, at):
     from tests.conftest import plan_of
 
     for batch_id, seconds in enumerate((0, 30 * HOUR, 50 * HOUR)):
-        streams._write_batch(
+        folding.write_batch(
             changes(spark, {"at": seconds}), "event_time", streams.changes_path(at("live")), batch_id
         )
     now = datetime.fromtimestamp(NOON + 50 * HOUR, timezone.utc)
@@ -206,14 +207,14 @@ def test_ingest_counters_of_a_stream(spark, at):
 def test_from_captured_lines_to_lake_and_live_tables(spark, at, rows):
     """Feed -> records -> archive and live tables, rejects to quarantine."""
     lines = captured(spark, at)
-    decoded = sse.parse(sse.stream_lines(spark, at("captured")))
-    run_available(pipelines.quarantine(decoded, at("cps")))
-    assert spark.read.parquet(at("cps") + "/rejects/data").count() == payload.rejects(sse.parse(lines)).count()
+    stream = sse.stream_lines(spark, at("captured"))
 
-    records = topic.encode(pipelines.to_publish(decoded))
-    run_available(
-        records.writeStream.format("parquet").option("path", at("topic")).option("checkpointLocation", at("cp1"))
-    )
+    def send(records):
+        records.write.mode("append").parquet(at("topic"))
+
+    run_available(pipelines.lines_to_records(stream, send, at("cps")))
+    found = pipelines.read_quarantine(spark, at("cps") + "/rejects")
+    assert rows(found) == rows(payload.rejects(sse.parse(lines)))
 
     def consume():
         return spark.readStream.schema("key STRING, value STRING").parquet(at("topic"))
@@ -227,6 +228,48 @@ def test_from_captured_lines_to_lake_and_live_tables(spark, at, rows):
     assert rows(live_rows) == rows(live.recent_changes(sent))
 
 
+def test_counters_are_observed_where_batches_are_kept(spark, at):
+    lines = captured(spark, at)
+    want = sse.parse(lines).agg(*ingest.ingest_counters()).first().asDict()
+    listener = IngestTotals()
+    spark.streams.addListener(listener)
+    try:
+        writer = pipelines.lines_to_records(
+            sse.stream_lines(spark, at("captured")), lambda records: records.count(), at("cps")
+        )
+        run_available(writer)
+        for _ in range(100):
+            if listener.totals:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.totals == want
+
+
+def test_folded_levels_hold_each_batch_once(spark, at, rows):
+    path, every = at("changes"), []
+    read = lambda: folding.read_levels(spark, path, RECENT_CHANGES_SCHEMA).drop("event_date", "batch_id")
+
+    def fold(up_to, level=0):
+        folding.fold(spark, path, RECENT_CHANGES_SCHEMA, "event_time", up_to, level)
+
+    for batch_id in range(7):
+        batch = changes(spark, {"at": batch_id, "bytes_changed": batch_id})
+        folding.write_batch(batch, "event_time", path, batch_id)
+        every.append(batch_id)
+        if batch_id in (2, 4, 6):
+            fold(batch_id - 1)
+            fold(batch_id - 1)
+        if batch_id == 4:
+            fold(1, level=1)
+            # Written by a fold that did not get as far as its mark.
+            folding.write_batch(batch, "event_time", folding.level_path(path, 1), 99)
+        assert sorted(r.bytes_changed for r in read().collect()) == every
+    days = [name for name in files.names(spark, path) if name.startswith("event_date")]
+    assert len(files.names(spark, f"{path}/{days[0]}")) == 3
+
+
 def test_archive_stream_by_ingest_time(spark, at):
     from datetime import datetime, timezone
 

@@ -3,23 +3,29 @@
     python -m tidewatch batch --lake LAKE --out TABLES [--days 7]
     python -m tidewatch batch --lake LAKE --jdbc-url URL --jdbc-driver CLASS [--truncate]
     python -m tidewatch ingest --captured DIR --servers HOSTS --topic NAME --checkpoints DIR
-    python -m tidewatch live --servers HOSTS --topic NAME --root TABLES --checkpoint DIR
+    python -m tidewatch live --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N]
     python -m tidewatch archive --servers HOSTS --topic NAME --lake LAKE --checkpoint DIR
     python -m tidewatch expire --root TABLES [--hours 24]
-    python -m tidewatch compact --lake LAKE --target LAKE
+    python -m tidewatch compact --lake LAKE --target LAKE [--year 2024 [--month 1]]
+    python -m tidewatch hours --lake LAKE --table TABLE
+    python -m tidewatch silence --root TABLES
 """
 
 import argparse
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import DataStreamWriter
 
+from tidewatch.operators import monitoring
 from tidewatch.operators.retention import RETENTION_HOURS
-from tidewatch.plans import batch_job, pipelines, retention
+from tidewatch.plans import batch_job, incremental, pipelines, retention
 from tidewatch.session import configure
 from tidewatch.sources import jdbc, lake
+from tidewatch.streaming import folding
 from tidewatch.streaming import live as streams
-from tidewatch.streaming.queries import ARCHIVE_INTERVAL, LIVE_INTERVAL, run_forever
+from tidewatch.streaming.queries import LIVE_INTERVAL, run_forever
+from tidewatch.streaming.stats import IngestTotals
 
 
 def _arguments() -> argparse.Namespace:
@@ -40,10 +46,14 @@ def _arguments() -> argparse.Namespace:
     batch.add_argument("--truncate", action="store_true")
     batch.add_argument("--literal-counts", action="store_true")
     job("ingest", "captured", "servers", "topic", "checkpoints")
-    job("live", "servers", "topic", "root", "checkpoint")
+    job("live", "servers", "topic", "root", "checkpoint").add_argument("--max-offsets", type=int)
     job("archive", "servers", "topic", "lake", "checkpoint")
     job("expire", "root").add_argument("--hours", type=int, default=RETENTION_HOURS)
-    job("compact", "lake", "target")
+    compact = job("compact", "lake", "target")
+    compact.add_argument("--year", type=int)
+    compact.add_argument("--month", type=int)
+    job("hours", "lake", "table")
+    job("silence", "root")
     return parser.parse_args()
 
 
@@ -59,6 +69,12 @@ def _store(args: argparse.Namespace) -> batch_job.Store:
     return batch_job.jdbc_store(connect, truncate=args.truncate)
 
 
+def _counted(spark: SparkSession, writer: DataStreamWriter) -> None:
+    """Run for good, adding up and logging the stream's ingest counters."""
+    spark.streams.addListener(IngestTotals())
+    run_forever(writer, LIVE_INTERVAL).awaitTermination()
+
+
 def main() -> None:
     args = _arguments()
     spark = configure(SparkSession.builder.appName(f"tidewatch-{args.job}").getOrCreate())
@@ -68,26 +84,31 @@ def main() -> None:
         )
         print(counts or "no events in the look-back window, nothing written")
     elif args.job == "ingest":
-        for writer in pipelines.captured_to_topic(
+        writer = pipelines.captured_to_topic(
             spark, args.captured, args.servers, args.topic, args.checkpoints
-        ):
-            run_forever(writer, LIVE_INTERVAL)
-        spark.streams.awaitAnyTermination()
+        )
+        _counted(spark, writer)
     elif args.job == "live":
-        run_forever(
-            pipelines.topic_to_live(spark, args.servers, args.topic, args.root, args.checkpoint),
-            LIVE_INTERVAL,
-        ).awaitTermination()
+        writer = pipelines.topic_to_live(
+            spark, args.servers, args.topic, args.root, args.checkpoint, args.max_offsets
+        )
+        _counted(spark, writer)
     elif args.job == "archive":
-        run_forever(
-            pipelines.topic_to_lake(spark, args.servers, args.topic, args.lake, args.checkpoint),
-            ARCHIVE_INTERVAL,
-        ).awaitTermination()
+        writer = pipelines.topic_to_lake(
+            spark, args.servers, args.topic, args.lake, args.checkpoint
+        )
+        _counted(spark, writer)
     elif args.job == "expire":
         for table in (streams.changes_path(args.root), streams.traffic_path(args.root)):
-            print(table, retention.expire_days(spark, table, args.hours))
+            for level in range(folding.LEVELS):
+                path = folding.level_path(table, level)
+                print(path, retention.expire_days(spark, path, args.hours))
     elif args.job == "compact":
-        lake.compact_lake(spark, args.lake, args.target)
+        lake.compact_lake(spark, args.lake, args.target, args.year, args.month)
+    elif args.job == "hours":
+        incremental.update_hours(spark, args.lake, args.table)
+    elif args.job == "silence":
+        monitoring.silence_now(streams.read_live_changes(spark, args.root)).show(truncate=False)
 
 
 if __name__ == "__main__":

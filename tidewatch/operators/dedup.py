@@ -1,4 +1,4 @@
-"""Removal of redelivered events; events without any identity are passed through."""
+"""Removal of redelivered events."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -6,40 +6,60 @@ from pyspark.sql import functions as F
 from tidewatch.functions import event as ev
 
 KEY = "event_key"
+ARRIVED = "arrived_at"
 
 
-def _split(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Events with a key, in ``event_key``, and events without one. The second filter names the
-    stored columns, so a scan skips all row groups where every event has an id."""
+def _keyed(events: DataFrame, coordinates: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Events with ``event_key``, and apart from them those that have no key.
+
+    With ``coordinates`` (columns that name a record, such as topic, partition and offset) an event
+    without an id takes these as its key, so there is only one branch and the input is read once.
+    Without, the second filter names the stored columns, so a scan skips all row groups where every
+    event has an id.
+    """
+    key = ev.event_key(F.col("meta"), F.col("id"))
+    if coordinates:
+        record = F.concat_ws("/", F.lit("record"), *coordinates)
+        return events.withColumn(KEY, F.coalesce(key.cast("string"), record)), None
     anonymous = F.col("meta.id").isNull() & F.col("id").isNull()
-    keyed = events.withColumn(KEY, ev.event_key(F.col("meta"), F.col("id")))
-    return keyed.filter(~anonymous), events.filter(anonymous)
+    return events.withColumn(KEY, key).filter(~anonymous), events.filter(anonymous)
+
 
+def _joined(unique: DataFrame, anonymous: DataFrame | None) -> DataFrame:
+    unique = unique.drop(KEY)
+    return unique if anonymous is None else unique.unionByName(anonymous)
 
-def dedup_events(events: DataFrame) -> DataFrame:
-    """One row per event key. Copies are combined before the shuffle, so many copies of one
-    event do not meet in one task. Which copy stays is not defined."""
-    identified, anonymous = _split(events)
-    return identified.dropDuplicates([KEY]).drop(KEY).unionByName(anonymous)
+
+def dedup_events(events: DataFrame, coordinates: list[str] | None = None) -> DataFrame:
+    """One row per event key; events without any identity are passed through. Copies are combined
+    before the shuffle, so many copies of one event do not meet in one task. Which copy stays is
+    not defined."""
+    identified, anonymous = _keyed(events, coordinates or [])
+    return _joined(identified.dropDuplicates([KEY]), anonymous)
 
 
 def dedup_stream(
     events: DataFrame,
-    event_time: str = "event_time",
-    delay: str = "10 seconds",
+    delay: str,
+    coordinates: list[str] | None = None,
     spread: Column | None = None,
 ) -> DataFrame:
     """One row per event key among copies that arrive within ``delay``; state is kept no longer.
 
+    The clock is the time of the micro-batch that reads a row, not the event's own: it never
+    goes back, so no row is late and none is dropped for its age, however far a topic partition
+    lags. A copy that arrives after ``delay`` passes as a new event.
+
     A streaming shuffle is not preceded by a combine, so many copies of one event would meet in
     one task. ``spread`` (an expression that differs between copies, such as the topic offset)
     first removes copies per key and one of 16 slices of it.
     """
-    identified, anonymous = _split(events.withWatermark(event_time, delay))
+    arrived = events.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, delay)
+    identified, anonymous = _keyed(arrived, coordinates or [])
     if spread is not None:
         identified = (
             identified.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(16)))
             .dropDuplicatesWithinWatermark([KEY, "_slice"])
             .drop("_slice")
         )
-    return identified.dropDuplicatesWithinWatermark([KEY]).drop(KEY).unionByName(anonymous)
+    return _joined(identified.dropDuplicatesWithinWatermark([KEY]), anonymous).drop(ARRIVED)

@@ -1,21 +1,32 @@
 """The long-running streams, put together from their sources, operators and sinks.
 
-Every function returns writers that are not started yet; ``streaming.queries`` starts them, either
-for what is there now or for good.
+Every function returns a writer that is not started yet; ``streaming.queries`` starts it, either
+for what is there now or for good. Each stream parses a payload in one place: a micro-batch is kept
+while its good events go to their sink and its malformed payloads to quarantine, and the counters
+of ``stats.IngestTotals`` are observed on the way.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidewatch.operators import ingest
+from tidewatch.operators import dedup, ingest
 from tidewatch.operators.live import recent_changes
+from tidewatch.schemas import TEXT, struct
 from tidewatch.sources import lake, payload, sse, topic
+from tidewatch.sources.tables import read_table
 from tidewatch.streaming import live as streams
 from tidewatch.streaming.stats import observe_ingest
 
 # An archive batch closes at this many records or after this long.
 ARCHIVE_RECORDS = 5000
 ARCHIVE_DELAY = "60s"
+# How long after its first copy an event's redelivery is recognised.
+DEDUP_DELAY = "10 minutes"
+REJECTS = struct({"payload": TEXT, "reject_reason": TEXT})
+
+Send = Callable[[DataFrame], None]
 
 
 def captured_to_topic(
@@ -25,15 +36,24 @@ def captured_to_topic(
     topic_name: str,
     checkpoints: str,
     max_files_per_trigger: int | None = None,
-) -> list[DataStreamWriter]:
+) -> DataStreamWriter:
     """Captured feed files -> topic, and malformed payloads -> quarantine table."""
-    decoded = sse.parse(sse.stream_lines(spark, captured, max_files_per_trigger))
-    sent = topic.write_stream(
-        to_publish(observe_ingest(decoded)),
-        topic.sink_options(servers, topic_name),
-        f"{checkpoints}/ingest",
-    )
-    return [sent, quarantine(decoded, checkpoints)]
+    options = topic.sink_options(servers, topic_name)
+
+    def send(records: DataFrame) -> None:
+        records.write.format("kafka").options(**options).save()
+
+    lines = sse.stream_lines(spark, captured, max_files_per_trigger)
+    return lines_to_records(lines, send, checkpoints)
+
+
+def lines_to_records(lines: DataFrame, send: Send, checkpoints: str) -> DataStreamWriter:
+    def store(batch: DataFrame, batch_id: int) -> None:
+        send(topic.encode(to_publish(batch)))
+        quarantine(batch, f"{checkpoints}/rejects", batch_id)
+
+    decoded = observe_ingest(sse.parse(lines))
+    return _each_batch(decoded, store, f"{checkpoints}/ingest")
 
 
 def to_publish(decoded: DataFrame) -> DataFrame:
@@ -41,33 +61,54 @@ def to_publish(decoded: DataFrame) -> DataFrame:
     return ingest.enrich_events(ingest.filter_events(payload.accepted(decoded)))
 
 
-def quarantine(decoded: DataFrame, checkpoints: str) -> DataStreamWriter:
-    return (
-        payload.rejects(decoded)
-        .writeStream.format("parquet")
-        .option("path", f"{checkpoints}/rejects/data")
-        .option("checkpointLocation", f"{checkpoints}/rejects/checkpoint")
-    )
+def quarantine(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Store a batch's malformed payloads; a retried batch replaces its own."""
+    payload.rejects(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, REJECTS).select(*REJECTS.fieldNames())
 
 
 def topic_to_live(
-    spark: SparkSession, servers: str, topic_name: str, root: str, checkpoint: str
+    spark: SparkSession,
+    servers: str,
+    topic_name: str,
+    root: str,
+    checkpoint: str,
+    max_offsets: int | None = None,
 ) -> DataStreamWriter:
-    """Topic -> both live tables."""
-    return records_to_live(
-        topic.read_stream(spark, topic.source_options(servers, topic_name)), root, checkpoint
-    )
+    """Topic -> both live tables. ``max_offsets`` bounds a batch, such as the first after a stop."""
+    options = topic.source_options(servers, topic_name, max_offsets=max_offsets)
+    return records_to_live(topic.read_stream(spark, options), root, checkpoint)
+
+
+def records_to_live(
+    records: DataFrame, root: str, checkpoint: str, dedup_delay: str | None = DEDUP_DELAY
+) -> DataStreamWriter:
+    """Both live tables, and ``<root>/rejects``. Redelivered events count once (see
+    ``dedup_stream``); ``dedup_delay`` of None counts each delivery and needs no state."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        events = ingest.normalize_events(payload.accepted(batch))
+        streams.store_live_batch(recent_changes(events), root, batch_id)
+        quarantine(batch, rejects_path(root), batch_id)
+
+    return _each_batch(_decoded_once(records, dedup_delay), store, checkpoint)
 
 
-def records_to_live(records: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
-    events = ingest.normalize_events(payload.accepted(topic.decode_records(records)))
-    return streams.live_tables_writer(recent_changes(events), root, checkpoint)
+def rejects_path(root: str) -> str:
+    return f"{root.rstrip('/')}/rejects"
 
 
 def topic_to_lake(
     spark: SparkSession, servers: str, topic_name: str, lake_path: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Topic -> lake, with its own position, independent of the live tables."""
+    """Topic -> lake, with its own position, independent of the live tables.
+
+    The source closes a batch at ``ARCHIVE_RECORDS`` records or ``ARCHIVE_DELAY``, whichever comes
+    first, as often as the trigger looks: start it with a short interval.
+    """
     options = topic.source_options(
         servers, topic_name, min_offsets=ARCHIVE_RECORDS, max_delay=ARCHIVE_DELAY
     )
@@ -75,7 +116,34 @@ def topic_to_lake(
 
 
 def records_to_lake(
-    records: DataFrame, lake_path: str, checkpoint: str, by: str = "ingest_time"
+    records: DataFrame,
+    lake_path: str,
+    checkpoint: str,
+    by: str = "ingest_time",
+    dedup_delay: str | None = DEDUP_DELAY,
 ) -> DataStreamWriter:
-    events = ingest.normalize_events(payload.accepted(topic.decode_records(records)))
+    """The lake's streamed files, through the file sink's commit log. Malformed records are counted
+    by the observed metrics; their text is kept by the live stream's quarantine."""
+    decoded = _decoded_once(records, dedup_delay)
+    events = ingest.normalize_events(payload.accepted(decoded))
     return lake.lake_writer(events, lake_path, checkpoint, by=by)
+
+
+def _decoded_once(records: DataFrame, delay: str | None) -> DataFrame:
+    decoded = observe_ingest(topic.decode_records(records))
+    if delay is None:
+        return decoded
+    coordinates = [name for name in topic.COORDINATES if name in decoded.columns]
+    # Malformed records have no id; without coordinates their text tells them apart.
+    return dedup.dedup_stream(decoded, delay, coordinates or ["payload"])
+
+
+def _each_batch(decoded: DataFrame, store: Callable, checkpoint: str) -> DataStreamWriter:
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        batch = rows.persist()
+        try:
+            store(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return decoded.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)

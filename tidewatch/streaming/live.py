@@ -3,22 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import DateType, LongType
+from pyspark.sql.types import DateType
 
 from tidewatch.functions import clock
 from tidewatch.operators.live import traffic_totals, traffic_volume, with_average
 from tidewatch.operators.retention import RETENTION_HOURS, keep_recent
 from tidewatch.schemas import RECENT_CHANGES_SCHEMA, TRAFFIC_SCHEMA
 from tidewatch.sources.tables import read_table
+from tidewatch.streaming import folding
+from tidewatch.streaming.folding import BATCH, DAY
 
 # Window and allowed lateness of live traffic.
 WINDOW = "10 seconds"
 WATERMARK = "10 seconds"
 
-DAY = "event_date"
-BATCH = "batch_id"
-_LIVE_PARTITIONS = {DAY: DateType(), BATCH: LongType()}
-
 
 # --- recent changes: append only ----------------------------------------------------------
 
@@ -54,7 +52,7 @@ def traffic_writer(traffic: DataFrame, path: str, checkpoint: str) -> DataStream
     watermark passes it; here an open window is visible and a later batch supersedes it."""
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        _write_batch(rows, "window_start", path, batch_id)
+        folding.write_batch(rows, "window_start", path, batch_id)
 
     return (
         traffic.writeStream.outputMode("update")
@@ -63,9 +61,14 @@ def traffic_writer(traffic: DataFrame, path: str, checkpoint: str) -> DataStream
     )
 
 
-def read_traffic(spark: SparkSession, path: str) -> DataFrame:
-    """The latest state of every window."""
-    rows = read_table(spark, path, TRAFFIC_SCHEMA, _LIVE_PARTITIONS)
+def read_traffic(
+    spark: SparkSession, path: str, hours: int = 0, as_of: clock.AsOf = None
+) -> DataFrame:
+    """The latest state of every window, or of those of the last ``hours``."""
+    rows = read_table(spark, path, TRAFFIC_SCHEMA, folding.PARTITIONS)
+    if hours > 0:
+        first_day = F.to_date(clock.hours_before(as_of, hours))
+        rows = keep_recent(rows.filter(F.col(DAY) >= first_day), "window_start", hours, as_of)
     latest = F.max_by(F.struct("total_bytes", "event_count"), BATCH)
     return with_average(
         rows.groupBy("window_start").agg(latest.alias("_latest")).select("window_start", "_latest.*")
@@ -76,29 +79,53 @@ def read_traffic(spark: SparkSession, path: str) -> DataFrame:
 
 
 def live_tables_writer(
-    changes: DataFrame, root: str, checkpoint: str, window: str = WINDOW
+    changes: DataFrame,
+    root: str,
+    checkpoint: str,
+    window: str = WINDOW,
+    fold_every: int = folding.FOLD_BATCHES,
+    fold_again: int = folding.FOLD_AGAIN,
 ) -> DataStreamWriter:
     """One query that stores change rows and traffic of each batch under the same batch id.
 
     Traffic rows are the batch's share of a window; readers add the shares up. That needs no
     state and no watermark: a late event adds a share to its window. A retried batch replaces
     its own partitions, so nothing counts twice, and an error fails the batch instead of losing
-    it.
+    it. Finished batches are folded together from time to time (see ``folding``).
     """
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        batch = rows.persist()
-        try:
-            _write_batch(batch, "event_time", changes_path(root), batch_id)
-            _write_batch(
-                traffic_volume(batch, window), "window_start", traffic_path(root), batch_id
-            )
-        finally:
-            batch.unpersist()
+        store_live_batch(rows, root, batch_id, window, fold_every, fold_again)
 
     return changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
 
+def store_live_batch(
+    changes: DataFrame,
+    root: str,
+    batch_id: int,
+    window: str = WINDOW,
+    fold_every: int = folding.FOLD_BATCHES,
+    fold_again: int = folding.FOLD_AGAIN,
+) -> None:
+    """Store one batch in both live tables."""
+    batch = changes.persist()
+    try:
+        folding.write_batch(batch, "event_time", changes_path(root), batch_id)
+        folding.write_batch(
+            traffic_volume(batch, window), "window_start", traffic_path(root), batch_id
+        )
+    finally:
+        batch.unpersist()
+    due = (batch_id, fold_every, fold_again)
+    folding.fold_when_due(
+        changes.sparkSession, changes_path(root), RECENT_CHANGES_SCHEMA, "event_time", *due
+    )
+    folding.fold_when_due(
+        changes.sparkSession, traffic_path(root), TRAFFIC_SCHEMA, "window_start", *due, summed
+    )
+
+
 def changes_path(root: str) -> str:
     return f"{root.rstrip('/')}/recent_changes"
 
@@ -110,18 +137,23 @@ def traffic_path(root: str) -> str:
 def read_live_changes(
     spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
 ) -> DataFrame:
-    rows = read_table(spark, changes_path(root), RECENT_CHANGES_SCHEMA, _LIVE_PARTITIONS)
+    rows = folding.read_levels(spark, changes_path(root), RECENT_CHANGES_SCHEMA)
     return _retained(rows, "event_time", hours, as_of)
 
 
 def read_live_traffic(
     spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
 ) -> DataFrame:
-    shares = read_table(spark, traffic_path(root), TRAFFIC_SCHEMA, _LIVE_PARTITIONS)
+    shares = folding.read_levels(spark, traffic_path(root), TRAFFIC_SCHEMA)
+    return summed(_retained(shares, "window_start", hours, as_of))
+
+
+def summed(shares: DataFrame) -> DataFrame:
+    """Windows from the shares that batches, or folders of them, hold."""
     return with_average(
-        _retained(shares, "window_start", hours, as_of)
-        .groupBy("window_start")
-        .agg(F.sum("total_bytes").alias("total_bytes"), F.sum("event_count").alias("event_count"))
+        shares.groupBy("window_start").agg(
+            F.sum("total_bytes").alias("total_bytes"), F.sum("event_count").alias("event_count")
+        )
     )
 
 
@@ -131,17 +163,3 @@ def _retained(rows: DataFrame, time: str, hours: int, as_of: clock.AsOf) -> Data
         return rows.drop(DAY, BATCH)
     first_day = F.to_date(clock.hours_before(as_of, hours))
     return keep_recent(rows.filter(F.col(DAY) >= first_day), time, hours, as_of).drop(DAY, BATCH)
-
-
-def _write_batch(rows: DataFrame, time: str, path: str, batch_id: int) -> None:
-    """Replace the batch's own partitions. The rebalance makes few files of a batch that many
-    tasks read; they are in time order, so their statistics prune."""
-    (
-        rows.withColumns({DAY: F.to_date(time), BATCH: F.lit(batch_id).cast("bigint")})
-        .hint("rebalance", DAY)
-        .sortWithinPartitions(DAY, BATCH, time)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, BATCH)
-        .parquet(path)
-    )

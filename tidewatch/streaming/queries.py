@@ -2,9 +2,8 @@
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-# Trigger intervals of the live tables and of the archive.
+# Fixed value: how often a stream looks for records.
 LIVE_INTERVAL = "5 seconds"
-ARCHIVE_INTERVAL = "60 seconds"
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
