@@ -19,8 +19,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 # Pieces longer than this are merged one by one with a heap of their own.
 LONG_PIECE = 200
-# The piece cache of a worker is emptied beyond this many entries.
-CACHE_ENTRIES = 250_000
+# The segment cache of a task is emptied beyond this many entries.
+CACHE_ENTRIES = 400_000
 # Documents are encoded in groups of about this many characters.
 GROUP_CHARS = 2 << 20
 
@@ -178,7 +178,7 @@ class Merges:
 
 
 class Encoder:
-    """Texts to ids, with a cache from blank-separated segment to ids that outlives a batch."""
+    """Texts to ids, with a cache from blank-separated segment to ids that lasts for a task."""
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges = merges
@@ -233,23 +233,26 @@ class Encoder:
             self.cache[part] = None if some is None else b"".join([ids[piece] for piece in some])
 
 
-_encoders: dict[tuple[int, str], Encoder] = {}
+_tables: dict[int, Merges] = {}
 
 
-def _encoder(ranks: bytes, pattern: str) -> Encoder:
-    """One per worker process and vocabulary; a worker keeps it over many tasks."""
-    key = (hash(ranks), pattern)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(Merges(ranks), pattern)
-    return _encoders[key]
+def _table(ranks: bytes) -> Merges:
+    """One per worker process; a worker keeps it over many tasks, but no cache of segments, which
+    would take memory from whatever the worker does next."""
+    key = hash(ranks)
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = Merges(ranks)
+    return _tables[key]
 
 
-def _appended(df: DataFrame, column: str, kind, function: Callable) -> DataFrame:
-    """``df`` with one more column, computed batch by batch from an Arrow batch."""
+def _appended(df: DataFrame, column: str, kind, prepare: Callable) -> DataFrame:
+    """``df`` with one more column; ``prepare`` makes, once per task, the function that computes it
+    from an Arrow batch."""
     schema = StructType([*df.schema.fields, StructField(column, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = prepare()
         for batch in batches:
             names = [*batch.schema.names, column]
             yield pa.RecordBatch.from_arrays([*batch.columns, function(batch)], names=names)
@@ -270,14 +273,18 @@ def encode(
     df = df.drop(ids)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
-    def column(batch: pa.RecordBatch) -> pa.Array:
-        texts = (value.as_py() or "" for value in batch.column(text))
-        found = _encoder(shared.value, pattern).encode(texts)
-        ends = np.cumsum([0, *(len(some) // 4 for some in found)]).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
-        return pa.ListArray.from_arrays(pa.array(ends), values)
+    def prepare() -> Callable[[pa.RecordBatch], pa.Array]:
+        encoder = Encoder(_table(shared.value), pattern)
+
+        def column(batch: pa.RecordBatch) -> pa.Array:
+            found = encoder.encode(value.as_py() or "" for value in batch.column(text))
+            ends = np.cumsum([0, *(len(some) // 4 for some in found)]).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
+            return pa.ListArray.from_arrays(pa.array(ends), values)
+
+        return column
 
-    return _appended(df, ids, ArrayType(IntegerType()), column)
+    return _appended(df, ids, ArrayType(IntegerType()), prepare)
 
 
 def decode(df: DataFrame, ranks: bytes, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -289,26 +296,14 @@ def decode(df: DataFrame, ranks: bytes, ids: str = "ids", out: str = "decoded")
     df = df.drop(out)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
-    def column(batch: pa.RecordBatch) -> pa.Array:
-        token = _tokens(shared.value)
-        return pa.array(
+    def prepare() -> Callable[[pa.RecordBatch], pa.Array]:
+        token = _table(shared.value).token.__getitem__
+        return lambda batch: pa.array(
             [
-                b"".join(map(token.__getitem__, some.values.to_pylist())) if some.is_valid else b""
+                b"".join(map(token, some.values.to_pylist())) if some.is_valid else b""
                 for some in batch.column(ids)
             ],
             type=pa.binary(),
         )
 
-    return _appended(df, out, BinaryType(), column)
-
-
-_vocabularies: dict[int, dict[int, bytes]] = {}
-
-
-def _tokens(ranks: bytes) -> dict[int, bytes]:
-    key = hash(ranks)
-    if key not in _vocabularies:
-        _vocabularies.clear()
-        lines = (line.split() for line in ranks.splitlines() if line.strip())
-        _vocabularies[key] = {int(n): base64.b64decode(token) for token, n in lines}
-    return _vocabularies[key]
+    return _appended(df, out, BinaryType(), prepare)
