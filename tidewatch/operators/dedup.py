@@ -9,16 +9,19 @@ KEY = "event_key"
 ARRIVED = "arrived_at"
 
 
-def _keyed(events: DataFrame, coordinates: list[str]) -> tuple[DataFrame, DataFrame | None]:
+def _keyed(
+    events: DataFrame, coordinates: list[str], identified: Column | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """Events with ``event_key``, and apart from them those that have no key.
 
     With ``coordinates`` (columns that name a record, such as topic, partition and offset) an event
     without an id takes these as its key, so there is only one branch and the input is read once.
-    Without, the second filter names the stored columns, so a scan skips all row groups where every
+    So does one that is not ``identified``, where that is given. Without, the second filter names the stored columns, so a scan skips all row groups where every
     event has an id.
     """
     key = ev.event_key(F.col("meta"), F.col("id"))
     if coordinates:
+        key = key if identified is None else F.when(identified, key)
         record = F.concat_ws("/", F.lit("record"), *coordinates)
         return events.withColumn(KEY, F.coalesce(key.cast("string"), record)), None
     anonymous = F.col("meta.id").isNull() & F.col("id").isNull()
@@ -34,8 +37,8 @@ def dedup_events(events: DataFrame, coordinates: list[str] | None = None) -> Dat
     """One row per event key; events without any identity are passed through. Copies are combined
     before the shuffle, so many copies of one event do not meet in one task. Which copy stays is
     not defined."""
-    identified, anonymous = _keyed(events, coordinates or [])
-    return _joined(identified.dropDuplicates([KEY]), anonymous)
+    keyed, anonymous = _keyed(events, coordinates or [])
+    return _joined(keyed.dropDuplicates([KEY]), anonymous)
 
 
 def dedup_stream(
@@ -43,6 +46,7 @@ def dedup_stream(
     delay: str,
     coordinates: list[str] | None = None,
     spread: Column | None = None,
+    identified: Column | None = None,
 ) -> DataFrame:
     """One row per event key among copies that arrive within ``delay``; state is kept no longer.
 
@@ -52,14 +56,15 @@ def dedup_stream(
 
     A streaming shuffle is not preceded by a combine, so many copies of one event would meet in
     one task. ``spread`` (an expression that differs between copies, such as the topic offset)
-    first removes copies per key and one of 16 slices of it.
+    first removes copies per key and one of 16 slices of it. ``identified`` says where an event's own
+    id can be trusted; elsewhere its ``coordinates`` are its key.
     """
     arrived = events.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, delay)
-    identified, anonymous = _keyed(arrived, coordinates or [])
+    keyed, anonymous = _keyed(arrived, coordinates or [], identified)
     if spread is not None:
-        identified = (
-            identified.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(16)))
+        keyed = (
+            keyed.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(16)))
             .dropDuplicatesWithinWatermark([KEY, "_slice"])
             .drop("_slice")
         )
-    return _joined(identified.dropDuplicatesWithinWatermark([KEY]), anonymous).drop(ARRIVED)
+    return _joined(keyed.dropDuplicatesWithinWatermark([KEY]), anonymous).drop(ARRIVED)

@@ -9,6 +9,7 @@ of ``stats.IngestTotals`` are observed on the way.
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidewatch.operators import dedup, ingest
@@ -134,8 +135,10 @@ def _decoded_once(records: DataFrame, delay: str | None) -> DataFrame:
     if delay is None:
         return decoded
     coordinates = [name for name in topic.COORDINATES if name in decoded.columns]
-    # Malformed records have no id; without coordinates their text tells them apart.
-    return dedup.dedup_stream(decoded, delay, coordinates or ["payload"])
+    # What a malformed record says of its id must not push out an event; without coordinates its
+    # text is its key.
+    good = F.col("reject_reason").isNull()
+    return dedup.dedup_stream(decoded, delay, coordinates or ["payload"], identified=good)
 
 
 def _each_batch(decoded: DataFrame, store: Callable, checkpoint: str) -> DataStreamWriter:
