@@ -49,12 +49,14 @@ def _large_star(links: DataFrame) -> DataFrame:
         .groupBy("small")
         .agg(F.min("near").alias("least"))
     )
+    # Stored, so that the join is between two shuffles and a node with many links can be split.
+    least = stored(least, "least")
     return links.join(least, "small").selectExpr("big", "least AS small").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours go below the smallest of them."""
-    least = links.groupBy("big").agg(F.min("small").alias("least"))
+    least = stored(links.groupBy("big").agg(F.min("small").alias("least")), "least")
     moved = links.join(least, "big").where("small <> least").selectExpr("small AS big", "least")
     return moved.unionByName(least).selectExpr("big", "least AS small").distinct()
 
