@@ -243,12 +243,30 @@ def _severity(source: str) -> str:
     )
 
 
-def _top_servers(source: str) -> str:
+def _top_servers(source: str, limit: int = 12) -> str:
     return _with(
         source,
         f"""SELECT server_name, count(*) AS total_edits,
           CAST(sum(abs(bytes_changed)) AS BIGINT) AS total_bytes
-        FROM {source} GROUP BY 1 ORDER BY total_edits DESC, server_name LIMIT 12""",
+        FROM {source} GROUP BY 1 ORDER BY total_edits DESC, server_name LIMIT {limit}""",
+    )
+
+
+def _namespaces(limit: int) -> str:
+    return _with(
+        "asked",
+        f"""SELECT split_part(title, ':', 1) AS namespace, count(*) AS total_count
+        FROM asked WHERE title LIKE '%:%' GROUP BY 1
+        ORDER BY total_count DESC, namespace LIMIT {limit}""",
+    )
+
+
+def _live_languages(limit: int) -> str:
+    return _with(
+        "asked",
+        f"""SELECT split_part(server_name, '.', 1) AS language, count(*) AS total_count,
+          CAST(sum(abs(bytes_changed)) AS BIGINT) AS total_bytes
+        FROM asked GROUP BY 1 ORDER BY total_count DESC, language LIMIT {limit}""",
     )
 
 
@@ -398,18 +416,13 @@ def all_oracles() -> dict[str, str]:
               CAST(sum(abs(length_diff)) AS BIGINT) AS total_bytes, count(*) AS "count"
             FROM asked GROUP BY 1""",
         ),
-        "live_namespaces": _with(
-            "asked",
-            """SELECT split_part(title, ':', 1) AS namespace, count(*) AS total_count
-            FROM asked WHERE title LIKE '%:%' GROUP BY 1
-            ORDER BY total_count DESC, namespace LIMIT 20""",
-        ),
-        "live_languages": _with(
-            "asked",
-            """SELECT split_part(server_name, '.', 1) AS language, count(*) AS total_count,
-              CAST(sum(abs(bytes_changed)) AS BIGINT) AS total_bytes
-            FROM asked GROUP BY 1 ORDER BY total_count DESC, language LIMIT 12""",
-        ),
+        "live_namespaces": _namespaces(20),
+        "live_namespaces_top2": _namespaces(2),
+        "live_languages": _live_languages(12),
+        "live_languages_top3": _live_languages(3),
+        "live_servers_top3": _top_servers("asked", 3),
+        "hist_read_languages_top3": _languages(False, "LIMIT 3"),
+        "hist_read_servers_top3": _servers(3),
         "live_users": _with("asked", _USERS),
         "live_power_users": _with("asked", _POWER_USERS),
         "live_user_histogram": _with(

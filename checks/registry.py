@@ -299,6 +299,14 @@ def _history_read(view: str, read: Callable[[DataFrame], DataFrame]) -> Query:
 _add("hist_read_trends", _history_read("hourly_trends", history_reads.read_trends))
 _add("hist_read_patterns", _history_read("hourly_patterns", history_reads.read_patterns))
 _add("hist_read_languages", _history_read("language_distribution", history_reads.read_languages))
+_add(
+    "hist_read_languages_top3",
+    _history_read("language_distribution", lambda rows: history_reads.read_languages(rows, 3)),
+)
+_add(
+    "hist_read_servers_top3",
+    _history_read("server_rankings", lambda rows: history_reads.read_servers(rows, 3)),
+)
 _add("hist_read_servers", _history_read("server_rankings", history_reads.read_servers))
 _add("hist_read_contributors", _history_read("top_contributors", history_reads.read_contributors))
 
@@ -351,10 +359,10 @@ def stream_count_window(spark, sf_dir):
     return read_table(spark, path, windows.schema)
 
 
-def _live(query: Callable[..., DataFrame], minutes: int = LOOKBACK) -> Query:
+def _live(query: Callable[..., DataFrame], minutes: int = LOOKBACK, **options) -> Query:
     def run(spark, sf_dir):
         changes = feed.changes(spark, sf_dir)
-        return query(changes, minutes=minutes, as_of=_newest(changes))
+        return query(changes, minutes=minutes, as_of=_newest(changes), **options)
 
     return run
 
@@ -384,6 +392,10 @@ for _query in (
     _add(_query.__name__, _live(_query))
 _add("live_severity_30min", _live(live.live_severity, live.LOOKBACK_MINUTES))
 _add("live_servers_30min", _live(live.live_servers, live.LOOKBACK_MINUTES))
+# Fewer rows than there are servers, languages and namespaces, so that the cut is exercised.
+_add("live_servers_top3", _live(live.live_servers, top_n=3))
+_add("live_languages_top3", _live(live.live_languages, top_n=3))
+_add("live_namespaces_top2", _live(live.live_namespaces, top_n=2))
 _add("live_avg_change", _live(monitoring.average_change))
 
 

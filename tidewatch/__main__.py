@@ -20,7 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidewatch.operators import monitoring
 from tidewatch.operators.retention import RETENTION_HOURS
 from tidewatch.plans import batch_job, incremental, pipelines, retention
-from tidewatch.session import configure
+from tidewatch.session import clean, configure
 from tidewatch.sources import jdbc, lake
 from tidewatch.streaming import folding
 from tidewatch.streaming import live as streams
@@ -83,6 +83,7 @@ def main() -> None:
             spark, args.lake, _store(args), args.days, literal_counts=args.literal_counts
         )
         print(counts or "no events in the look-back window, nothing written")
+        clean(spark)
     elif args.job == "ingest":
         writer = pipelines.captured_to_topic(
             spark, args.captured, args.servers, args.topic, args.checkpoints
@@ -107,6 +108,7 @@ def main() -> None:
         lake.compact_lake(spark, args.lake, args.target, args.year, args.month)
     elif args.job == "hours":
         incremental.update_hours(spark, args.lake, args.table)
+        clean(spark)
     elif args.job == "silence":
         monitoring.silence_now(streams.read_live_changes(spark, args.root)).show(truncate=False)
 

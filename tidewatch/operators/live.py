@@ -232,7 +232,10 @@ def live_volume_change(
 
 
 def live_namespaces(
-    changes: DataFrame, minutes: int = LOOKBACK_MINUTES, as_of: clock.AsOf = None
+    changes: DataFrame,
+    minutes: int = LOOKBACK_MINUTES,
+    as_of: clock.AsOf = None,
+    top_n: int = TOP_NAMESPACES,
 ) -> DataFrame:
     """Changes per title prefix, among titles that have one."""
     namespaces = (
@@ -241,7 +244,7 @@ def live_namespaces(
         .groupBy(change.title_namespace(F.col("title")).alias("namespace"))
         .agg(_edits().alias("total_count"))
     )
-    return top_k(namespaces, "total_count", ["namespace"], TOP_NAMESPACES)
+    return top_k(namespaces, "total_count", ["namespace"], top_n)
 
 
 def live_languages(

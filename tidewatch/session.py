@@ -1,5 +1,7 @@
 """Session settings the jobs are written for, and the shared working folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -40,9 +42,23 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/tidewatch/{purpose}-{uuid.uuid4().hex}"
+    return f"{_session_root(spark, root)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _session_root(spark: SparkSession, root: str) -> str:
+    return f"{root.rstrip('/')}/tidewatch/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all work folders of this session; call it when their results have been read."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_session_root(spark, root))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 @cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidewatch-")
+    root = tempfile.mkdtemp(prefix="tidewatch-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
