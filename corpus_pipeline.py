@@ -38,11 +38,12 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate group. All rows of that id stay, and
-    rows without an id, as nothing names them."""
+    """The document of smallest id of each near-duplicate group: fingerprints of 3-word shingles at
+    most 2 bits apart, or five-word shingles of a Jaccard similarity of 0.8 or more. All rows of
+    that id stay, and rows without an id, as nothing names them."""
     prepare(spark)
     kept = (
-        simhash.near_duplicates(docs, shingle=3, max_bits=2)
+        simhash.near_duplicates(docs, shingle=3, max_bits=2, similarity=0.8, words=5)
         .where("doc_id = component_id")
         .select("doc_id")
         .distinct()

@@ -1,5 +1,7 @@
 """What the operators share: reading tables, stored intermediates, column helpers."""
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,20 @@ def lower_ascii(text: Column) -> Column:
 def held_out(key: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the key as text falls into ``fold``; a null key never does."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def shingle_hashes(text: str, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of every word shingle, repeats included."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= shingle:
+        return np.array([digest(b" ".join(words), seed)], dtype=np.uint64)
+    joined = b" ".join(words)
+    stops = np.cumsum([len(word) + 1 for word in words]) - 1
+    starts = np.r_[0, stops[:-1] + 1]
+    ends = stops[shingle - 1 :].tolist()
+    return np.array(
+        [digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends)], dtype=np.uint64
+    )

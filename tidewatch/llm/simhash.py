@@ -11,12 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidewatch.llm.common import stored
+from tidewatch.llm import minhash
+from tidewatch.llm.common import shingle_hashes, stored
 from tidewatch.llm.components import components, in_blocks, spanning
 
 BITS = 64
@@ -24,26 +24,9 @@ BITS = 64
 BLOCK = 512
 
 
-def _hashes(text: str, shingle: int, seed: int) -> np.ndarray:
-    """XXH64 of every word shingle, repeats included."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return np.array([digest(b" ".join(words), seed)], dtype=np.uint64)
-    joined = b" ".join(words)
-    stops = np.cumsum([len(word) + 1 for word in words]) - 1
-    starts = np.r_[0, stops[:-1] + 1]
-    ends = stops[shingle - 1 :].tolist()
-    return np.array(
-        [digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends)], dtype=np.uint64
-    )
-
-
 def simhash(text: str, shingle: int, seed: int) -> int:
     """The fingerprint as an unsigned number: a bit is set if it is in over half the hashes."""
-    hashes = _hashes(text, shingle, seed)
+    hashes = shingle_hashes(text, shingle, seed)
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, dtype=np.int64)
@@ -55,13 +38,20 @@ def simhash(text: str, shingle: int, seed: int) -> int:
 
 
 def fingerprints(
-    df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = 42
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    seed: int = 42,
+    *more: str,
 ) -> DataFrame:
-    """``key`` and ``fp`` (the fingerprint's 64 bits as a signed long), one row per row of ``df``.
+    """``key``, ``fp`` (the fingerprint's 64 bits as a signed long) and the columns ``more``, one row
+    per row of ``df``.
 
     A null text counts as empty and has fingerprint zero, like a text without words.
     """
-    schema = StructType([df.schema[key], StructField("fp", LongType())])
+    fields = [df.schema[name] for name in more]
+    schema = StructType([df.schema[key], StructField("fp", LongType()), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,10 +60,11 @@ def fingerprints(
                 dtype=np.uint64,
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=[key, "fp"]
+                [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                names=schema.names,
             )
 
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.select(key, text, *more).mapInArrow(run, schema)
 
 
 def _segments(count: int) -> list[tuple[int, int]]:
@@ -173,6 +164,8 @@ def near_duplicates(
     shingle: int = 3,
     max_bits: int = 2,
     seed: int = 42,
+    similarity: float | None = None,
+    words: int = 5,
 ) -> DataFrame:
     """``key, fingerprint (16 hex digits), component_id`` per row: documents whose fingerprints are
     linked by steps of at most ``max_bits`` differing bits share the smallest key of them.
@@ -181,10 +174,23 @@ def near_duplicates(
     Texts: see ``fingerprints``. Rows with a null key keep their row; they join a component but
     never name it, and a component of null keys only has a null id. Repeated rows stay. Other
     columns are not read; an empty table gives an empty result.
+
+    With ``similarity``, texts whose sets of ``words``-word shingles have at least that Jaccard
+    similarity are linked as well (see ``minhash.links``).
     """
-    docs = stored(fingerprints(df, key, text, shingle, seed), "fingerprints")
+    docs = fingerprints(df, key, text, shingle, seed)
+    if similarity is not None:
+        docs = fingerprints(df.withColumn("whole", minhash.whole(text)), key, text, shingle, seed, "whole")
+    docs = stored(docs, "fingerprints")
     nodes = stored(docs.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
-    linked = components(links(nodes.select("fp"), max_bits))
+    near = links(nodes.select("fp"), max_bits)
+    if similarity is not None:
+        prints = docs.select("whole", "fp").distinct()
+        alike = minhash.links(df, similarity, text, words, seed)
+        for end in ("a", "b"):
+            alike = alike.join(prints.select(F.col("whole").alias(end), F.col("fp").alias(f"fp_{end}")), end)
+        near = near.unionByName(alike.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
+    linked = components(near)
     rooted = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root")
     )
