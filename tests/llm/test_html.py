@@ -73,3 +73,14 @@ def test_odd_rows(spark):
     rows = html_text.extract(df).collect()
     assert sorted(r.text for r in rows) == ["", "", "same", "same"]
     assert html_text.extract(df.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content has-sidebar'>{BODY}</div>", f"<main class='with-sidebar'>{BODY}</main>",
+    f"<div id=page class='no-comments'><article>{BODY}</article></div>",
+    f"<article class='post share-enabled'>{BODY}</article>", f"<article class='sidebar'>{BODY}</article>",
+    f"<div class='sidebar-layout'><main>{BODY}</main><div class=sidebar>{LONG * 9}</div></div>",
+    f"<main><div class='widget'><article>{BODY}</article></div></main>",
+])
+def test_classes_do_not_hide_an_article(page):
+    assert html_text.main_text(page) == EXPECTED

@@ -10,6 +10,7 @@ last line, so that a short closing paragraph is not lost.
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -65,27 +66,54 @@ _ATTRIBUTE = re.compile(
     r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
     re.IGNORECASE,
 )
+# Classes that say what a layout has, not what the element is.
+_LAYOUT = re.compile(r"(?:has|no|with|without)[-_].*|.*[-_](?:enabled|disabled)")
 _WORDS = re.compile(r"[a-z0-9]+(?=[^a-z0-9]|\Z)|[a-z0-9]+")
 
 
-def _is_noise(name: str, rest: str, inside_main: bool) -> bool:
+# How sure noise is: a class or an id is a guess that an article inside refutes.
+MAYBE, SURE = 1, 2
+
+
+def _is_noise(name: str, rest: str, inside_main: bool) -> int:
     if name in DROPPED or (name == "header" and not inside_main):
-        return True
+        return SURE
     if not rest or name in ("html", "body"):
-        return False
+        return 0
+    found = 0
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next(filter(None, values), "").strip().lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return SURE
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return SURE
         if key == "role" and value in ROLES:
-            return True
-        if key in ("class", "id"):
+            return SURE
+        if key in ("class", "id") and name not in MAIN:
             for word in value.split():
+                if _LAYOUT.fullmatch(word):
+                    continue
                 if word in WHOLE_NOISE or not NOISE.isdisjoint(_WORDS.findall(word)):
-                    return True
-    return False
+                    found = MAYBE
+    return found
+
+
+class _Open(NamedTuple):
+    """An open element: ``sure`` if it is noise in any case, ``maybe`` the elements around a line
+    whose class or id says noise, and the outermost main element, -1 for none."""
+
+    name: str
+    number: int
+    sure: bool
+    maybe: tuple[int, ...]
+    scope: int
+
+    @property
+    def noise(self) -> bool:
+        return self.sure or bool(self.maybe)
+
+
+ROOT = _Open("", -1, False, (), -1)
 
 
 class _Lines:
@@ -93,15 +121,27 @@ class _Lines:
 
     def __init__(self, page: str):
         self.texts: list[str] = []
-        self.noise: list[bool] = []
-        self.weights: list[int] = []
-        self.scopes: list[int] = []
-        # Open elements: (name, noise, scope); a scope is the outermost main element, -1 for none.
-        self.open: list[tuple[str, bool, int]] = []
-        self.found_scopes = 0
+        # The element each line stands in, its link characters, its block and that one's parent.
+        self.within: list[_Open] = []
+        self.linked: list[int] = []
+        self.blocks: list[tuple[int, int]] = []
+        self.open: list[_Open] = []
+        self.elements = 0
+        # Elements that are no noise, as an article in them says.
+        self.cleared: set[int] = set()
+        # Name and parent element of each scope, and whether it has had an article.
+        self.scopes_at: list[tuple[str, int]] = []
+        self.told: list[bool] = []
         self.parts: list[str] = []
         self.links = 0
         self._read(page)
+        self.noise = [x.sure or not self.cleared.issuperset(x.maybe) for x in self.within]
+        # A line that is mostly links has no weight, though it stays if it stands in the text.
+        self.weights = [
+            0 if noise or 2 * links > len(text) else len(text) - links
+            for text, noise, links in zip(self.texts, self.noise, self.linked)
+        ]
+        self.scopes = [-1 if noise else x.scope for x, noise in zip(self.within, self.noise)]
 
     def _read(self, page: str) -> None:
         at, size = 0, len(page)
@@ -129,7 +169,7 @@ class _Lines:
     def _text(self, text: str) -> None:
         if text:
             self.parts.append(text)
-            if any(name == "a" for name, _, _ in self.open[-3:]):
+            if any(x.name == "a" for x in self.open[-3:]):
                 self.links += len(text)
 
     def _break(self) -> None:
@@ -138,33 +178,45 @@ class _Lines:
         links, self.parts, self.links = self.links, [], 0
         if not text:
             return
-        noise, scope = self.open[-1][1:] if self.open else (False, -1)
         self.texts.append(text)
-        self.noise.append(noise)
-        # A line that is mostly links has no weight, though it stays if it stands in the text.
-        self.weights.append(0 if noise or 2 * links > len(text) else len(text) - links)
-        self.scopes.append(-1 if noise else scope)
+        self.within.append(self.open[-1] if self.open else ROOT)
+        self.linked.append(links)
+        at = next((n for n in range(len(self.open) - 1, -1, -1) if self.open[n].name in BLOCKS), -1)
+        block = self.open[at].number if at >= 0 else -1
+        self.blocks.append((block, self.open[at - 1].number if at > 0 else -1))
 
     def _begin(self, name: str, rest: str) -> None:
-        above, noise, scope = self.open[-1] if self.open else ("", False, -1)
-        bad = _is_noise(name, rest, scope >= 0)
-        if name in BLOCKS or bad != noise:
+        above = self.open[-1] if self.open else ROOT
+        bad = _is_noise(name, rest, above.scope >= 0)
+        if name in BLOCKS or bool(bad) != above.noise:
             self._break()
         if name in BLOCKS and name not in ("br", "hr"):
             self._end_paragraph(name)
-            above, noise, scope = self.open[-1] if self.open else ("", False, -1)
+            above = self.open[-1] if self.open else ROOT
         if name in VOID or rest.endswith("/") and name not in BLOCKS:
             return
-        if name in MAIN and scope < 0 and not (noise or bad):
-            scope = self.found_scopes
-            self.found_scopes += 1
-        self.open.append((name, noise or bad, scope))
+        sure, maybe, scope = above.sure or bad == SURE, above.maybe, above.scope
+        if name in MAIN and not sure:
+            # Around the first article of a main element, and around one outside of any, no class
+            # or id is right that says noise.
+            if scope < 0:
+                self.cleared.update(maybe)
+                scope = len(self.told)
+                self.told.append(name == "article")
+                self.scopes_at.append((name, above.number))
+            elif not self.told[scope]:
+                self.cleared.update(maybe)
+                self.told[scope] = name == "article"
+        if bad == MAYBE:
+            maybe = (*maybe, self.elements)
+        self.open.append(_Open(name, self.elements, sure, maybe, scope))
+        self.elements += 1
 
     def _end_paragraph(self, name: str) -> None:
         """A block ends an open paragraph, an item the item before it."""
         ends = ("p", name) if name in ITEMS else ("p",)
         for back in range(len(self.open) - 1, -1, -1):
-            inner = self.open[back][0]
+            inner = self.open[back].name
             if inner in ends:
                 del self.open[back:]
                 return
@@ -175,8 +227,8 @@ class _Lines:
         if name in BLOCKS:
             self._break()
         for back in range(len(self.open) - 1, -1, -1):
-            if self.open[back][0] == name:
-                if self.open[back][1] and not (back and self.open[back - 1][1]):
+            if self.open[back].name == name:
+                if self.open[back].noise and not (back and self.open[back - 1].noise):
                     self._break()
                 del self.open[back:]
                 return
