@@ -75,6 +75,38 @@ def test_odd_rows(spark):
     assert html_text.extract(df.where("false")).collect() == []
 
 
+LINE = "Seventy-five characters of text, as a paragraph of the article may well hold."[:75]
+
+
+def paragraphs(count, text=LINE):
+    return "".join(f"<p>{text}</p>" for _ in range(count))
+
+
+@pytest.mark.parametrize("between", [
+    paragraphs(4, "Short words, twenty."), "<ul>" + "<li>An item</li>" * 5 + "</ul>",
+    "<table>" + "<tr><td>1</td><td>2</td></tr>" * 3 + "</table>", paragraphs(6, "'Yes.' 'No.'"),
+    "<ul>" + "<li><a href=/x>Only a link of the text</a></li>" * 4 + "</ul>",
+])
+def test_short_lines_between_paragraphs_stay(between):
+    page = f"<body><div id=menu>{LONG}</div><div>{paragraphs(4)}{between}{paragraphs(3)}</div></body>"
+    inner = " ".join(re.sub(r"<[^>]*>", " ", between).split())
+    assert html_text.main_text(page) == " ".join([*[LINE] * 4, inner, *[LINE] * 3])
+
+
+def test_every_run_stays():
+    gap = "<div>" + paragraphs(4, "<a href=/x>Link</a>") + "</div>"
+    page = f"<body><div>{paragraphs(4)}</div>{gap}<div><div>{paragraphs(3)}</div></div></body>"
+    found = html_text.main_text(page)
+    assert found.count(LINE) == 7
+
+
+def test_articles_beside_stay_and_noise_goes():
+    page = f"<div><article>{BODY}</article><article><p>Short.</p></article><article hidden>x</article></div>"
+    assert html_text.main_text(page) == f"{EXPECTED} Short."
+    page = f"<main><article>{BODY}</article><div id=comments><article>{LONG}</article></div></main>"
+    assert html_text.main_text(page) == EXPECTED
+
+
 @pytest.mark.parametrize("page", [
     f"<div class='content has-sidebar'>{BODY}</div>", f"<main class='with-sidebar'>{BODY}</main>",
     f"<div id=page class='no-comments'><article>{BODY}</article></div>",

@@ -2,9 +2,10 @@
 
 Markup is stripped so that every block element leaves one line; what stands in menus, adverts and
 the like leaves a line without weight. The text lengths of a few consecutive lines are summed in a
-sliding window: where the sums surge the main text begins, where they dive it ends. If the
-text found lies in an article element, the surge and the dive move to that element's first and
-last line, so that a short closing paragraph is not lost.
+sliding window: where the sums surge text begins, where they dive it ends. Every such run is kept,
+and what lies between two runs of one parent element. If the heaviest run lies in an article element,
+the surge and the dive move to that element's first and last line, so that a short closing paragraph
+is not lost; articles beside it are kept as well.
 """
 
 import html
@@ -248,23 +249,35 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     high = sums >= min(surge, sums.max())
     # Runs of high sums; the last window of a run reaches ``window - 1`` lines further.
     edges = np.flatnonzero(np.diff(np.r_[False, high, False].astype(int)))
-    best, start, stop = -1, 0, 0
     ends = np.minimum(edges[1::2] + window - 1, len(weights))
+    runs, best, held, own = [], -1, scopes[:0], weights[:0]
     for a, b in zip(edges[::2].tolist(), ends.tolist()):
         # Windows that begin before the text have a surge point at its first line with weight.
         within = np.flatnonzero(weights[a:b])
         total = int(weights[a:b].sum())
-        if len(within) and total > best:
-            best, start, stop = total, a + int(within[0]), a + int(within[-1]) + 1
-    held, own = scopes[start:stop], weights[start:stop]
+        if not len(within):
+            continue
+        a, b = a + int(within[0]), a + int(within[-1]) + 1
+        runs.append((a, b))
+        if total > best:
+            best, held, own = total, scopes[a:b], weights[a:b]
+    keep = np.zeros(len(noise), dtype=bool)
     if (held >= 0).any():
         scope = int(np.bincount(held[held >= 0], own[held >= 0]).argmax())
-        inside = np.flatnonzero(scopes == scope)
-        start, stop = int(inside[0]), int(inside[-1]) + 1
-        keep = scopes[start:stop] == scope
+        kind = lines.scopes_at[scope]
+        beside = [n for n, at in enumerate(lines.scopes_at) if kind[0] == "article" and at == kind]
+        keep = np.isin(scopes, [scope, *beside])
     else:
-        keep = ~noise[start:stop]
-    return " ".join(lines.texts[start + n] for n in np.flatnonzero(keep).tolist())
+        # An element that holds lines of two runs holds all lines between these.
+        before: dict[int, int] = {}
+        for a, b in runs:
+            keep[a:b] = True
+            around = {element for at in range(a, b) if not noise[at] for element in lines.blocks[at]}
+            first = min((before[element] for element in around if element in before), default=a)
+            keep[first:a] = True
+            before.update(dict.fromkeys(around - before.keys(), a))
+        keep &= ~noise
+    return " ".join(lines.texts[n] for n in np.flatnonzero(keep).tolist())
 
 
 def extract(
