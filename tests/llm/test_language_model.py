@@ -112,3 +112,20 @@ def test_chunks_do_not_matter(spark, monkeypatch):
 def test_odd_rows(spark, rows):
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, word string, n int")
     check(rows, lm.train_and_score(df).collect())
+
+
+def test_rare_grams_of_a_large_corpus_are_arcs(spark):
+    """One of 300,000 tokens is far below any share of the corpus, and is counted all the same."""
+    rows = [(n, "x " * 60000) for n in (1, 2, 3, 4, 5)]
+    rows += [(n, f"rare{n} words{n} of a text that is there once") for n in range(10, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(rows, lm.train_and_score(df).collect(), share=0)
+
+
+def test_model_grows_with_the_corpus(spark):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    sizes = [[arcs.count() for arcs in lm.train(part).arcs] for part in (df.where("doc_id % 2 = 0"), df)]
+    for order in range(3):
+        runs = [words(r.text) for r in df.select("text").collect()]
+        grams = {tuple(run[i : i + order + 1]) for run in runs for i in range(len(run) - order)}
+        assert sizes[0][order] < sizes[1][order] == len(grams)

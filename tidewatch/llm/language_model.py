@@ -1,33 +1,31 @@
 """Log-probabilities of texts under a weighted backoff automaton over words.
 
-Every n-gram whose share of the training tokens is at least ``share`` is an arc; its history is a
-state, and a state fails to that of its next shorter history. So the automaton has at most
-``1 / share`` arcs per order, whatever the corpus holds, and is broadcast. Below it stands the
-unigram distribution over the whole vocabulary, however large: it stays a table, and each chunk of
-documents is sent the counts of its own words.
+Every n-gram of the training texts is an arc; its history is a state, and a state fails to that of
+its next shorter history. Both grow with the texts, so they are stored tables, never held by one
+process: scoring joins the n-grams of the texts with the arcs, and those without an arc with the
+weights of the states they fail from, order by order.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import held_out, stored
 
 # The end of a text, as a word: no real word is empty.
 END = b""
+# What stands before a text, as the number of a word.
+START = 0
 ORDER = 3
-SHARE = 1e-5
 DISCOUNT = 0.5
-# Characters of the documents that are scored together, and entries held before they are sent on.
+# Characters of texts whose n-grams a task counts together, and words or rows held at once.
 CHUNK_CHARS = 8 << 20
 HELD = 400_000
-# Bits of a word's number in the code of an n-gram.
-BITS = 21
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -35,272 +33,205 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
-def _counted(tally: Counter) -> pa.RecordBatch:
-    columns = [pa.array(list(tally), type=pa.binary()), pa.array(tally.values(), type=pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+class _Numbers(dict):
+    """XXH64 of words as signed numbers, never ``START``; forgotten when there are too many."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > HELD:
+            self.clear()
+        number = xxhash.xxh64_intdigest(word)
+        number = (number - (1 << 64) if number >> 63 else number) or 1
+        self[word] = number
+        return number
 
-def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, n`` over all of ``docs``; tasks count first, so a frequent word is a few rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: Counter = Counter()
-        for batch in batches:
-            for value in batch.column(0):
-                tally.update(words_of(value.as_py()))
-                if len(tally) > HELD:
-                    yield _counted(tally)
-                    tally.clear()
-        if tally:
-            yield _counted(tally)
+def _names(order: int) -> list[str]:
+    return [f"w{n}" for n in range(order)]
 
-    counted = docs.select(text).mapInArrow(run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
+def _grams(runs: list[list[bytes]], order: int, numbers: _Numbers) -> np.ndarray:
+    """The ``order`` words that end at each word of each run, a row each; ``START`` goes before."""
+    flat: list[int] = []
+    for run in runs:
+        flat += [START] * (order - 1)
+        flat += [numbers[word] for word in run]
+    rows = np.lib.stride_tricks.sliding_window_view(np.array(flat, dtype=np.int64), order)
+    # A row that ends in padding is none of a text.
+    return rows[rows[:, -1] != START]
 
-def count_grams(
-    docs: DataFrame, number: dict[bytes, int], order: int, text: str = "text"
-) -> DataFrame:
-    """``gram, n``: codes of the 2- to ``order``-grams of numbered words, over all of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(number)
 
-    def codes(ids: np.ndarray) -> Iterator[np.ndarray]:
-        code, known = ids.copy(), ids > 0
-        for step in range(1, order):
-            code = code[:-1] << BITS | ids[step:]
-            known = known[:-1] & (ids[step:] > 0)
-            yield code[known]
+def _unique(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and how often each is there."""
+    order = np.lexsort(rows.T)
+    rows = rows[order]
+    new = np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]
+    starts = np.flatnonzero(new)
+    return rows[starts], np.diff(np.r_[starts, len(rows)])
+
+
+def count_grams(docs: DataFrame, order: int, text: str = "text") -> DataFrame:
+    """``w0, ..., n``: the ``order``-grams of all of ``docs`` by numbers of words, those shorter
+    than a text's beginning padded; tasks count first."""
+    names = _names(order)
 
     def batch_of(parts: list[np.ndarray]) -> pa.RecordBatch:
-        grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
+        rows, counts = _unique(np.concatenate(parts))
+        columns = [pa.array(np.ascontiguousarray(column)) for column in rows.T]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=[*names, "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = shared.value.get
-        parts, size = [], 0
+        numbers, parts, size = _Numbers(), [], 0
         for batch in batches:
-            ids = []
-            for value in batch.column(0):
-                # Unnumbered words break n-grams, and so does the gap after a text.
-                ids += [find(word, 0) for word in words_of(value.as_py())]
-                ids.append(0)
-            for code in codes(np.array(ids, dtype=np.int64)):
-                parts.append(code)
-                size += len(code)
-            if size > 8 * HELD:
+            texts = batch.column(0).to_pylist()
+            if not texts:
+                continue
+            parts.append(_grams([words_of(value) for value in texts], order, numbers))
+            size += sum(1 + len(value or "") for value in texts)
+            if size > CHUNK_CHARS:
                 yield batch_of(parts)
                 parts, size = [], 0
         if size:
             yield batch_of(parts)
 
-    counted = docs.select(text).mapInArrow(run, "gram long, n long")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"{name} long" for name in [*names, "n"])
+    return docs.select(text).mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Automaton:
-    """States are numbers, the root 0. ``arcs`` maps ``state * width + word`` to the log10
-    probability and the next state; the root has an arc for every numbered word. ``fails`` gives a
-    state's log10 backoff weight and the state it fails to."""
-
-    number: dict[bytes, int]
-    counts: dict[bytes, int]
-    width: int
-    arcs: dict[int, tuple[float, int]]
-    fails: list[tuple[float, int]]
+    """``arcs[k]`` has the n-grams of order ``k + 1`` (``w0, ...``), their probability ``p`` and the
+    count ``c`` of their last word; ``fails[k]`` the backoff ``weight`` of the histories of ``k + 1``
+    words. ``arcs[0]`` has all words of the training texts."""
+
+    arcs: list[DataFrame]
+    fails: list[DataFrame]
     tokens: int
     types: int
     unknown: float
 
-    def chance(self, count: int) -> float:
-        """Unigram probability of a word seen ``count`` times; all unseen words are one word."""
-        return (1 - self.unknown) * count / self.tokens if count else self.unknown
 
-
-def build(
-    words: list[tuple[bytes, int]],
-    grams: list[tuple[int, int]],
-    tokens: int,
-    types: int,
-    once: int,
+def train(
+    docs: DataFrame,
+    text: str = "text",
+    order: int = ORDER,
+    share: float = 0.0,
     discount: float = DISCOUNT,
 ) -> Automaton:
-    """The automaton of numbered ``words`` (in order, from 1) and of ``grams``.
+    """The automaton of all texts of ``docs``, as stored tables.
 
     A unigram has its share of the tokens, less what is left for unseen words (as many tokens as
     there are words seen once, by Good and Turing; at most half). Longer n-grams are discounted by
     a constant, and what a history keeps back is spread over all other words in proportion to the
-    shorter history's probabilities, so each state's probabilities sum to one.
+    shorter history's probabilities, so each state's probabilities sum to one. Only totals come to
+    the driver. All n-grams are arcs, unless a ``share`` of the tokens is asked of those of two
+    words and more.
     """
+    counts = [stored(count_grams(docs, order, text), f"{order}-grams")]
+    for size in range(order - 1, 0, -1):
+        longer = [F.col(f"w{n + 1}").alias(f"w{n}") for n in range(size)]
+        shorter = counts[0].select(*longer, "n").groupBy(*_names(size)).agg(F.sum("n").alias("n"))
+        counts.insert(0, stored(shorter, f"{size}-grams"))
+    totals = counts[0].agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1)).first()
+    tokens, types, once = (value or 0 for value in totals)
     unknown = min(max(once, 1) / (tokens + 1), 0.5) if tokens else 1.0
-    number = {word: n for n, (word, _) in enumerate(words, 1)}
-    found = Automaton(
-        number, dict(words), len(words) + 1, {}, [(0.0, 0)], tokens, types, unknown
-    )
-    mask = (1 << BITS) - 1
-    held = {(n,): count for n, (_, count) in enumerate(words, 1)}
-    for code, count in grams:
-        gram = []
-        while code:
-            gram.append(code & mask)
-            code >>= BITS
-        held[tuple(reversed(gram))] = count
-    after: dict[tuple, list[int]] = {}
-    for gram in sorted(held, key=lambda gram: (len(gram), gram)):
-        if len(gram) > 1:
-            after.setdefault(gram[:-1], []).append(gram[-1])
-    state = {(): 0}
-    for history in sorted(after, key=lambda history: (len(history), history)):
-        state[history] = len(state)
-
-    def longest(gram: tuple) -> tuple:
-        while gram not in state:
-            gram = gram[1:]
-        return gram
-
-    chances: dict[tuple, float] = {}
-    weights: dict[tuple, float] = {}
-
-    def chance(history: tuple, word: int) -> float:
-        weight = 1.0
-        while (*history, word) not in chances:
-            weight *= weights.get(history, 1.0)
-            history = history[1:]
-        return weight * chances[(*history, word)]
-
-    for word in range(1, len(words) + 1):
-        chances[(word,)] = found.chance(held[(word,)])
-        found.arcs[word] = (float(np.log10(chances[(word,)])), state[longest((word,))])
-    for history in list(state)[1:]:
-        total = shorter = 0.0
-        for word in after[history]:
-            gram = (*history, word)
-            chances[gram] = (held[gram] - discount) / held[history]
-            total += chances[gram]
-            shorter += chance(history[1:], word)
-        weights[history] = max(1 - total, 1e-12) / max(1 - shorter, 1e-12)
-        for word in after[history]:
-            gram = (*history, word)
-            arc = (float(np.log10(chances[gram])), state[longest(gram)])
-            found.arcs[state[history] * found.width + word] = arc
-        found.fails.append((float(np.log10(weights[history])), state[longest(history[1:])]))
-    return found
+    chance = (F.lit(1 - unknown) * F.col("n") / F.lit(max(tokens, 1))).alias("p")
+    arcs, fails = [counts[0].select("w0", chance, F.col("n").alias("c"))], []
+    for size in range(2, order + 1):
+        names = _names(size)
+        history, suffix = names[:-1], names[1:]
+        grams = counts[size - 1].where((F.col("w0") != START) & (F.col("n") >= share * tokens))
+        below = arcs[-1].select(
+            *[F.col(a).alias(b) for a, b in zip(_names(size - 1), suffix)],
+            F.col("p").alias("below"), "c",
+        )
+        before = counts[size - 2].withColumnRenamed("n", "times")
+        found = (
+            grams.join(below, suffix).join(before, history)
+            .select(*names, ((F.col("n") - discount) / F.col("times")).alias("p"), "c", "below")
+        )
+        found = stored(found, f"{size}-arcs")
+        left = F.greatest(1 - F.sum("p"), F.lit(1e-12)) / F.greatest(1 - F.sum("below"), F.lit(1e-12))
+        fails.append(stored(found.groupBy(*history).agg(left.alias("weight")), f"{size}-fails"))
+        arcs.append(found.drop("below"))
+    return Automaton(arcs, fails, tokens, types, unknown)
+
+
+def _text_grams(docs: DataFrame, order: int, text: str) -> DataFrame:
+    """``text_id, w0, ..., times``: the padded n-grams of each text."""
+    names = _names(order)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers()
+        for batch in batches:
+            for number, value in zip(batch.column(0), batch.column(1)):
+                rows, times = _unique(_grams([words_of(value.as_py())], order, numbers))
+                for start in range(0, len(rows), HELD):
+                    part = rows[start : start + HELD]
+                    columns = [np.full(len(part), number.as_py()), *part.T, times[start : start + HELD]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.ascontiguousarray(column), pa.int64()) for column in columns],
+                        names=["text_id", *names, "times"],
+                    )
 
-def train(
-    docs: DataFrame, text: str = "text", order: int = ORDER, share: float = SHARE
-) -> tuple[Automaton, DataFrame]:
-    """The automaton of all texts of ``docs``, and the stored counts (``word, n``) of all words.
+    schema = ", ".join(f"{name} long" for name in ["text_id", *names, "times"])
+    return docs.select("text_id", text).mapInArrow(run, schema)
 
-    To the driver come only words and n-grams of at least ``share`` of all tokens: at most
-    ``order / share`` rows.
-    """
-    if order > 1 and (order * BITS > 63 or 1 / share >= 1 << BITS):
-        raise ValueError("too many numbered words or too high an order for the n-gram codes")
-    counts = stored(count_words(docs, text), "words")
-    totals = counts.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1)).first()
-    tokens, types, once = (value or 0 for value in totals)
-    least = share * tokens
-    frequent = counts.where(F.col("n") >= least).collect()
-    words = sorted((bytes(row["word"]), row["n"]) for row in frequent)
-    grams: list = []
-    if words and order > 1:
-        number = {word: n for n, (word, _) in enumerate(words, 1)}
-        counted = count_grams(docs, number, order, text).where(F.col("n") >= least)
-        grams = sorted((row["gram"], row["n"]) for row in counted.collect())
-    return build(words, grams, tokens, types, once), counts
-
-
-SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-
-def _scores(texts: list[str | None], rare: dict[bytes, int], model: Automaton) -> list[tuple]:
-    """One left-to-right run of the automaton per text."""
-    number, arcs, fails, width = model.number.get, model.arcs, model.fails, model.width
-    rare_logs = {word: float(np.log10(model.chance(count))) for word, count in rare.items()}
-    unseen = float(np.log10(model.unknown))
-    counts = {**model.counts, **rare}
-    room = model.tokens + model.types + 1
-    out = []
-    for text in texts:
-        words = words_of(text)
-        state, total = 0, 0.0
-        for word in words:
-            known = number(word)
-            if known is None:
-                while state:
-                    weight, state = fails[state]
-                    total += weight
-                total += rare_logs.get(word, unseen)
-                continue
-            arc = arcs.get(state * width + known)
-            while arc is None:
-                weight, state = fails[state]
-                total += weight
-                arc = arcs.get(state * width + known)
-            weight, state = arc
-            total += weight
-        seen = np.array([counts.get(word, 0) for word in words], dtype=float)
-        base = float(np.log10((seen + 1) / room).sum())
-        out.append((len(words), int(np.count_nonzero(seen)), model.tokens, base, total))
-    return out
-
-
-def score(
-    docs: DataFrame, model: Automaton, counts: DataFrame, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+
+def score(docs: DataFrame, model: Automaton, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and, per row of ``docs``, ``n_tokens, n_known`` (tokens seen in training),
     ``train_tokens, base_score`` (sum of log10 add-one unigram probabilities) and ``score`` (log10
     probability of the text with its end).
 
     A null or empty text is its end alone. Rows are independent: repeated rows and null keys stay,
-    an empty table gives an empty result. Documents are dealt to chunks of about ``CHUNK_CHARS``
-    characters by a hash of the row; of a chunk's words, those that are not in the automaton are
-    joined with ``counts`` once per chunk. Texts are shuffled once.
+    an empty table gives an empty result. Equal texts are scored once. N-grams with an arc are done
+    with; the others take the weight of their history, if it is a state, and go on one word
+    shorter, so each order joins only what the one above leaves.
     """
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    chunks = 1 + size // CHUNK_CHARS
-    chunk = F.expr(f"CAST(pmod(xxhash64(`{key}`, `{text}`), {chunks}) AS INT)")
-    dealt = docs.select(key, text, chunk.alias("__chunk")).repartition(chunks, "__chunk")
-    shared = spark.sparkContext.broadcast(model)
-
-    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value.number
-        held: dict[int, set] = {}
-
-        def batch_of(chunk: int, words: set) -> pa.RecordBatch:
-            chunks = pa.array([chunk] * len(words), pa.int32())
-            columns = [chunks, pa.array(list(words), pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["__chunk", "word"])
+    order = len(model.arcs)
+    numbered = docs.select(
+        F.col(key).alias("key"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_id"),
+    )
+    texts = numbered.select("text_id", "text").dropDuplicates(["text_id"])
+    rest = _text_grams(texts, order, "text").withColumn("lost", F.lit(0.0))
+    done = []
+    for size in range(order, 0, -1):
+        names = _names(size)
+        tried = stored(rest.join(model.arcs[size - 1], names, "left"), f"{size}-tried")
+        done.append(_sums(tried.where("p IS NOT NULL"), F.log10("p"), F.col("c"), model))
+        missed = tried.where("p IS NULL").drop("p", "c")
+        if size == 1:
+            done.append(_sums(missed, F.lit(float(np.log10(model.unknown))), F.lit(0), model))
+            break
+        # Padding is no state; all beginnings of texts would be one key of the join.
+        padded = missed.where(F.col("w0") == START).withColumn("weight", F.lit(1.0))
+        failed = missed.where(F.col("w0") != START).join(model.fails[size - 2], names[:-1], "left")
+        failed = failed.unionByName(padded)
+        rest = failed.select(
+            "text_id",
+            *[F.col(f"w{n + 1}").alias(f"w{n}") for n in range(size - 1)],
+            "times",
+            (F.col("lost") + F.coalesce(F.log10("weight"), F.lit(0.0))).alias("lost"),
+        )
+    sums = done[0]
+    for part in done[1:]:
+        sums = sums.unionByName(part)
+    sums = sums.groupBy("text_id").agg(*[F.sum(name).alias(name) for name in sums.columns[1:]])
+    sums = stored(sums, "scores")
+    tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
+    return numbered.select("key", "text_id").join(sums, "text_id").select(
+        F.col("key").alias(key), "n_tokens", "n_known", tokens, "base_score", "score"
+    )
 
-        for batch in batches:
-            for value, chunk in zip(batch.column(1), batch.column(2).to_pylist()):
-                held.setdefault(chunk, set()).update(words_of(value.as_py()))
-            if sum(map(len, held.values())) > 2 * HELD:
-                for chunk, words in held.items():
-                    yield batch_of(chunk, words - number.keys())
-                held.clear()
-        for chunk, words in held.items():
-            yield batch_of(chunk, words - number.keys())
-
-    wanted = dealt.mapInArrow(needed, "__chunk int, word binary")
-    rare = wanted.join(counts, "word").select("__chunk", "word", "n")
-
-    def run(rows: pa.Table, words: pa.Table) -> pa.Table:
-        found = dict(zip(words["word"].to_pylist(), words["n"].to_pylist()))
-        scores = _scores(rows[text].to_pylist(), found, shared.value)
-        kinds = [pa.int64()] * 3 + [pa.float64()] * 2
-        values = zip(*scores) if scores else [[]] * 5
-        columns = [pa.array(column, type=kind) for column, kind in zip(values, kinds)]
-        names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        return pa.table([rows[key], *columns], names=[key, *names])
-
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        dealt.groupBy("__chunk")
-        .cogroup(rare.groupBy("__chunk"))
-        .applyInArrow(run, f"`{key}` {kind}, {SCORED}")
+
+def _sums(rows: DataFrame, log: Column, count: Column, model: Automaton) -> DataFrame:
+    times, room = F.col("times"), model.tokens + model.types + 1
+    return rows.groupBy("text_id").agg(
+        F.sum("times").alias("n_tokens"),
+        F.sum(F.when(count > 0, times).otherwise(0)).cast("long").alias("n_known"),
+        F.sum(times * F.log10((count + 1) / F.lit(float(room)))).alias("base_score"),
+        F.sum(times * (F.col("lost") + log)).alias("score"),
     )
 
 
@@ -311,11 +242,11 @@ def train_and_score(
     folds: int = 7,
     held_fold: int = 2,
     order: int = ORDER,
-    share: float = SHARE,
+    share: float = 0.0,
 ) -> DataFrame:
     """Scores of all of ``docs`` under a model of those outside the held-out fold (see ``score``);
     ``held_out`` says which rows those are. A row with a null key is never held out."""
     out = held_out(F.col(key), folds, held_fold)
-    model, counts = train(docs.where(~out), text, order, share)
-    scored = score(docs, model, counts, key, text)
+    model = train(docs.where(~out), text, order, share)
+    scored = score(docs, model, key, text)
     return scored.select(key, out.alias("held_out"), *scored.columns[1:])

@@ -106,7 +106,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every document; every seventh is never learned from."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return language_model.train_and_score(documents, order=3, share=1e-5)
+    return language_model.train_and_score(documents, order=3)
 
 
 @_register
