@@ -262,14 +262,14 @@ def test_whole_expired_days_are_deleted(spark, tmp_path):
 def session_of(master, shared):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: shared or default),
-        sparkContext=SimpleNamespace(master=master),
+        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
     )
 
 
 def test_work_folders_lie_below_the_shared_one():
     cluster = session_of("yarn", "hdfs:///shared/")
     one, two = session.work_dir(cluster, "x"), session.work_dir(cluster, "x")
-    assert one != two and one.startswith("hdfs:///shared/tidewatch/x-")
+    assert one != two and one.startswith("hdfs:///shared/tidewatch/app-1/x-")
 
 
 def test_only_a_local_session_may_use_a_temporary_folder():
