@@ -11,6 +11,7 @@ from tidewatch.llm import (
     html_text,
     language_model,
     line_dedup,
+    merkle,
     mixing,
     pivots,
     preferences,
@@ -18,7 +19,7 @@ from tidewatch.llm import (
     simhash,
     winnow,
 )
-from tidewatch.llm.common import held_out, table
+from tidewatch.llm.common import held_out, lower_ascii, table
 from tidewatch.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +138,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, model).select(
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted"
     )
+
+
+@_register
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest by language; every third one's text is tampered with."""
+    documents = table(spark, sf_dir, "documents")
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(
+        held_out(F.col("doc_id"), 3, 0), merkle.leaf_digest(*fields, lower_ascii(F.col("text")))
+    )
+    leaf = merkle.leaf_digest(*fields, F.col("text"))
+    manifest = merkle.build(documents, "doc_id", "lang", leaf, claimed=tampered)
+    return merkle.climb(manifest).select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )

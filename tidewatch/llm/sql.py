@@ -83,7 +83,67 @@ _MASK = """,
     || CASE role WHEN 'assistant' THEN '+' ELSE '-' END, ' ' ORDER BY pos)
     FILTER (WHERE {where}), '') AS {name}"""
 
+# crc32 of a key's decimal digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    [4294967295] || list_transform(string_split(CAST({key} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({name} AS VARCHAR)" for name in ("doc_id", "source", "lang", "n_chars")]
+    return f"sha256({' || '.join(map(_field, [*fields, text]))})"
+
+
+# One level up a tree: the run's digests, what a digest folds to between its siblings, and those.
+_KIDS = """
+  SELECT tree, level, place // 8 AS run, list(digest ORDER BY place) AS kids FROM {nodes} GROUP BY ALL"""
+_UP = """
+  SELECT n.tree, n.level + 1, n.place // 8, (n.size + 7) // 8,
+    sha256(string_agg(n.digest, '' ORDER BY n.place)) FROM {nodes} n WHERE n.size > 1
+  GROUP BY n.tree, n.level, n.place // 8, n.size"""
+_STEP = """
+  SELECT c.doc_id, c.tree, c.level + 1, c.place // 8, (c.size + 7) // 8,
+    sha256(array_to_string(k.kids[:c.place % 8] || [c.folded] || k.kids[c.place % 8 + 2:], '')),
+    c.proof || array_to_string(k.kids[:c.place % 8] || k.kids[c.place % 8 + 2:], '')
+  FROM {climb} c JOIN {kids} k ON c.tree = k.tree AND c.level = k.level AND c.place // 8 = k.run
+  WHERE c.size > 1"""
+
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC.format(key="doc_id")} % 3 = 0 THEN {_leaf(f"translate(text, {_LOWER})")} END
+      AS tampered,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS size FROM documents
+), nodes(tree, level, place, size, digest) AS (
+  SELECT tree, 0, place, size, leaf FROM leaves UNION ALL {_UP.format(nodes="nodes")}
+), kids AS ({_KIDS.format(nodes="nodes")}
+), subroots AS (SELECT tree, digest FROM nodes WHERE size = 1
+), tops(tree, level, place, size, digest) AS (
+  SELECT -1, 0, tree, (SELECT count(*) FROM subroots), digest FROM subroots
+  UNION ALL {_UP.format(nodes="tops")}
+), top_kids AS ({_KIDS.format(nodes="tops")}
+), climb(doc_id, tree, level, place, size, folded, proof) AS (
+  SELECT doc_id, tree, 0, place, size, coalesce(tampered, leaf), '' FROM leaves
+  UNION ALL {_STEP.format(climb="climb", kids="kids")}
+), last_climb(doc_id, tree, level, place, size, folded, proof) AS (
+  SELECT doc_id, -1, 0, tree, (SELECT count(*) FROM subroots), folded, proof FROM climb WHERE size = 1
+  UNION ALL {_STEP.format(climb="last_climb", kids="top_kids")}
+)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(c.proof) AS proof_sha256,
+  c.folded AS folded_root, c.folded = r.digest AS verified
+FROM leaves l JOIN subroots s USING (tree) JOIN last_climb c ON c.doc_id = l.doc_id AND c.size = 1
+  CROSS JOIN (SELECT digest FROM tops WHERE size = 1) r
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_merkle": _MERKLE,
     "op1_mixing": _MIX + """
 SELECT d.*, r.copy,
   ('0x' || substr(md5('mix/order:' || doc_id || ':' || r.copy), 1, 13))::BIGINT AS shuffle_key
