@@ -17,6 +17,8 @@ from tidewatch.llm import (
     preferences,
     quality,
     simhash,
+    subwords,
+    token_files,
     winnow,
 )
 from tidewatch.llm.common import held_out, lower_ascii, table
@@ -27,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
+END_ID = 2
 
 
 def _register(query: Query) -> Query:
@@ -159,3 +163,15 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         "verified",
     )
+
+
+@_register
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids as read back from files of Huffman-coded blocks."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = work_dir(spark, "token-files")
+    definition = subwords.load(public_tokenizers.path(WORD_VOCABULARY))
+    token_files.write(documents, folder, definition, end=END_ID)
+    return token_files.read(spark, folder).select(
+        "doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
