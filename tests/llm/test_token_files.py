@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql.types import LongType, StringType
 from tokenizers import Tokenizer
@@ -34,6 +35,11 @@ def ids_of(tokenizer, texts):
     return [one.ids for one in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def encoded(encoder, texts):
+    ids, counts = encoder.encode(pa.array(texts))
+    return [some.tolist() for some in np.split(ids, np.cumsum(counts)[:-1])]
+
+
 def unpacked(raw):
     return np.frombuffer(raw, dtype="<u4").tolist()
 
@@ -43,12 +49,13 @@ def unpacked(raw):
 
 def test_words_are_those_of_the_library(library, monkeypatch):
     monkeypatch.setattr(subwords, "CACHE_ENTRIES", 500)
-    monkeypatch.setattr(subwords, "GROUP_CHARS", 700)
     rng = random.Random(5)
     texts = ["".join(rng.choices(SIGNS, k=rng.randrange(40))) for _ in range(20_000)]
     texts += ["", " ", "\n", "a" * 5_000, "x. " * 3_000, "é" * 300, "漢" * 2_000]
     encoder = subwords.Encoder(DEFINITION)
-    assert [unpacked(ids) for ids in encoder.encode(texts)] == ids_of(library, texts)
+    assert [ids for n in range(0, len(texts), 50) for ids in encoded(encoder, texts[n : n + 50])] == (
+        ids_of(library, texts)
+    )
     assert len(encoder.young) < 2_000 and max(map(len, encoder.young)) <= subwords.KEPT_CHARS
 
 
@@ -57,8 +64,7 @@ def test_plain_characters_keep_their_kind(library):
     plain = [chr(n) for n in range(subwords.LAST_PLAIN + 2)]
     forms = ("@", "a@b", "@. x", "@@", "'@ s", "x @, y")
     texts = [form.replace("@", sign) for sign in plain for form in forms]
-    encoder = subwords.Encoder(DEFINITION)
-    assert [unpacked(ids) for ids in encoder.encode(texts)] == ids_of(library, texts)
+    assert encoded(subwords.Encoder(DEFINITION), texts) == ids_of(library, texts)
 
 
 # --- the code -----------------------------------------------------------------------------
@@ -149,9 +155,7 @@ def test_query(spark, library):
     assert sorted(tuple(row) for row in found.collect()) == want
 
 
-def test_odd_rows_and_small_blocks(spark, library, monkeypatch):
-    monkeypatch.setattr(token_files, "BLOCK_IDS", 300)
-    monkeypatch.setattr(token_files, "DECODED_IDS", 500)
+def test_odd_rows_and_small_blocks(spark, library):
     rng = random.Random(7)
     docs = [(n, "".join(rng.choices(SIGNS, k=n % 60))) for n in range(1, 150)]
     docs = [(None, "first"), *docs, (500, ""), (501, None), (502, "long text, " * 3_000)]
@@ -161,12 +165,13 @@ def test_odd_rows_and_small_blocks(spark, library, monkeypatch):
     rng.shuffle(rows)
     folder = work_dir(spark, "tokens")
     mixed = spark.createDataFrame(rows, frame.schema).repartition(5)
-    token_files.write(mixed, folder, DEFINITION, END_ID, key="key", text="body")
+    token_files.write(mixed, folder, DEFINITION, END_ID, key="key", text="body", block_ids=300)
     want = expected(library, docs, END_ID)
     assert found_in(token_files.read(spark, folder, "key")) == want
 
     blocks = spark.read.parquet(f"{folder}/blocks")
-    assert blocks.where("n > 300 AND size(docs) > 1").count() == 0
+    assert blocks.where("n > 300 AND aggregate(docs, 0L, (a, d) -> greatest(a, d.n)) <= 300").count() == 0
+    assert blocks.count() > 10
     assert blocks.agg({"n": "sum"}).first()[0] == sum(row[2] for row in want)
     stream = [number for row in want for number in row[3]]
     for start, stop in [(0, 1), (250, 1_700), (len(stream) - 3_000, len(stream) + 9), (40, 40)]:

@@ -3,16 +3,15 @@
 import os
 import re
 import unicodedata
-from collections.abc import Iterable
 from struct import pack
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Texts are cut in groups of about this many characters.
-GROUP_CHARS = 1 << 18
-# Segments of up to this many characters are kept, in two generations of so many (about 60 MB each).
+# Segments of up to this many characters are kept, in two generations of so many (about 40 MB each).
 KEPT_CHARS = 64
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 # Words put to the library in one text.
 JOINED = 2_000
 # Up to here no character combines with another, and none but this one changes its kind in lower case.
@@ -29,17 +28,29 @@ def _plain(kind: str) -> str:
 _L, _N, _S = _plain("L"), _plain("N"), re.escape("\t\n\x0b\x0c\r\x85") + _plain("Z")
 # Fixed value: the words of the tokenizer file's own pattern, among plain characters.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
-_ODD = re.compile(f"[^\x00-{chr(LAST_PLAIN)}]|{DOTTED}")
+_ODD = f"[^\x00-{chr(LAST_PLAIN)}]|{DOTTED}"
+_IS_ODD = re.compile(_ODD).search
 # A comma or full stop that ends a run of punctuation, which is one word.
-_RUN = re.compile(f"[^{_S}{_L}{_N}][,.][ \n]")
+_RUN = f"[^{_S}{_L}{_N}][,.][ \n]"
+
+
+def _prepared(texts: pa.StringArray) -> pa.StringArray:
+    """The texts with blanks between parts none of whose words lies in two; plain ones in lower case
+    and with most punctuation apart, so that most parts are words and few are new."""
+    odd = pc.match_substring_regex(texts, _ODD)
+    lower = pc.if_else(odd, texts, pc.utf8_lower(texts))
+    blank = pc.replace_substring(lower, "\n", " ")
+    apart = pc.replace_substring(pc.replace_substring(blank, ", ", " , "), ". ", " . ")
+    return pc.if_else(pc.or_(odd, pc.match_substring_regex(texts, _RUN)), blank, apart)
 
 
 class Encoder:
     """A tokenizer for lower-cased words with word ends, whose tokens never span white space.
 
     The ids of a text are those of the segments between its blanks, and the ids of a segment those of
-    its words, one after the other. The library encodes a new word once, segments are kept. Segments
-    with a character outside the plain ones are put to the library as they are.
+    its words, one after the other. The different segments of a batch are looked up once each, new
+    ones are cut into words, and the library encodes the new words. Segments with a character outside
+    the plain ones are put to the library as they are.
     """
 
     def __init__(self, definition: str):
@@ -59,43 +70,33 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        group: list[list[str]] = []
-        size = 0
-        for text in texts:
-            group.append(self._segments(text))
-            size += len(text)
-            if size >= GROUP_CHARS:
-                out += self._encode(group)
-                group, size = [], 0
-        return out + self._encode(group)
-
-    def _segments(self, text: str) -> list[str]:
-        """Parts of a text none of whose words lies in two; most are words, so that few are new."""
-        text_is_plain = text.isascii() or not _ODD.search(text)
-        if text_is_plain:
-            text = text.lower()
-            if not _RUN.search(text):
-                text = text.replace("\n", " ").replace(", ", " , ").replace(". ", " . ")
-        return text.replace("\n", " ").split(" ")
-
-    def _encode(self, texts: list[list[str]]) -> list[bytes]:
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has; a null has none."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        parts = pc.split_pattern(_prepared(texts.fill_null("")), " ")
+        every = parts.flatten().dictionary_encode()
+        found = self._known(every.dictionary.to_pylist())
+        lengths = np.array([len(ids) for ids in found], dtype=np.int64) // 4
+        flat, starts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(lengths) - lengths
+        which = every.indices.to_numpy()
+        sizes = lengths[which]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(starts[which] - ends + sizes, sizes) + np.arange(ends[-1])]
+        borders = np.concatenate([[0], ends])[parts.offsets.to_numpy()]
+        return ids, np.diff(borders)
+
+    def _known(self, segments: list[str]) -> list[bytes]:
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
         known = self.young
-        found = [list(map(known.get, parts)) for parts in texts]
-        gaps = [[n for n, ids in enumerate(some) if ids is None] for some in found]
-        new = {parts[n] for parts, places in zip(texts, gaps) for n in places}
+        new = {part for part in segments if part not in known}
         self._learn(new)
-        for parts, some, places in zip(texts, found, gaps):
-            for n in places:
-                some[n] = known[parts[n]]
+        found = [known[part] for part in segments]
         for part in new:
             if len(part) > KEPT_CHARS:
                 del known[part]
-        return [b"".join(some) for some in found]
+        return found
 
     def _learn(self, segments: set[str]) -> None:
         known, old = self.young, self.old
@@ -106,7 +107,7 @@ class Encoder:
                 known[part] = old[part]
             elif part.isascii() and part.isalpha() and part.islower():
                 whole.append(part)
-            elif part.isascii() or not _ODD.search(part):
+            elif part.isascii() or not _IS_ODD(part):
                 split[part] = WORDS.findall(part.lower())
             else:
                 odd.append(part)
@@ -149,7 +150,7 @@ _encoders: dict[int, Encoder] = {}
 
 
 def encoder(definition: str) -> Encoder:
-    """One per worker process, with its cache."""
+    """One per worker process, with its cache, until ``release``."""
     key = hash(definition)
     if key not in _encoders:
         _encoders.clear()
@@ -157,6 +158,10 @@ def encoder(definition: str) -> Encoder:
     return _encoders[key]
 
 
+def release() -> None:
+    _encoders.clear()
+
+
 def load(path: str) -> str:
     """The tokenizer file's text; read on the driver, so executors need no copy of it."""
     with open(path, encoding="utf-8") as file:

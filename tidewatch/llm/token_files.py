@@ -10,9 +10,11 @@ serve.
 """
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,25 +34,28 @@ from tidewatch.sources import files
 
 # A block is closed when it holds so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 16
-# Blocks of so many ids are decoded side by side.
+# Blocks of so many ids are decoded side by side; documents of so many are coded so.
 DECODED_IDS = 1 << 18
+# Texts of so many bytes are encoded together.
+TEXT_BYTES = 1 << 22
 
 _codes: dict[int, huffman.Code] = {}
 
 
 def _code(table: tuple[bytes, bytes]) -> huffman.Code:
-    """One per worker process; it holds a table of about 2 MB."""
+    """One per worker process; it holds a table of about 2 MB. The process is done with texts then."""
     key = hash(table)
     if key not in _codes:
+        subwords.release()
         _codes.clear()
         _codes[key] = huffman.Code(*(np.frombuffer(column, dtype=np.int64) for column in table))
     return _codes[key]
 
 
-def _planes(ids: bytes) -> bytes:
+def _planes(ids: np.ndarray) -> bytes:
     """32-bit integers as four runs of bytes, low ones first: most of the high ones are zero, which
     the store's compression sees."""
-    return np.frombuffer(ids, dtype=np.uint8).reshape(-1, 4).T.tobytes()
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _ids(planes: bytes) -> np.ndarray:
@@ -58,22 +63,32 @@ def _ids(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view("<u4").ravel()
 
 
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose ``sizes`` add up to about ``most``, to bound what a step holds."""
+    turns = (np.cumsum(sizes) - sizes) // most
+    starts = np.flatnonzero(np.r_[True, turns[1:] != turns[:-1]]) if len(turns) else []
+    for start, stop in zip(starts, [*starts[1:], len(turns)]):
+        yield batch.slice(start, stop - start)
+
+
 def tokenize(
     docs: DataFrame, definition: str, end: int | None, key: str, text: str
 ) -> DataFrame:
     """``key, n, planes`` of every row: its ids (a null text has none) and ``end`` after them."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)
-    last = b"" if end is None else np.array([end], dtype="<u4").tobytes()
+    last = np.array([] if end is None else [end], dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = subwords.encoder(shared.value)
-        for batch in batches:
-            found = [ids + last for ids in encoder.encode(v.as_py() or "" for v in batch.column(1))]
-            counts = pa.array([len(ids) // 4 for ids in found], type=pa.int64())
-            planes = pa.array([_planes(ids) for ids in found], type=pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), counts, planes], names=["key", "n", "planes"]
-            )
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy().astype(np.int64)
+            for batch in _slices(whole, sizes, TEXT_BYTES):
+                ids, counts = encoder.encode(batch.column(1))
+                each = [np.concatenate([some, last]) for some in np.split(ids, np.cumsum(counts)[:-1])]
+                planes = pa.array([_planes(some) for some in each], type=pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts + len(last)), planes], names=["key", "n", "planes"]
+                )
 
     kind = docs.schema[key].dataType
     schema = StructType(
@@ -88,12 +103,13 @@ def _counts(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            joined = [_ids(value.as_py()) for value in batch.column(0)]
-            if not joined:
-                continue
-            found = np.bincount(np.concatenate(joined), minlength=len(held))
-            found[: len(held)] += held
-            held = found
+            for value in batch.column(0):
+                found = _ids(value.as_py())
+                size = int(found.max()) + 1 if len(found) else 0
+                if size > len(held):
+                    held = np.concatenate([held, np.zeros(size - len(held), dtype=np.int64)])
+                some, counts = np.unique(found, return_counts=True)
+                held[some] += counts
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["id", "count"])
 
@@ -108,6 +124,7 @@ def write(
     end: int | None = None,
     key: str = "doc_id",
     text: str = "text",
+    block_ids: int = BLOCK_IDS,
 ) -> None:
     """Encode the rows and write their ids to ``folder``, which must be new, by ascending key.
 
@@ -118,10 +135,7 @@ def write(
     Coded rows are shuffled once, to ranges of keys, many rows of one key to several of them.
     """
     spark = docs.sparkSession
-    tokens = tokenize(docs, definition, end, key, text)
-    path = f"{folder}/tokens"
-    tokens.write.option("compression", "zstd").parquet(path)
-    tokens = spark.read.schema(tokens.schema).parquet(path)
+    tokens = _held(tokenize(docs, definition, end, key, text), f"{folder}/tokens")
     counted = _counts(tokens).toArrow()
     ids, counts = (counted.column(n).to_numpy().astype(np.int64) for n in range(2))
     code = huffman.code_of(ids, counts)
@@ -131,28 +145,31 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _code(shared.value)
-        for batch in batches:
-            some = [_ids(value.as_py()) for value in batch.column(2)]
-            joined = np.concatenate([np.zeros(0, np.uint32), *some])
-            payloads, lanes = table.encode(joined, batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(payloads, type=pa.binary()),
-                    pa.array([some.tobytes() for some in lanes], type=pa.binary()),
-                ],
-                names=["key", "n", "payload", "lanes"],
-            )
+        for whole in batches:
+            for batch in _slices(whole, whole.column(1).to_numpy(), DECODED_IDS):
+                joined = np.concatenate([_ids(value.as_py()) for value in batch.column(2)])
+                payloads, lanes = table.encode(joined, batch.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        batch.column(1),
+                        pa.array(payloads, type=pa.binary()),
+                        pa.array([some.tobytes() for some in lanes], type=pa.binary()),
+                    ],
+                    names=["key", "n", "payload", "lanes"],
+                )
 
     kind = tokens.schema["key"].dataType
     binary = [StructField(name, BinaryType()) for name in ("payload", "lanes")]
     coded = tokens.mapInArrow(encode, StructType([*tokens.schema.fields[:2], *binary]))
+    # Stored, as dealing by ranges reads its input twice.
+    coded = _held(coded, f"{folder}/coded")
+    files.delete(spark, f"{folder}/tokens")
     # What is equal in all of these may be dealt to several tasks.
     order = [F.asc_nulls_first("key"), F.col("n"), F.xxhash64("payload"), F.col("turn")]
     dealt = coded.withColumn("turn", F.monotonically_increasing_id())
     dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).drop("turn")
-    blocks = dealt.mapInArrow(_gather, _block_schema(kind))
+    blocks = dealt.mapInArrow(partial(_gather, block_ids=block_ids), _block_schema(kind))
     blocks.write.parquet(f"{folder}/blocks")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per task of the write.
@@ -163,7 +180,12 @@ def write(
         .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )
     parts.coalesce(1).write.parquet(f"{folder}/parts")
-    files.delete(spark, path)
+    files.delete(spark, f"{folder}/coded")
+
+
+def _held(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _block_schema(kind) -> StructType:
@@ -180,7 +202,7 @@ def _block_schema(kind) -> StructType:
     )
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gather(batches: Iterator[pa.RecordBatch], block_ids: int) -> Iterator[pa.RecordBatch]:
     """Blocks of the rows of one task, which come in order."""
     part, first = TaskContext.get().partitionId(), 0
     keys: list = []
@@ -214,7 +236,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         key_type = batch.column(0).type
         for key, n, payload, bits in zip(*(column.to_pylist() for column in batch.columns)):
-            if held and held + n > BLOCK_IDS:
+            if held and held + n > block_ids:
                 yield block()
                 first, held = first + held, 0
                 keys, counts, payloads, lanes = [], [], [], []
