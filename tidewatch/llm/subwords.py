@@ -3,17 +3,18 @@
 import os
 import re
 import unicodedata
-from struct import pack
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Segments of up to this many characters are kept, in two generations of so many (about 40 MB each).
+# Segments of up to this many characters are kept, in two generations of so many (about 60 MB each).
 KEPT_CHARS = 64
-CACHE_ENTRIES = 200_000
-# Words put to the library in one text.
-JOINED = 2_000
+CACHE_ENTRIES = 350_000
+# Fixed value: bytes that are no visible character of Latin-1 count on from 256, in order.
+_HIDDEN = [n for n in range(256) if not (33 <= n <= 126 or 161 <= n <= 172 or n >= 174)]
+VISIBLE = {byte: 256 + place for place, byte in enumerate(_HIDDEN)}
 # Up to here no character combines with another, and none but this one changes its kind in lower case.
 LAST_PLAIN = 0x2AF
 DOTTED = "İ"
@@ -28,6 +29,7 @@ def _plain(kind: str) -> str:
 _L, _N, _S = _plain("L"), _plain("N"), re.escape("\t\n\x0b\x0c\r\x85") + _plain("Z")
 # Fixed value: the words of the tokenizer file's own pattern, among plain characters.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+_WORD = re.compile(f"[{''.join(c for c in _plain('Ll'))}]+").fullmatch
 _ODD = f"[^\x00-{chr(LAST_PLAIN)}]|{DOTTED}"
 _IS_ODD = re.compile(_ODD).search
 # A comma or full stop that ends a run of punctuation, which is one word.
@@ -60,13 +62,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         # The names of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        if not suffix:
+        if not getattr(self.tokenizer.model, "end_of_word_suffix", None):
             raise ValueError("the tokenizer has no word ends")
-        self.size = self.tokenizer.get_vocab_size()
-        self.ends = np.zeros(self.size, dtype=bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.ends[number] = token.endswith(suffix)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -105,7 +102,7 @@ class Encoder:
         for part in segments:
             if part in old:
                 known[part] = old[part]
-            elif part.isascii() and part.isalpha() and part.islower():
+            elif _WORD(part):
                 whole.append(part)
             elif part.isascii() or not _IS_ODD(part):
                 split[part] = WORDS.findall(part.lower())
@@ -124,26 +121,14 @@ class Encoder:
         return [np.array(some.ids, dtype="<u4").tobytes() for some in found]
 
     def _learn_words(self, words: list[str], ids: dict[str, bytes]) -> None:
-        """A word of visible ASCII is what the library's model takes; for others it makes bytes visible
-        first, so they are put to the whole library, many in one text."""
+        """The library's model takes the words with their bytes as visible characters."""
         tokens = self.tokenizer.model.tokenize
-        others = []
         for word in words:
-            if word.isascii() and word.isprintable():
-                ids[word] = pack(f"<{len(found)}I", *found) if (
-                    found := [token.id for token in tokens(word)]
-                ) else b""
+            if not (word.isascii() and word.isprintable()):
+                visible = word.encode().decode("latin-1").translate(VISIBLE)
             else:
-                others.append(word)
-        for start in range(0, len(others), JOINED):
-            some = others[start : start + JOINED]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids
-            joined = np.array(found, dtype="<u4")
-            stops = np.flatnonzero(self.ends[joined]) + 1
-            if len(stops) != len(some):
-                raise ValueError("the tokenizer's words are not those of the pattern")
-            raw, cuts = joined.tobytes(), [0, *(4 * stops).tolist()]
-            ids.update(zip(some, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+                visible = word
+            ids[word] = array("I", [token.id for token in tokens(visible)]).tobytes()
 
 
 _encoders: dict[int, Encoder] = {}

@@ -37,7 +37,7 @@ BLOCK_IDS = 1 << 16
 # Blocks of so many ids are decoded side by side; documents of so many are coded so.
 DECODED_IDS = 1 << 18
 # Texts of so many bytes are encoded together.
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 23
 
 _codes: dict[int, huffman.Code] = {}
 
@@ -71,50 +71,55 @@ def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.
         yield batch.slice(start, stop - start)
 
 
-def tokenize(
-    docs: DataFrame, definition: str, end: int | None, key: str, text: str
-) -> DataFrame:
-    """``key, n, planes`` of every row: its ids (a null text has none) and ``end`` after them."""
+def tokenize(docs: DataFrame, definition: str, end: int | None, key: str, text: str) -> DataFrame:
+    """``key, n, planes`` of every row: its ids (a null text has none) and ``end`` after them. One more
+    row of every task has ``ids`` and ``counts`` instead: how often each id came up in it."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     last = np.array([] if end is None else [end], dtype=np.uint32)
+    kind = docs.schema[key].dataType
+
+    def rows(keys: pa.Array, counts: np.ndarray, planes: list[bytes]) -> pa.RecordBatch:
+        none = pa.nulls(len(keys), pa.binary())
+        columns = [keys, pa.array(counts), pa.array(planes, type=pa.binary()), none, none]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = subwords.encoder(shared.value)
+        held, key_type = np.zeros(0, dtype=np.int64), None
         for whole in batches:
+            key_type = whole.column(0).type
             sizes = pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy().astype(np.int64)
             for batch in _slices(whole, sizes, TEXT_BYTES):
                 ids, counts = encoder.encode(batch.column(1))
+                found = np.bincount(np.concatenate([ids, np.repeat(last, len(counts))]), minlength=len(held))
+                found[: len(held)] += held
+                held = found
                 each = [np.concatenate([some, last]) for some in np.split(ids, np.cumsum(counts)[:-1])]
-                planes = pa.array([_planes(some) for some in each], type=pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(counts + len(last)), planes], names=["key", "n", "planes"]
-                )
-
-    kind = docs.schema[key].dataType
-    schema = StructType(
-        [StructField("key", kind), StructField("n", LongType()), StructField("planes", BinaryType())]
-    )
+                yield rows(batch.column(0), counts + len(last), [_planes(some) for some in each])
+        some = np.flatnonzero(held)
+        if len(some):
+            counted = [pa.array([column.tobytes()]) for column in (some, held[some])]
+            none = [pa.nulls(1, t) for t in (key_type, pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, *counted], names=names)
+
+    binary = [StructField(name, BinaryType()) for name in ("planes", "ids", "counts")]
+    schema = StructType([StructField("key", kind), StructField("n", LongType()), *binary])
+    names = schema.fieldNames()
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def _counts(tokens: DataFrame) -> DataFrame:
-    """``id, count`` over all rows. Every task adds up its own first."""
+def _code_of(tokens: DataFrame) -> huffman.Code:
+    """The code for the ids' counts over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                found = _ids(value.as_py())
-                size = int(found.max()) + 1 if len(found) else 0
-                if size > len(held):
-                    held = np.concatenate([held, np.zeros(size - len(held), dtype=np.int64)])
-                some, counts = np.unique(found, return_counts=True)
-                held[some] += counts
-        some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["id", "count"])
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                columns = [pa.array(np.frombuffer(value, dtype=np.int64)) for value in row]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "count"])
 
-    every = tokens.select("planes").mapInArrow(run, "id long, count long")
-    return every.groupBy("id").agg(F.sum("count").alias("count"))
+    every = tokens.where("ids IS NOT NULL").select("ids", "counts").mapInArrow(run, "id long, count long")
+    counted = every.groupBy("id").agg(F.sum("count").alias("count")).toArrow()
+    return huffman.code_of(*(counted.column(n).to_numpy().astype(np.int64) for n in range(2)))
 
 
 def write(
@@ -135,10 +140,9 @@ def write(
     Coded rows are shuffled once, to ranges of keys, many rows of one key to several of them.
     """
     spark = docs.sparkSession
-    tokens = _held(tokenize(docs, definition, end, key, text), f"{folder}/tokens")
-    counted = _counts(tokens).toArrow()
-    ids, counts = (counted.column(n).to_numpy().astype(np.int64) for n in range(2))
-    code = huffman.code_of(ids, counts)
+    tokens = _held(tokenize(docs, definition, end, key, text), f"{folder}/tokens", "zstd")
+    code = _code_of(tokens)
+    tokens = tokens.where("ids IS NULL").select("key", "n", "planes")
     lengths = pa.table({"id": code.symbols, "bits": code.lengths})
     spark.createDataFrame(lengths).coalesce(1).write.parquet(f"{folder}/code")
     shared = spark.sparkContext.broadcast((code.symbols.tobytes(), code.lengths.tobytes()))
@@ -163,7 +167,7 @@ def write(
     binary = [StructField(name, BinaryType()) for name in ("payload", "lanes")]
     coded = tokens.mapInArrow(encode, StructType([*tokens.schema.fields[:2], *binary]))
     # Stored, as dealing by ranges reads its input twice.
-    coded = _held(coded, f"{folder}/coded")
+    coded = _held(coded, f"{folder}/coded", "none")
     files.delete(spark, f"{folder}/tokens")
     # What is equal in all of these may be dealt to several tasks.
     order = [F.asc_nulls_first("key"), F.col("n"), F.xxhash64("payload"), F.col("turn")]
@@ -183,8 +187,8 @@ def write(
     files.delete(spark, f"{folder}/coded")
 
 
-def _held(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+def _held(df: DataFrame, path: str, compression: str) -> DataFrame:
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
