@@ -16,6 +16,7 @@ from tidewatch.llm import (
     pivots,
     preferences,
     quality,
+    ranked_search,
     simhash,
     subwords,
     token_files,
@@ -144,6 +145,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return ranked_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20
+    )
+
+
 @_register
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof in the manifest by language; every third one's text is tampered with."""

@@ -142,7 +142,38 @@ FROM leaves l JOIN subroots s USING (tree) JOIN last_climb c ON c.doc_id = l.doc
   CROSS JOIN (SELECT digest FROM tops WHERE size = 1) r
 """
 
+_TERMS = f"""regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+_RANKED = f"""
+WITH cut AS (
+  SELECT doc_id, {_TERMS} AS terms FROM documents
+), stats AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM cut WHERE len(terms) > 0
+), damped AS (
+  SELECT doc_id, terms, 75 + (25 * len(terms) * docs) // total AS m FROM cut, stats
+  WHERE len(terms) > 0
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), held AS (
+  SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(terms) AS term FROM damped)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, stats GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weighted USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_ranked_search": _RANKED,
     "op12_merkle": _MERKLE,
     "op1_mixing": _MIX + """
 SELECT d.*, r.copy,
