@@ -131,3 +131,13 @@ def twice(events: DataFrame) -> DataFrame:
     """Every tenth event delivered twice; ``copy`` tells the deliveries apart."""
     deliveries = F.when(ev.whole_number(F.col("id")) % 10 == 0, 2).otherwise(1)
     return events.withColumn("copy", F.explode(F.sequence(F.lit(1), deliveries)))
+
+
+def age_files(spark: SparkSession, folder: str, seconds: int) -> None:
+    """Make the files of a folder look as if they had been written so much earlier."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = files.listFiles(path, True)
+    while found.hasNext():
+        status = found.next()
+        files.setTimes(status.getPath(), status.getModificationTime() - seconds * 1000, -1)

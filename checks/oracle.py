@@ -33,6 +33,9 @@ _CTES = {
           CASE WHEN server_name LIKE '%.%' THEN split_part(server_name, '.', 2) END AS project
         FROM raw""",
     "enriched": "SELECT * FROM derived WHERE type IN ('edit', 'new', 'log')",
+    "recent": """
+        SELECT * FROM enriched
+        WHERE "timestamp" >= (SELECT max("timestamp") FROM enriched) - 7 * 86400""",
     "hourly": """
         SELECT date_trunc('hour', make_timestamp("timestamp" * 1000000)) AS hour_bucket, *
         FROM enriched""",
@@ -71,6 +74,7 @@ _BASE = {
     "raw": [],
     "derived": ["raw"],
     "enriched": ["derived"],
+    "recent": ["enriched"],
     "hourly": ["enriched"],
     "changes": ["enriched"],
     "asked": ["changes"],
@@ -185,9 +189,9 @@ def _languages(literal: bool, limit: str = "") -> str:
     )
 
 
-def _servers(limit: int) -> str:
+def _servers(limit: int, events: str = "enriched") -> str:
     return _with(
-        "enriched",
+        events,
         f"""SELECT * FROM (
           SELECT *, CAST(row_number() OVER (ORDER BY edit_count DESC, server_name) AS INTEGER)
               AS rank,
@@ -195,7 +199,7 @@ def _servers(limit: int) -> str:
           FROM (SELECT server_name, language, project, count(*) AS edit_count,
               CAST(sum(bytes_changed) AS BIGINT) AS total_bytes,
               count(DISTINCT "user") AS unique_users
-            FROM enriched GROUP BY 1, 2, 3))
+            FROM {events} GROUP BY 1, 2, 3))
         WHERE rank <= {limit}""",
     )
 
@@ -362,6 +366,11 @@ def all_oracles() -> dict[str, str]:
             f"""SELECT * EXCLUDE (year, month) FROM (SELECT {_LAKE} FROM enriched
             WHERE "timestamp" >= (SELECT max("timestamp") FROM enriched) - 7 * 86400)""",
         ),
+        "lake_scan_daily": _with(
+            "enriched",
+            f"""SELECT * EXCLUDE (year, month) FROM (SELECT {_LAKE} FROM enriched
+            WHERE "timestamp" >= (SELECT max("timestamp") FROM enriched) - 7 * 86400)""",
+        ),
         "lake_scan_empty": _with("enriched", f"SELECT {_LAKE} FROM enriched WHERE false"),
         # historical views
         "hourly_patterns": _patterns(False),
@@ -498,6 +507,13 @@ def all_oracles() -> dict[str, str]:
             "traffic changes hourly", "\nUNION ALL ".join(_LIVE_COUNTS + _HISTORY_COUNTS)
         ),
         "incremental_hours": _patterns(False),
+        "incremental_late_file": _patterns(False),
+        "incremental_tables_hourly_patterns": _patterns(False),
+        "incremental_tables_hourly_trends": _trends(False, _ROWS),
+        "incremental_tables_top_contributors": _contributors(False, 100),
+        "incremental_tables_language_distribution": _languages(False),
+        "incremental_tables_server_rankings": _servers(50),
+        "incremental_lookback": _servers(50, "recent"),
         # streaming
         "stream_recent_changes": all_changes,
         "stream_traffic": traffic,

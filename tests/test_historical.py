@@ -145,3 +145,7 @@ def test_hours_add_up_to_the_events(mixed):
     assert hours.agg(F.sum("total_events")).first()[0] == mixed.count()
     known = mixed.filter("is_bot IS NOT NULL").count()
     assert hours.agg(F.sum("bot_events") + F.sum("human_events")).first()[0] == known
+
+
+def test_the_names_of_the_measures(spark):
+    assert list(rollup.measures()) == rollup.MEASURES

@@ -1,5 +1,8 @@
 """Lake, tables and the jobs over them."""
 
+import glob
+import os
+import shutil
 from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
@@ -9,9 +12,10 @@ from pyspark.sql import functions as F
 from tests.build import HOUR, NOON, stored
 from tests.conftest import plan_of
 from tidewatch import session
+from tidewatch.operators import historical
 from tidewatch.plans import batch_job, history_reads, incremental, retention
 from tidewatch.schemas import HISTORY_SCHEMAS, LAKE_SCHEMA, TRAFFIC_SCHEMA
-from tidewatch.sources import jdbc, lake
+from tidewatch.sources import jdbc, lake, versions
 from tidewatch.sources.tables import read_table
 from tidewatch.streaming.queries import run_available
 
@@ -156,8 +160,6 @@ def test_batch_job_stores_all_views(spark, filled, tmp_path, rows):
         "historical_language_distribution": 1,
         "historical_server_rankings": 1,
     }
-    from tidewatch.operators import historical
-
     events = lake.scan_lake(spark, filled, 7, AS_OF)
     for view, schema in HISTORY_SCHEMAS.items():
         table = batch_job.read_history(spark, root, view)
@@ -221,29 +223,191 @@ def test_incremental_hours_count_events_of_any_age_and_of_the_future(spark, path
     for when in ([NOON, NOON + 30000 * DAY], [NOON - 900 * DAY, NOON + HOUR], [NOON]):
         events = stored(spark, *[{"timestamp": second} for second in when])
         lake.write_lake(events, path, by="event_time")
-        incremental.update_hours(spark, path, table, slack_seconds=0)
+        incremental.update_hours(spark, path, table)
     total = incremental.read_hours(spark, table).agg(F.sum("total_events")).first()[0]
     assert total == 5
 
 
-def test_incremental_hours_read_the_touched_days_only(spark, filled, tmp_path, monkeypatch):
+def test_incremental_hours_read_new_files_only(spark, filled, tmp_path, monkeypatch):
     table = str(tmp_path / "hours")
     incremental.update_hours(spark, filled, table)
     lake.write_lake(stored(spark, {"timestamp": NOON}), filled, by="event_time")
-    plans = []
-    scan = incremental.scan_files
-
-    def watched(*args):
-        plans.append((args[2:], plan_of(scan(*args))))
-        return scan(*args)
-
-    mark = incremental.read_table(spark, incremental.mark_path(table), incremental.MARK).first()
-    monkeypatch.setattr(incremental, "scan_files", watched)
-    incremental.update_hours(spark, filled, table, slack_seconds=0)
-    # The newest file of the first run is looked at again; its month, not the lake, is read.
-    month = NOON - NOON % DAY - 14 * DAY
-    assert mark is not None and plans[-1][0] == (month, month + 15 * DAY)
-    assert f"GreaterThanOrEqual(timestamp,{month})" in plans[-1][1]
+    read = []
+    for name in ("read_files", "scan_files"):
+        original = getattr(incremental, name)
+        monkeypatch.setattr(incremental, name, lambda *args, f=original: read.append(args[1]) or f(*args))
+    incremental.update_hours(spark, filled, table)
+    incremental.update_hours(spark, filled, table)
+    assert [len(paths) for paths in read] == [1]
+    assert incremental.read_hours(spark, table).agg(F.sum("total_events")).first()[0] == 61
+
+
+# --- incremental tables -------------------------------------------------------------------
+
+
+def tables_of(spark, state, rows, **options):
+    views = batch_job.views_of(incremental.rollup_rows(spark, state, **options))
+    return {name: rows(view) for name, view in views.items()}
+
+
+def expected_tables(spark, path, rows, days=0, as_of=None):
+    events = lake.scan_lake(spark, path, days, as_of)
+    return {name: rows(getattr(historical, name)(events)) for name in HISTORY_SCHEMAS}
+
+
+def people(spark, first, count, step=HOUR):
+    return stored(
+        spark,
+        *[
+            {"user": f"u{n % 7}", "timestamp": NOON - n * step, "bytes_changed": n, "is_bot": [True, False, None][n % 3],
+             "server_name": ["a.b.c", "d.e.f", None][n % 3], "language": ["a", "d", None][n % 3], "type": ["new", "edit"][n % 2]}
+            for n in range(first, first + count)
+        ],
+    )
+
+
+def set_time(path, seconds):
+    for folder, _, names in os.walk(path):
+        for name in names:
+            os.utime(os.path.join(folder, name), (seconds, seconds))
+
+
+def test_waves_add_up_whatever_the_age_of_their_files(spark, path, tmp_path, rows):
+    state = str(tmp_path / "state")
+    assert incremental.update(spark, path, state) == 0
+    assert tables_of(spark, state, rows)["hourly_patterns"] == []
+    lake.write_lake(people(spark, 0, 60), path, by="event_time")
+    assert incremental.update(spark, path, state) == 1
+    lake.write_lake(people(spark, 30, 60), path, by_day=True, ingest_time=AS_OF)
+    lake.write_lake(people(spark, 200, 5), path, ingest_time=AS_OF + timedelta(days=90))
+    set_time(path, 1)
+    assert incremental.update(spark, path, state, most_files=2) > 1
+    assert incremental.update(spark, path, state) == 0
+    assert tables_of(spark, state, rows) == expected_tables(spark, path, rows)
+    # The cutoff lies inside a day, whose events are read from its own files.
+    for days in (1, 2, 300):
+        found = tables_of(spark, state, rows, days_back=days, as_of=AS_OF + timedelta(milliseconds=1))
+        assert found == expected_tables(spark, path, rows, days, AS_OF + timedelta(milliseconds=1))
+
+
+def test_files_that_go_or_change_are_counted_again(spark, path, tmp_path, rows):
+    state, table = str(tmp_path / "state"), str(tmp_path / "hours")
+    lake.write_lake(people(spark, 0, 100), path, by_day=True)
+    lake.write_lake(people(spark, 40, 100), path, by_day=True)
+    incremental.update(spark, path, state)
+    incremental.update_hours(spark, path, table)
+    # One day loses all its files, another is compacted, a file of a third is gone.
+    root = lake.events_path(path, by_day=True)
+    days = sorted(glob.glob(f"{root}/*/*/event_date=*"))
+    shutil.rmtree(days[0])
+    one = spark.read.schema(LAKE_SCHEMA).parquet(days[1])
+    one.coalesce(1).write.parquet(str(tmp_path / "one"))
+    shutil.rmtree(days[1])
+    shutil.copytree(tmp_path / "one", days[1])
+    os.remove(sorted(glob.glob(f"{days[3]}/*.parquet"))[0])
+    lake.write_lake(people(spark, 10, 5), path, by_day=True)
+    assert incremental.update(spark, path, state) == 1
+    assert tables_of(spark, state, rows) == expected_tables(spark, path, rows)
+    incremental.update_hours(spark, path, table)
+    expected = expected_tables(spark, path, rows)["hourly_patterns"]
+    assert rows(incremental.read_hours(spark, table).select(*HISTORY_SCHEMAS["hourly_patterns"].fieldNames())) == expected
+    assert incremental.update(spark, path, state) == 0
+
+
+def test_an_interrupted_wave_does_not_count(spark, path, tmp_path, rows, monkeypatch):
+    state = str(tmp_path / "state")
+    lake.write_lake(people(spark, 0, 30), path)
+    incremental.update(spark, path, state)
+    lake.write_lake(people(spark, 30, 30), path)
+    before = tables_of(spark, state, rows)
+    with monkeypatch.context() as patched:
+        patched.setattr(incremental, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental.update(spark, path, state)
+    assert tables_of(spark, state, rows) == before
+    lake.write_lake(people(spark, 60, 30), path)
+    assert incremental.update(spark, path, state) == 1
+    assert tables_of(spark, state, rows) == expected_tables(spark, path, rows)
+
+
+def test_days_of_many_waves_are_merged(spark, path, tmp_path, rows):
+    state = str(tmp_path / "state")
+    for wave in range(3):
+        lake.write_lake(people(spark, 8 * wave, 9), path)
+        incremental.update(spark, path, state)
+        incremental._merge_days(spark, state, most_waves=1)
+        assert tables_of(spark, state, rows) == expected_tables(spark, path, rows)
+    lake.write_lake(people(spark, 0, 9), path)
+    assert incremental.update(spark, path, state) == 1
+    assert tables_of(spark, state, rows) == expected_tables(spark, path, rows)
+    waves = incremental.read_partials(spark, state).groupBy("event_date").agg(F.count_distinct("wave").alias("n"))
+    assert waves.agg(F.max("n")).first()[0] <= 2
+    # What the first merge has passed is deleted by the second.
+    assert not glob.glob(f"{state}/partials/wave=1/event_date=2024-01-15")
+
+
+def test_the_job_stores_the_tables_of_the_batch_job(spark, path, tmp_path, rows):
+    lake.write_lake(people(spark, 0, 90), path, by_day=True)
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    counts = batch_job.run(spark, path, batch_job.parquet_store(one), 2, AS_OF)
+    state = str(tmp_path / "state")
+    assert counts == incremental.store_tables(spark, path, state, batch_job.parquet_store(two), 2, AS_OF)
+    for view in HISTORY_SCHEMAS:
+        assert rows(batch_job.read_history(spark, one, view)) == rows(batch_job.read_history(spark, two, view))
+
+
+# --- lake by day, table versions ----------------------------------------------------------
+
+
+def test_a_look_back_prunes_the_days_of_a_lake_placed_by_ingest_time(spark, path):
+    lake.write_lake(people(spark, 0, 400), path, by_day=True, ingest_time=AS_OF - timedelta(days=700))
+    week = lake.scan_lake(spark, path, 7, AS_OF).select("user")
+    partition_filters = plan_of(week).split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "event_date" in partition_filters and ">= 2024-01-08" in partition_filters
+    assert week.count() == 169
+    assert len(week.inputFiles()) > 8  # names all files; those read are:
+    read = lake.scan_lake(spark, path, 7, AS_OF).select(F.input_file_name()).distinct().count()
+    assert read == 8
+
+
+def test_a_lake_may_hold_both_layouts(spark, path, tmp_path):
+    lake.write_lake(stored(spark, {"user": "d1"}), path)
+    lake.write_lake(stored(spark, {"user": "d2"}, {"user": "d3", "timestamp": None}), path, by_day=True)
+    assert users(lake.scan_lake(spark, path, 0)) == [1, 2, 3]
+    assert users(lake.scan_lake(spark, path, 0, merge_schema=True)) == [1, 2, 3]
+    assert users(lake.scan_lake(spark, path, 7, AS_OF)) == [1, 2]
+    target = str(tmp_path / "t")
+    lake.compact_lake(spark, path, target, by_day=True)
+    assert users(lake.scan_lake(spark, target, 0)) == [1, 2, 3]
+    assert glob.glob(f"{lake.events_path(target, by_day=True)}/year=*/month=*/event_date=2024-01-15/*.parquet")
+
+
+def test_a_reader_sees_the_old_version_until_the_new_one_is_finished(spark, tmp_path):
+    table, schema = str(tmp_path / "t"), "x int"
+    one, two = (spark.createDataFrame([(n,)], schema) for n in (1, 2))
+    assert versions.read(spark, table, one.schema).isEmpty()
+    versions.replace(one, table)
+    planned = versions.read(spark, table, one.schema)
+    failing = two.withColumn("x", F.raise_error(F.lit("disk is full")).cast("int"))
+    with pytest.raises(Exception, match="disk is full"):
+        versions.replace(failing, table)
+    assert versions.read(spark, table, one.schema).first().x == 1
+    # A write that has not ended: files, and no mark.
+    two.write.parquet(f"{table}/version=2", mode="overwrite")
+    os.remove(f"{table}/version=2/_SUCCESS")
+    assert versions.read(spark, table, one.schema).first().x == 1
+    versions.replace(two, table)
+    assert versions.read(spark, table, one.schema).first().x == 2
+    assert planned.first().x == 1
+    for _ in range(3):
+        versions.replace(one, table)
+    assert sorted(os.listdir(table)) == ["version=4", "version=5"]
+
+
+def test_a_table_without_versions_is_read_as_it_is(spark, tmp_path):
+    one = spark.createDataFrame([(1,)], "x int")
+    one.write.parquet(str(tmp_path / "t"))
+    assert versions.read(spark, str(tmp_path / "t"), one.schema).first().x == 1
 
 
 # --- retention and session ----------------------------------------------------------------

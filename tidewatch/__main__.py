@@ -4,10 +4,11 @@
     python -m tidewatch batch --lake LAKE --jdbc-url URL --jdbc-driver CLASS [--truncate]
     python -m tidewatch ingest --captured DIR --servers HOSTS --topic NAME --checkpoints DIR
     python -m tidewatch live --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N]
-    python -m tidewatch archive --servers HOSTS --topic NAME --lake LAKE --checkpoint DIR
+    python -m tidewatch archive --servers HOSTS --topic NAME --lake LAKE --checkpoint DIR [--by-month]
     python -m tidewatch expire --root TABLES [--hours 24]
-    python -m tidewatch compact --lake LAKE --target LAKE [--year 2024 [--month 1]]
+    python -m tidewatch compact --lake LAKE --target LAKE [--year 2024 [--month 1]] [--by-day]
     python -m tidewatch hours --lake LAKE --table TABLE
+    python -m tidewatch tables --lake LAKE --state DIR --out TABLES [--days 7]
     python -m tidewatch silence --root TABLES
 """
 
@@ -47,12 +48,17 @@ def _arguments() -> argparse.Namespace:
     batch.add_argument("--literal-counts", action="store_true")
     job("ingest", "captured", "servers", "topic", "checkpoints")
     job("live", "servers", "topic", "root", "checkpoint").add_argument("--max-offsets", type=int)
-    job("archive", "servers", "topic", "lake", "checkpoint")
+    archive = job("archive", "servers", "topic", "lake", "checkpoint")
+    archive.add_argument("--by-month", action="store_true")
     job("expire", "root").add_argument("--hours", type=int, default=RETENTION_HOURS)
     compact = job("compact", "lake", "target")
     compact.add_argument("--year", type=int)
     compact.add_argument("--month", type=int)
+    compact.add_argument("--by-day", action="store_true")
     job("hours", "lake", "table")
+    tables = job("tables", "lake", "state", "out")
+    tables.add_argument("--days", type=int, default=7)
+    tables.add_argument("--literal-counts", action="store_true")
     job("silence", "root")
     return parser.parse_args()
 
@@ -96,7 +102,7 @@ def main() -> None:
         _counted(spark, writer)
     elif args.job == "archive":
         writer = pipelines.topic_to_lake(
-            spark, args.servers, args.topic, args.lake, args.checkpoint
+            spark, args.servers, args.topic, args.lake, args.checkpoint, not args.by_month
         )
         _counted(spark, writer)
     elif args.job == "expire":
@@ -105,10 +111,17 @@ def main() -> None:
                 path = folding.level_path(table, level)
                 print(path, retention.expire_days(spark, path, args.hours))
     elif args.job == "compact":
-        lake.compact_lake(spark, args.lake, args.target, args.year, args.month)
+        lake.compact_lake(spark, args.lake, args.target, args.year, args.month, args.by_day)
     elif args.job == "hours":
         incremental.update_hours(spark, args.lake, args.table)
         clean(spark)
+    elif args.job == "tables":
+        store = batch_job.parquet_store(args.out)
+        counts = incremental.store_tables(
+            spark, args.lake, args.state, store, args.days, literal_counts=args.literal_counts
+        )
+        print(counts or "no events in the look-back window, nothing written")
+        clean(spark)
     elif args.job == "silence":
         monitoring.silence_now(streams.read_live_changes(spark, args.root)).show(truncate=False)
 

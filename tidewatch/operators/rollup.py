@@ -24,6 +24,13 @@ GRAINS = {
 }
 
 
+# The names of ``measures``, for tables that store them.
+MEASURES = [
+    "events", "bytes", "bytes_known", "bots", "humans", "bots_known", "new_flagged", "new_known",
+    "type_new", "type_edit", "type_known",
+]
+
+
 def measures() -> dict[str, Column]:
     """Additive measures. ``*_known`` counts rows where the condition is not null."""
     size, is_bot, is_new, kind = (
@@ -63,17 +70,17 @@ def roll_up(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures()])
 
 
-def rollup_all(events: DataFrame) -> DataFrame:
-    """Measures of every grain in ``GRAINS`` from a single scan, told apart by ``grain``."""
-    keys = list(dict.fromkeys(key for grain in GRAINS.values() for key in grain))
+def rollup_all(events: DataFrame, grains: dict[str, list[str]] = GRAINS) -> DataFrame:
+    """Measures of every grain from a single scan, told apart by ``grain``."""
+    keys = list(dict.fromkeys(key for grain in grains.values() for key in grain))
     # grouping_id sets a bit, first key highest, for every key a row is not grouped by.
     grain = F.lit(None)
-    for name, grouped in GRAINS.items():
+    for name, grouped in grains.items():
         mask = int("".join("0" if key in grouped else "1" for key in keys), 2)
         grain = F.when(F.col("_grouping") == mask, name).otherwise(grain)
     return (
         _with_hour(events)
-        .groupingSets(list(GRAINS.values()), *keys)
+        .groupingSets(list(grains.values()), *keys)
         .agg(F.grouping_id().alias("_grouping"), *_named(measures()))
         .withColumn("grain", grain)
         .drop("_grouping")

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidewatch.functions import clock
 from tidewatch.operators import historical, rollup
 from tidewatch.schemas import HISTORY_SCHEMAS, history_table
-from tidewatch.sources import jdbc
+from tidewatch.sources import jdbc, versions
 from tidewatch.sources.lake import scan_lake
-from tidewatch.sources.tables import materialised, read_table
+from tidewatch.sources.tables import materialised
 
 # Stores a view under a table name, replacing what was there, and returns its row count.
 Store = Callable[[DataFrame, str], int]
@@ -21,9 +21,8 @@ Store = Callable[[DataFrame, str], int]
 def parquet_store(root: str) -> Store:
     def store(view: DataFrame, table: str) -> int:
         written = Observation()
-        view.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            f"{root.rstrip('/')}/{table}"
-        )
+        counted = view.observe(written, F.count(F.lit(1)).alias("rows"))
+        versions.replace(counted, f"{root.rstrip('/')}/{table}")
         return written.get["rows"]
 
     return store
@@ -37,7 +36,9 @@ def jdbc_store(connect: dict, truncate: bool = False, **options: int) -> Store:
 
 
 def read_history(spark: SparkSession, root: str, view: str) -> DataFrame:
-    return read_table(spark, f"{root.rstrip('/')}/{history_table(view)}", HISTORY_SCHEMAS[view])
+    """A stored view; while the job replaces it, the version before."""
+    path = f"{root.rstrip('/')}/{history_table(view)}"
+    return versions.read(spark, path, HISTORY_SCHEMAS[view])
 
 
 def views_of(rows: DataFrame, literal_counts: bool = False) -> dict[str, DataFrame]:
@@ -57,12 +58,17 @@ def views_of(rows: DataFrame, literal_counts: bool = False) -> dict[str, DataFra
 
 
 def store_views(events: DataFrame, store: Store, literal_counts: bool = False) -> dict[str, int]:
-    """Compute and store all views of ``events``; rows per table, and ``events`` read.
+    """Compute and store all views of ``events``; see ``store_rows``."""
+    return store_rows(rollup.rollup_all(events), store, literal_counts)
+
+
+def store_rows(rollup_rows: DataFrame, store: Store, literal_counts: bool = False) -> dict[str, int]:
+    """Store all views of rollup rows; rows per table, and ``events`` counted.
 
     The result is empty, and no table is touched, when there are no events. The views are small
     jobs of several stages each, so they are stored side by side; an error in one is raised.
     """
-    with materialised(rollup.rollup_all(events), "rollup", partition_by=["grain"]) as rows:
+    with materialised(rollup_rows, "rollup", partition_by=["grain"]) as rows:
         read = rollup.grain_rows(rows, "hours").agg(F.sum("events")).first()[0]
         if not read:
             return {}
@@ -70,7 +76,7 @@ def store_views(events: DataFrame, store: Store, literal_counts: bool = False) -
             history_table(name): view for name, view in views_of(rows, literal_counts).items()
         }
         # Jobs started from a pool thread keep the caller's Spark properties.
-        submit = inheritable_thread_target(events.sparkSession)(store)
+        submit = inheritable_thread_target(rollup_rows.sparkSession)(store)
         with ThreadPoolExecutor(len(tables)) as pool:
             counts = pool.map(submit, tables.values(), tables)
             return {"events": read, **dict(zip(tables, counts))}

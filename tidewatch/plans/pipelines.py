@@ -103,7 +103,12 @@ def rejects_path(root: str) -> str:
 
 
 def topic_to_lake(
-    spark: SparkSession, servers: str, topic_name: str, lake_path: str, checkpoint: str
+    spark: SparkSession,
+    servers: str,
+    topic_name: str,
+    lake_path: str,
+    checkpoint: str,
+    by_day: bool = True,
 ) -> DataStreamWriter:
     """Topic -> lake, with its own position, independent of the live tables.
 
@@ -113,7 +118,9 @@ def topic_to_lake(
     options = topic.source_options(
         servers, topic_name, min_offsets=ARCHIVE_RECORDS, max_delay=ARCHIVE_DELAY
     )
-    return records_to_lake(topic.read_stream(spark, options), lake_path, checkpoint)
+    return records_to_lake(
+        topic.read_stream(spark, options), lake_path, checkpoint, by_day=by_day
+    )
 
 
 def records_to_lake(
@@ -122,12 +129,13 @@ def records_to_lake(
     checkpoint: str,
     by: str = "ingest_time",
     dedup_delay: str | None = DEDUP_DELAY,
+    by_day: bool = False,
 ) -> DataStreamWriter:
     """The lake's streamed files, through the file sink's commit log. Malformed records are counted
     by the observed metrics; their text is kept by the live stream's quarantine."""
     decoded = _decoded_once(records, dedup_delay)
     events = ingest.normalize_events(payload.accepted(decoded))
-    return lake.lake_writer(events, lake_path, checkpoint, by=by)
+    return lake.lake_writer(events, lake_path, checkpoint, by=by, by_day=by_day)
 
 
 def _decoded_once(records: DataFrame, delay: str | None) -> DataFrame:

@@ -16,6 +16,12 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(path))
 
 
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to ``folder`` was committed."""
+    path, files = _located(spark, f"{folder}/_SUCCESS")
+    return files.exists(path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     located, files = _located(spark, path)
     files.delete(located, True)
