@@ -278,6 +278,44 @@ _USERS = 'SELECT "user", count(*) AS total_edits FROM asked GROUP BY 1'
 _POWER_USERS = f"{_USERS} HAVING count(*) >= 10"
 
 
+# What each list of the live page counts: its name, key, second key and moved bytes.
+_COUNTERS = [
+    ("server", "server_name", "NULL", "bytes_changed"),
+    ("page", "title", "server_name", "bytes_changed"),
+    ("action", "type", "NULL", "bytes_changed"),
+    (
+        "severity",
+        """CASE WHEN abs(bytes_changed) > 1000 THEN 'Major'
+          WHEN abs(bytes_changed) > 100 THEN 'Moderate' ELSE 'Minor' END""",
+        "NULL",
+        "bytes_changed",
+    ),
+    ("change", "CASE WHEN length_diff >= 0 THEN 'Addition' ELSE 'Deletion' END", "NULL", "length_diff"),
+    ("namespace", "split_part(title, ':', 1)", "NULL", "bytes_changed"),
+    ("language", "split_part(server_name, '.', 1)", "NULL", "bytes_changed"),
+]
+
+
+def _lists() -> str:
+    counters = "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS dimension,
+          {"date_trunc('minute', event_time)" if name == "action" else "CAST(NULL AS TIMESTAMP)"} AS minute,
+          {key} AS key, CAST({key_2} AS VARCHAR) AS key_2, abs({moved}) AS moved FROM asked
+        {"WHERE title LIKE '%:%'" if name == "namespace" else ""}"""
+        for name, key, key_2, moved in _COUNTERS
+    )
+    return _with(
+        "asked",
+        f"""SELECT * FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY dimension ORDER BY minute DESC NULLS LAST,
+            CASE WHEN dimension <> 'action' THEN edits END DESC NULLS LAST,
+            key NULLS FIRST, key_2 NULLS FIRST) AS INTEGER) AS place
+          FROM (SELECT dimension, minute, key, key_2, count(*) AS edits,
+              CAST(sum(moved) AS BIGINT) AS moved FROM ({counters}) GROUP BY ALL))
+        WHERE place <= CASE dimension WHEN 'action' THEN 500 WHEN 'namespace' THEN 20 ELSE 12 END""",
+    )
+
+
 def all_oracles() -> dict[str, str]:
     all_changes = _with("changes", f"SELECT {_CHANGES} FROM changes")
     traffic = _with("traffic", f"SELECT {_TRAFFIC} FROM traffic")
@@ -433,6 +471,9 @@ def all_oracles() -> dict[str, str]:
         "hist_read_languages_top3": _languages(False, "LIMIT 3"),
         "hist_read_servers_top3": _servers(3),
         "live_users": _with("asked", _USERS),
+        "live_page_lists": _lists(),
+        "live_page_users": _with("asked", _USERS),
+        "live_page_traffic": _with("asked_traffic", f"SELECT {_TRAFFIC} FROM asked_traffic"),
         "live_power_users": _with("asked", _POWER_USERS),
         "live_user_histogram": _with(
             "asked",
@@ -518,6 +559,7 @@ def all_oracles() -> dict[str, str]:
         "stream_recent_changes": all_changes,
         "stream_traffic": traffic,
         "stream_traffic_hourly": traffic_hourly,
+        "stream_traffic_fold": traffic_hourly,
         "stream_late_data": _with(
             "changes",
             """SELECT window_start, CAST(sum(bytes_changed) AS BIGINT) AS total_bytes,

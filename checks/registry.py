@@ -13,6 +13,7 @@ from tidewatch.plans import (
     batch_job,
     history_reads,
     incremental,
+    live_page,
     pipelines,
     retention,
     serving,
@@ -599,7 +600,7 @@ def _stream_traffic(window: str) -> Query:
         changes = live.recent_changes(feed.enriched_stream(spark, sf_dir))
         traffic = streams.traffic_stream(changes, window)
         run_available(streams.traffic_writer(traffic, path, work_dir(spark, "checkpoint")))
-        return streams.read_traffic(spark, path)
+        return streams.read_traffic(spark, path, hours=0)
 
     return query
 
@@ -608,6 +609,24 @@ _add("stream_traffic", _stream_traffic(streams.WINDOW))
 _add("stream_traffic_hourly", _stream_traffic("1 hour"))
 
 
+@_register
+def stream_traffic_fold(spark, sf_dir):
+    """Hourly windows after six batches that each changed most of them, folded and folded again."""
+    arrived, path = work_dir(spark, "arrivals"), work_dir(spark, "traffic")
+    feed.changes(spark, sf_dir).repartition(6).write.parquet(arrived)
+    stream = (
+        spark.readStream.schema(RECENT_CHANGES_SCHEMA)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(arrived)
+    )
+    # The files are in no order of time, so the windows stay open for all of it.
+    traffic = streams.traffic_stream(stream, "1 hour", watermark="1000 days")
+    run_available(
+        streams.traffic_writer(traffic, path, work_dir(spark, "checkpoint"), fold_every=2, fold_again=2)
+    )
+    return streams.read_traffic(spark, path, hours=0)
+
+
 @_register
 def stream_late_data(spark, sf_dir):
     """Every twentieth event arrives after all others: windows the watermark has closed by then
@@ -621,7 +640,7 @@ def stream_late_data(spark, sf_dir):
         stream = spark.readStream.schema(RECENT_CHANGES_SCHEMA).parquet(arrived)
         traffic = streams.traffic_stream(stream, "1 hour")
         run_available(streams.traffic_writer(traffic, path, checkpoint))
-    return streams.read_traffic(spark, path)
+    return streams.read_traffic(spark, path, hours=0)
 
 
 @_register
@@ -676,6 +695,34 @@ def live_fold(spark, sf_dir):
     return streams.read_live_traffic(spark, root, hours=0)
 
 
+def _page(read: Callable[..., DataFrame]) -> Query:
+    """Something of the live page, after three batches whose tables were folded."""
+
+    def query(spark, sf_dir):
+        arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
+        changes = feed.changes(spark, sf_dir)
+        changes.repartition(3).write.parquet(arrived)
+        stream = (
+            spark.readStream.schema(RECENT_CHANGES_SCHEMA)
+            .option("maxFilesPerTrigger", 1)
+            .parquet(arrived)
+        )
+        checkpoint = work_dir(spark, "checkpoint")
+        run_available(streams.live_tables_writer(stream, root, checkpoint, fold_every=2))
+        newest = changes.agg(F.unix_seconds(F.max("event_time"))).first()[0]
+        return read(spark, root, LOOKBACK, datetime.fromtimestamp(newest, timezone.utc))
+
+    return query
+
+
+_add("live_page_lists", _page(live_page.read_lists))
+for _name in ("live_traffic", "live_users"):
+    _add(
+        _name.replace("live_", "live_page_"),
+        _page(lambda *asked, name=_name: live_page.read_page(*asked)[name]),
+    )
+
+
 @_register
 def pipeline_live(spark, sf_dir):
     """Topic records, every tenth delivered twice and every fiftieth malformed, to both live

@@ -1,6 +1,7 @@
 """Streams against their batch twins, lateness, duplicates, restarts and retried batches."""
 
 import time
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,9 @@ from checks import feed
 from tests.build import HOUR, NOON, changes, raw
 from tests.conftest import SMALL
 from tidewatch.operators import dedup, ingest, live
-from tidewatch.plans import pipelines
-from tidewatch.schemas import LAKE_SCHEMA, RECENT_CHANGES_SCHEMA
+from tidewatch.operators import live_page as operators_page
+from tidewatch.plans import live_page, pipelines
+from tidewatch.schemas import LAKE_SCHEMA, RECENT_CHANGES_SCHEMA, TRAFFIC_SCHEMA
 from tidewatch.sources import files, lake, payload, sse, topic
 from tidewatch.sources.tables import read_table
 from tidewatch.streaming import folding
@@ -62,7 +64,7 @@ def test_traffic_stream_equals_batch_over_several_batches(spark, batch, at, rows
         run_available(
             streams.traffic_writer(streams.traffic_stream(stream, window), at("out"), at("cp"))
         )
-    assert rows(streams.read_traffic(spark, at("out"))) == rows(live.traffic_volume(batch, window))
+    assert rows(streams.read_traffic(spark, at("out"), hours=0)) == rows(live.traffic_volume(batch, window))
 
 
 def streams_window():
@@ -88,7 +90,7 @@ def test_late_events_are_dropped_and_counted_across_restarts(spark, at):
     # The watermark is at 90 s: the window of 11 s is closed, those of 95 s and 101 s are open.
     write_changes(spark, source, 11, 95, 101)
     assert rows_dropped_late(traffic_run(spark, source, at)) == 1
-    got = streams.read_traffic(spark, at("out")).select(
+    got = streams.read_traffic(spark, at("out"), hours=0).select(
         F.unix_seconds("window_start") - NOON, "event_count"
     )
     assert sorted(tuple(r) for r in got.collect()) == [(0, 2), (90, 1), (100, 2)]
@@ -164,8 +166,6 @@ def test_an_error_in_a_batch_fails_the_query(spark, at):
 
 
 def test_retention_on_read_prunes_days(spark, at):
-    from datetime import datetime, timezone
-
     from tests.conftest import plan_of
 
     for batch_id, seconds in enumerate((0, 30 * HOUR, 50 * HOUR)):
@@ -271,11 +271,97 @@ def test_folded_levels_hold_each_batch_once(spark, at, rows):
 
 
 def test_archive_stream_by_ingest_time(spark, at):
-    from datetime import datetime, timezone
-
     delivered(spark, at, {"id": 1, "timestamp": NOON})
     stream = spark.readStream.schema(LAKE_SCHEMA).parquet(at("source"))
     now = datetime(2024, 5, 2, tzinfo=timezone.utc)
     run_available(lake.lake_writer(ingest.normalize_events(stream), at("lake"), at("cp"), ingest_time=now))
     row = lake.scan_lake(spark, at("lake"), 0).first()
     assert (row.year, row.month) == (2024, 5)
+
+
+# --- event-time traffic as a job, the page from minute partials ----------------------------
+
+
+def moments(spark, *pairs):
+    """Change rows at ``(seconds, bytes)``."""
+    return changes(spark, *[{"at": at, "bytes_changed": size} for at, size in pairs])
+
+
+def test_a_newer_state_of_a_window_supersedes_folded_ones(spark, at, rows):
+    def store(batch_id, *windows):
+        states = spark.createDataFrame(
+            [(datetime.fromtimestamp(NOON + start, timezone.utc), size, 1, 0.0) for start, size in windows],
+            TRAFFIC_SCHEMA,
+        )
+        folding.write_batch(states, "window_start", at("t"), batch_id)
+        folding.fold_when_due(spark, at("t"), TRAFFIC_SCHEMA, "window_start", batch_id, 2, 2, streams.newest)
+
+    expected = {}
+    for batch_id in range(9):
+        windows = [(10 * (batch_id % 3), batch_id), (100, 50 + batch_id)]
+        store(batch_id, *windows)
+        store(batch_id, *windows)
+        expected.update(windows)
+        found = streams.read_traffic(spark, at("t"), hours=0)
+        assert {r.window_start.replace(tzinfo=timezone.utc).timestamp() - NOON: r.total_bytes for r in found.collect()} == expected
+        assert {r.avg_bytes_per_event for r in found.collect()} == set(map(float, expected.values()))
+    assert files.names(spark, folding.level_path(at("t"), 2))
+
+
+def test_the_traffic_job_equals_batch_and_reads_by_time(spark, at, rows):
+    events = feed.enriched(spark, SMALL)
+    records = topic.encode(feed.with_coordinates(events))
+    records.repartition(4).write.parquet(at("topic"))
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(at("topic"))
+    writer = pipelines.records_to_traffic(stream, at("live"), at("cp"), "1 hour", "1000 days")
+    run_available(writer)
+    whole = live.traffic_volume(live.recent_changes(events), "1 hour")
+    path = streams.window_traffic_path(at("live"))
+    assert rows(streams.read_traffic(spark, path, hours=0)) == rows(whole)
+    newest = whole.agg(F.unix_seconds(F.max("window_start"))).first()[0]
+    now = datetime.fromtimestamp(newest, timezone.utc)
+    day = streams.read_traffic(spark, path, hours=24, as_of=now)
+    since = F.unix_seconds("window_start") >= newest - 24 * HOUR
+    assert rows(day) == rows(whole.where(since)) and day.count() < whole.count()
+    # Older days are not even listed.
+    states = folding.read_levels(spark, path, TRAFFIC_SCHEMA, streams._first_day(24, now))
+    assert 0 < len(states.inputFiles()) < len(folding.read_levels(spark, path, TRAFFIC_SCHEMA).inputFiles())
+
+
+@pytest.mark.parametrize("seconds", [0, 17])
+def test_the_page_equals_the_queries_over_all_changes(spark, batch, at, rows, seconds):
+    """Also where the cutoff lies inside a minute, and with folded partials."""
+    batch.repartition(3).write.parquet(at("arrivals"))
+    stream = spark.readStream.schema(RECENT_CHANGES_SCHEMA).option("maxFilesPerTrigger", 1).parquet(at("arrivals"))
+    run_available(streams.live_tables_writer(stream, at("live"), at("cp"), fold_every=2))
+    newest = batch.agg(F.unix_seconds(F.max("event_time"))).first()[0]
+    now = datetime.fromtimestamp(newest - newest % 60 + seconds, timezone.utc)
+    minutes = 5 * 24 * 60
+    page = live_page.read_page(spark, at("live"), minutes, now)
+    traffic = live.traffic_volume(batch)
+    for name, found in page.items():
+        over = traffic if name in ("live_traffic", "live_velocity") else batch
+        expected = getattr(live, name)(over, minutes=minutes, as_of=now)
+        assert found.columns == expected.columns, name
+        if name in ("live_severity", "live_volume_change", "live_users", "live_recent"):
+            assert rows(found) == rows(expected), name
+        else:
+            assert found.collect() == expected.collect(), name
+
+
+def test_minute_partials_of_odd_changes(spark, rows):
+    odd = changes(
+        spark,
+        {"at": 0, "title": "a:b:c", "server_name": "x", "type": "edit", "bytes_changed": -7, "length_diff": None},
+        {"at": 1, "title": None, "server_name": None, "user": None, "type": None, "bytes_changed": 1001, "length_diff": 0},
+        {"at": 61, "title": ":", "server_name": "", "user": "", "type": "", "bytes_changed": 0, "length_diff": -3},
+    )
+    found = operators_page.minute_partials(odd)
+    assert rows(operators_page.merged(found.unionByName(found)).selectExpr("edits div 2", "moved div 2")) == rows(found, "edits", "moved")
+    counted = {(r.dimension, r.key, r.key_2): (r.edits, r.moved) for r in found.where("minute = date_trunc('minute', timestamp_seconds(%d))" % NOON).collect()}
+    assert counted[("namespace", "a", None)] == (1, 7) and ("namespace", None, None) not in counted
+    assert counted[("server", None, None)] == (1, 1001) and counted[("page", None, None)] == (1, 1001)
+    assert counted[("change", "Addition", None)] == (1, 0) and counted[("change", "Deletion", None)] == (1, None)
+    assert counted[("severity", "Major", None)] == (1, 1001) and counted[("severity", "Minor", None)] == (1, 7)
+    assert operators_page.minute_partials(odd.limit(0)).isEmpty()
+    assert operators_page.top_lists(operators_page.minute_partials(odd.limit(0))).isEmpty()

@@ -4,6 +4,7 @@
     python -m tidewatch batch --lake LAKE --jdbc-url URL --jdbc-driver CLASS [--truncate]
     python -m tidewatch ingest --captured DIR --servers HOSTS --topic NAME --checkpoints DIR
     python -m tidewatch live --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N]
+    python -m tidewatch traffic --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N]
     python -m tidewatch archive --servers HOSTS --topic NAME --lake LAKE --checkpoint DIR [--by-month]
     python -m tidewatch expire --root TABLES [--hours 24]
     python -m tidewatch compact --lake LAKE --target LAKE [--year 2024 [--month 1]] [--by-day]
@@ -48,6 +49,7 @@ def _arguments() -> argparse.Namespace:
     batch.add_argument("--literal-counts", action="store_true")
     job("ingest", "captured", "servers", "topic", "checkpoints")
     job("live", "servers", "topic", "root", "checkpoint").add_argument("--max-offsets", type=int)
+    job("traffic", "servers", "topic", "root", "checkpoint").add_argument("--max-offsets", type=int)
     archive = job("archive", "servers", "topic", "lake", "checkpoint")
     archive.add_argument("--by-month", action="store_true")
     job("expire", "root").add_argument("--hours", type=int, default=RETENTION_HOURS)
@@ -100,13 +102,21 @@ def main() -> None:
             spark, args.servers, args.topic, args.root, args.checkpoint, args.max_offsets
         )
         _counted(spark, writer)
+    elif args.job == "traffic":
+        writer = pipelines.topic_to_traffic(
+            spark, args.servers, args.topic, args.root, args.checkpoint, args.max_offsets
+        )
+        _counted(spark, writer)
     elif args.job == "archive":
         writer = pipelines.topic_to_lake(
             spark, args.servers, args.topic, args.lake, args.checkpoint, not args.by_month
         )
         _counted(spark, writer)
     elif args.job == "expire":
-        for table in (streams.changes_path(args.root), streams.traffic_path(args.root)):
+        for table in (
+            streams.changes_path(args.root), streams.traffic_path(args.root),
+            streams.window_traffic_path(args.root), streams.partials_path(args.root),
+        ):
             for level in range(folding.LEVELS):
                 path = folding.level_path(table, level)
                 print(path, retention.expire_days(spark, path, args.hours))

@@ -102,6 +102,35 @@ def rejects_path(root: str) -> str:
     return f"{root.rstrip('/')}/rejects"
 
 
+def topic_to_traffic(
+    spark: SparkSession,
+    servers: str,
+    topic_name: str,
+    root: str,
+    checkpoint: str,
+    max_offsets: int | None = None,
+) -> DataStreamWriter:
+    """Topic -> event-time traffic windows, with a position of its own."""
+    options = topic.source_options(servers, topic_name, max_offsets=max_offsets)
+    return records_to_traffic(topic.read_stream(spark, options), root, checkpoint)
+
+
+def records_to_traffic(
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    window: str = streams.WINDOW,
+    watermark: str = streams.WATERMARK,
+) -> DataStreamWriter:
+    """Event-time windows below ``root``, late events dropped and counted. A redelivered event counts
+    again: an open window is shown before it is final, and Spark has no deduplication ahead of an
+    aggregation whose rows may still change."""
+    decoded = observe_ingest(topic.decode_records(records))
+    changes = recent_changes(ingest.normalize_events(payload.accepted(decoded)))
+    traffic = streams.traffic_stream(changes, window, watermark)
+    return streams.traffic_writer(traffic, streams.window_traffic_path(root), checkpoint)
+
+
 def topic_to_lake(
     spark: SparkSession,
     servers: str,

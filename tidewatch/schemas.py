@@ -53,11 +53,11 @@ _DERIVED = {
     "is_bot": FLAG, "is_minor": FLAG, "is_new_page": FLAG,
     "bytes_changed": LONG, "language": TEXT, "project": TEXT,
 }
-_ANALYTICS = (
-    "timestamp type user server_name title namespace bot is_bot is_minor is_new_page "
-    "bytes_changed language project length"
-)
-_MINIMAL = "user bot type server_name timestamp"
+_ANALYTICS = [
+    "timestamp", "type", "user", "server_name", "title", "namespace", "bot", "is_bot", "is_minor",
+    "is_new_page", "bytes_changed", "language", "project", "length",
+]
+_MINIMAL = ["user", "bot", "type", "server_name", "timestamp"]
 _HISTORY = {
     "hourly_patterns": {
         "hour_bucket": TIME, "total_events": LONG, "total_bytes": LONG, "avg_bytes": DOUBLE,
@@ -86,8 +86,8 @@ LAKE_SCHEMA = struct({**_EVENT, **_DERIVED, "timestamp_imputed": FLAG})
 # The full typed event differs from a lake row in ``log_params``: a map when an event is read
 # typed, JSON text in the lake, where its values have mixed types.
 FULL_SCHEMA = struct({**_EVENT, **_DERIVED, "log_params": MapType(TEXT, TEXT)})
-ANALYTICS_SCHEMA = struct({name: LAKE_SCHEMA[name].dataType for name in _ANALYTICS.split()})
-MINIMAL_SCHEMA = struct({name: LAKE_SCHEMA[name].dataType for name in _MINIMAL.split()})
+ANALYTICS_SCHEMA = struct({name: LAKE_SCHEMA[name].dataType for name in _ANALYTICS})
+MINIMAL_SCHEMA = struct({name: LAKE_SCHEMA[name].dataType for name in _MINIMAL})
 RECENT_CHANGES_SCHEMA = struct(
     {
         "event_time": TIME, "user": TEXT, "title": TEXT, "server_name": TEXT,
@@ -97,6 +97,9 @@ RECENT_CHANGES_SCHEMA = struct(
 TRAFFIC_SCHEMA = struct(
     {"window_start": TIME, "total_bytes": LONG, "event_count": LONG, "avg_bytes_per_event": DOUBLE}
 )
+MINUTE_PARTIALS_SCHEMA = struct(
+    {"minute": TIME, "dimension": TEXT, "key": TEXT, "key_2": TEXT, "edits": LONG, "moved": LONG}
+)
 HISTORY_SCHEMAS = {view: struct(columns) for view, columns in _HISTORY.items()}
 
 

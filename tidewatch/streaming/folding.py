@@ -5,16 +5,19 @@ replace itself. ``fold`` gathers the finished batches of a level in one folder o
 whose ``batch_id`` is the last one it holds; level 0 is the stream's own. A mark, written last, says
 up to which batch a level has been folded: readers take what is behind the mark from the next level,
 so an interrupted or repeated fold counts nothing twice. Folders behind a mark stay until the next
-fold, for readers that were planned before it.
+fold, for readers that were planned before it. How the rows of several batches become one row, added
+up or the newest instead of the older ones, is up to the table's ``combine``.
 """
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructType
 
+from tidewatch.schemas import extended
 from tidewatch.sources import files
 from tidewatch.sources.tables import read_table
 
@@ -61,14 +64,33 @@ def write_batch(rows: DataFrame, time: str, path: str, batch_id: int) -> None:
     )
 
 
-def read_levels(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows of a live table, each from the highest level that holds it."""
+def _read_days(
+    spark: SparkSession, path: str, schema: StructType, first_day: date | None
+) -> DataFrame:
+    """A level's rows, of the days from ``first_day`` on; the folders of older days aren't listed."""
+    if first_day is None:
+        return read_table(spark, path, schema, PARTITIONS)
+    days = [
+        f"{path}/{name}" for name in files.names(spark, path)
+        if name.startswith(f"{DAY}=") and name.partition("=")[2] >= first_day.isoformat()
+    ]
+    shape = extended(schema, PARTITIONS)
+    if not days:
+        return spark.createDataFrame([], shape)
+    return spark.read.schema(shape).option("basePath", path).parquet(*days)
+
+
+def read_levels(
+    spark: SparkSession, path: str, schema: StructType, first_day: date | None = None
+) -> DataFrame:
+    """All rows of a live table, each from the highest level that holds it, or those of the days from
+    ``first_day`` on."""
     parts, behind = [], -1
     for level in reversed(range(LEVELS)):
         up_to = None if level == 0 else folded_up_to(spark, path, level - 1)
         if level and up_to < 0:
             continue
-        rows = read_table(spark, level_path(path, level), schema, PARTITIONS)
+        rows = _read_days(spark, level_path(path, level), schema, first_day)
         rows = rows.where(F.col(BATCH) > behind)
         parts.append(rows if up_to is None else rows.where(F.col(BATCH) <= up_to))
         behind = behind if up_to is None else up_to
@@ -85,15 +107,16 @@ def fold(
     combine: Combine | None = None,
 ) -> None:
     """Gather the batches of ``level`` up to ``up_to`` in the next level. ``combine`` may shrink the
-    rows, as summing shares does; nothing happens when that far was folded before."""
+    rows, as summing shares does, and sees the batch each is of; nothing happens when that far was
+    folded before."""
     before = folded_up_to(spark, path, level)
     if up_to <= before:
         return
     held = read_table(spark, level_path(path, level), schema, PARTITIONS)
-    rows = held.where((F.col(BATCH) > before) & (F.col(BATCH) <= up_to)).drop(DAY, BATCH)
+    rows = held.where((F.col(BATCH) > before) & (F.col(BATCH) <= up_to))
     if combine is not None:
         rows = combine(rows)
-    write_batch(rows, time, level_path(path, level + 1), up_to)
+    write_batch(rows.drop(DAY, BATCH), time, level_path(path, level + 1), up_to)
     spark.range(1).write.mode("overwrite").parquet(f"{_marks(path, level)}/up_to={up_to}")
     _clean(spark, path, level, before)
 

@@ -1,14 +1,17 @@
 """Streams that feed the live tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date, datetime, timedelta, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import DateType
 
 from tidewatch.functions import clock
-from tidewatch.operators.live import traffic_totals, traffic_volume, with_average
+from tidewatch.operators import live_page
+from tidewatch.operators.live import traffic_volume, with_average
 from tidewatch.operators.retention import RETENTION_HOURS, keep_recent
-from tidewatch.schemas import RECENT_CHANGES_SCHEMA, TRAFFIC_SCHEMA
+from tidewatch.schemas import MINUTE_PARTIALS_SCHEMA, RECENT_CHANGES_SCHEMA, TRAFFIC_SCHEMA
 from tidewatch.sources.tables import read_table
 from tidewatch.streaming import folding
 from tidewatch.streaming.folding import BATCH, DAY
@@ -47,12 +50,23 @@ def traffic_stream(
     return traffic_volume(changes.withWatermark("event_time", watermark), window)
 
 
-def traffic_writer(traffic: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+def traffic_writer(
+    traffic: DataFrame,
+    path: str,
+    checkpoint: str,
+    fold_every: int = folding.FOLD_BATCHES,
+    fold_again: int = folding.FOLD_AGAIN,
+) -> DataStreamWriter:
     """Store the windows each batch changed. Append mode would hold back a window until the
-    watermark passes it; here an open window is visible and a later batch supersedes it."""
+    watermark passes it; here an open window is visible and a later batch supersedes it. Folding keeps
+    the newest state of each window."""
 
     def store(rows: DataFrame, batch_id: int) -> None:
         folding.write_batch(rows, "window_start", path, batch_id)
+        folding.fold_when_due(
+            rows.sparkSession, path, TRAFFIC_SCHEMA, "window_start", batch_id, fold_every, fold_again,
+            newest,
+        )
 
     return (
         traffic.writeStream.outputMode("update")
@@ -61,20 +75,24 @@ def traffic_writer(traffic: DataFrame, path: str, checkpoint: str) -> DataStream
     )
 
 
-def read_traffic(
-    spark: SparkSession, path: str, hours: int = 0, as_of: clock.AsOf = None
-) -> DataFrame:
-    """The latest state of every window, or of those of the last ``hours``."""
-    rows = read_table(spark, path, TRAFFIC_SCHEMA, folding.PARTITIONS)
-    if hours > 0:
-        first_day = F.to_date(clock.hours_before(as_of, hours))
-        rows = keep_recent(rows.filter(F.col(DAY) >= first_day), "window_start", hours, as_of)
-    latest = F.max_by(F.struct("total_bytes", "event_count"), BATCH)
+def newest(states: DataFrame) -> DataFrame:
+    """The latest state of every window among those that batches, or folders of them, hold."""
+    latest = F.max_by(F.struct("total_bytes", "event_count"), folding.BATCH)
     return with_average(
-        rows.groupBy("window_start").agg(latest.alias("_latest")).select("window_start", "_latest.*")
+        states.groupBy("window_start")
+        .agg(latest.alias("_latest"))
+        .select("window_start", "_latest.*")
     )
 
 
+def read_traffic(
+    spark: SparkSession, path: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
+) -> DataFrame:
+    """The latest state of the windows of the last ``hours``; of all windows for 0 or less."""
+    states = folding.read_levels(spark, path, TRAFFIC_SCHEMA, _first_day(hours, as_of))
+    return newest(_retained(states, "window_start", hours, as_of))
+
+
 # --- both live tables from one query ------------------------------------------------------
 
 
@@ -108,13 +126,16 @@ def store_live_batch(
     fold_every: int = folding.FOLD_BATCHES,
     fold_again: int = folding.FOLD_AGAIN,
 ) -> None:
-    """Store one batch in both live tables."""
+    """Store one batch in both live tables, and its minute partials."""
     batch = changes.persist()
     try:
         folding.write_batch(batch, "event_time", changes_path(root), batch_id)
         folding.write_batch(
             traffic_volume(batch, window), "window_start", traffic_path(root), batch_id
         )
+        folding.write_batch(
+            live_page.minute_partials(batch), "minute", partials_path(root), batch_id
+        )
     finally:
         batch.unpersist()
     due = (batch_id, fold_every, fold_again)
@@ -124,6 +145,10 @@ def store_live_batch(
     folding.fold_when_due(
         changes.sparkSession, traffic_path(root), TRAFFIC_SCHEMA, "window_start", *due, summed
     )
+    folding.fold_when_due(
+        changes.sparkSession, partials_path(root), MINUTE_PARTIALS_SCHEMA, "minute", *due,
+        live_page.merged,
+    )
 
 
 def changes_path(root: str) -> str:
@@ -134,20 +159,42 @@ def traffic_path(root: str) -> str:
     return f"{root.rstrip('/')}/traffic_volume"
 
 
+def window_traffic_path(root: str) -> str:
+    return f"{root.rstrip('/')}/window_traffic"
+
+
+def partials_path(root: str) -> str:
+    return f"{root.rstrip('/')}/minute_partials"
+
+
 def read_live_changes(
     spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
 ) -> DataFrame:
-    rows = folding.read_levels(spark, changes_path(root), RECENT_CHANGES_SCHEMA)
-    return _retained(rows, "event_time", hours, as_of)
+    rows = folding.read_levels(
+        spark, changes_path(root), RECENT_CHANGES_SCHEMA, _first_day(hours, as_of)
+    )
+    return _retained(rows, "event_time", hours, as_of).drop(DAY, BATCH)
 
 
 def read_live_traffic(
     spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
 ) -> DataFrame:
-    shares = folding.read_levels(spark, traffic_path(root), TRAFFIC_SCHEMA)
+    shares = folding.read_levels(
+        spark, traffic_path(root), TRAFFIC_SCHEMA, _first_day(hours, as_of)
+    )
     return summed(_retained(shares, "window_start", hours, as_of))
 
 
+def read_partials(
+    spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
+) -> DataFrame:
+    """Minute partials as batches, or folders of them, hold them: they merge by addition."""
+    rows = folding.read_levels(
+        spark, partials_path(root), MINUTE_PARTIALS_SCHEMA, _first_day(hours, as_of)
+    )
+    return _retained(rows, "minute", hours, as_of).drop(DAY, BATCH)
+
+
 def summed(shares: DataFrame) -> DataFrame:
     """Windows from the shares that batches, or folders of them, hold."""
     return with_average(
@@ -157,9 +204,18 @@ def summed(shares: DataFrame) -> DataFrame:
     )
 
 
+def _first_day(hours: int, as_of: clock.AsOf) -> date | None:
+    """A day before which no row is in the last ``hours``, where that is known without a job; the
+    day before the cutoff's, whatever zone ``as_of`` was meant in."""
+    if hours <= 0 or isinstance(as_of, Column):
+        return None
+    now = (as_of or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    return (now - timedelta(hours=hours + 24)).date()
+
+
 def _retained(rows: DataFrame, time: str, hours: int, as_of: clock.AsOf) -> DataFrame:
     """Rows inside the retention; the day bound prunes folders, 0 hours or less keeps all."""
     if hours <= 0:
-        return rows.drop(DAY, BATCH)
+        return rows
     first_day = F.to_date(clock.hours_before(as_of, hours))
-    return keep_recent(rows.filter(F.col(DAY) >= first_day), time, hours, as_of).drop(DAY, BATCH)
+    return keep_recent(rows.filter(F.col(DAY) >= first_day), time, hours, as_of)
