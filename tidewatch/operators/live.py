@@ -154,7 +154,14 @@ def live_velocity(
     window_seconds: int = change.WINDOW_SECONDS,
 ) -> DataFrame:
     """Events per second of the latest traffic windows, oldest first."""
-    return live_traffic(traffic, minutes, as_of).select(
+    return velocity_of(live_traffic(traffic, minutes, as_of), window_seconds)
+
+
+def velocity_of(
+    points: DataFrame, window_seconds: int = change.WINDOW_SECONDS
+) -> DataFrame:
+    """Events per second of traffic windows."""
+    return points.select(
         "window_start",
         change.events_per_second(F.col("event_count"), window_seconds).alias("events_per_second"),
         "event_count",

@@ -30,6 +30,11 @@ def minute_partials(changes: DataFrame) -> DataFrame:
     """``minute, dimension, key, key_2, edits, moved`` of change rows. ``moved`` adds up the absolute
     bytes of a change, for additions and deletions its absolute difference. Counters combine before
     their shuffle."""
+    return merged(_counters(changes))
+
+
+def _counters(changes: DataFrame) -> DataFrame:
+    """What each change adds, in the shape of partials."""
     size, title, server = F.abs("bytes_changed"), F.col("title"), F.col("server_name")
     counters = [
         _counter(SERVER, server, size),
@@ -45,9 +50,7 @@ def minute_partials(changes: DataFrame) -> DataFrame:
     return (
         changes.select(minute, F.explode(F.array(*counters)).alias("counter"))
         .where("counter IS NOT NULL")
-        .select("minute", "counter.*")
-        .groupBy(*_KEYS)
-        .agg(F.count(F.lit(1)).alias("edits"), F.sum("moved").alias("moved"))
+        .select("minute", "counter.*", F.lit(1).cast("bigint").alias("edits"))
         .select(*MINUTE_PARTIALS_SCHEMA.fieldNames())
     )
 
@@ -77,9 +80,7 @@ def within(
     cutoff = clock.minutes_before(as_of, minutes)
     whole = clock.minute_of(cutoff + F.expr("INTERVAL '59.999999' SECOND"))
     rest = (F.col("event_time") >= cutoff) & (F.col("event_time") < whole)
-    return partials.where(F.col("minute") >= whole).unionByName(
-        minute_partials(changes.where(rest))
-    )
+    return partials.where(F.col("minute") >= whole).unionByName(_counters(changes.where(rest)))
 
 
 def top_lists(partials: DataFrame) -> DataFrame:
@@ -116,11 +117,13 @@ def users(partials: DataFrame) -> DataFrame:
     return mine.agg(F.sum("edits").alias("total_edits"))
 
 
-def views_of(lists: DataFrame) -> dict[str, DataFrame]:
-    """The page's queries, as ``operators.live`` names their columns, from ``top_lists``."""
+def views_of(lists: DataFrame, in_order: bool = False) -> dict[str, DataFrame]:
+    """The page's queries, as ``operators.live`` names their columns, from ``top_lists``, which may be
+    ``in_order`` of their places already, as held rows are."""
 
     def view(dimension: str, columns: dict[str, str]) -> DataFrame:
-        mine = lists.where(F.col("dimension") == dimension).orderBy("place")
+        mine = lists.where(F.col("dimension") == dimension)
+        mine = mine if in_order else mine.orderBy("place")
         return mine.select(*(F.col(held).alias(name) for name, held in columns.items()))
 
     return {

@@ -40,19 +40,19 @@ def read_page(
     """
     now = as_of or datetime.now(timezone.utc)
     changes, partials = _sources(spark, root, minutes, now)
-    lists = _held(live_page.top_lists(partials))
+    lists = _held(live_page.top_lists(partials), "place")
     points = streams.read_live_traffic(spark, root, minutes // 60 + 1, now)
-    traffic = _held(live.live_traffic(points, minutes, now))
+    traffic = _held(live.live_traffic(points, minutes, now), "window_start")
     return {
         "live_traffic": traffic,
-        "live_velocity": live.live_velocity(traffic, minutes, now),
-        **live_page.views_of(lists),
+        "live_velocity": live.velocity_of(traffic),
+        **live_page.views_of(lists, in_order=True),
         "live_users": live_page.users(partials),
         "live_recent": live.live_recent(changes, minutes, now),
     }
 
 
-def _held(bounded: DataFrame) -> DataFrame:
-    """A result of bounded size, computed once."""
-    rows = bounded.toArrow()
+def _held(bounded: DataFrame, order: str) -> DataFrame:
+    """A result of bounded size, computed once; filters and projections of it need no job."""
+    rows = bounded.toArrow().sort_by(order)
     return bounded.sparkSession.createDataFrame(rows, bounded.schema)
