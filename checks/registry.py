@@ -356,7 +356,8 @@ def traffic_count_window(spark, sf_dir):
 
 @_register
 def stream_count_window(spark, sf_dir):
-    """The same windows from a stream of several batches."""
+    """The same windows from a stream of a batch per file: two waves of offsets, each with a file per
+    topic partition."""
     arrived, path = work_dir(spark, "arrivals"), work_dir(spark, "windows")
     records = live.recent_changes(
         feed.with_coordinates(feed.enriched(spark, sf_dir)), carry=["partition", "offset"]
@@ -364,14 +365,14 @@ def stream_count_window(spark, sf_dir):
     checkpoint = work_dir(spark, "checkpoint")
     middle = records.agg(F.avg("offset")).first()[0]
     for wave in (F.col("offset") < middle, F.col("offset") >= middle):
-        records.where(wave).write.mode("append").parquet(arrived)
-        stream = spark.readStream.schema(records.schema).parquet(arrived)
-        windows = count_windows.traffic_count_stream(stream)
-        run_available(
-            windows.writeStream.format("parquet").option("path", path)
-            .option("checkpointLocation", checkpoint)
-        )
-    return read_table(spark, path, windows.schema)
+        records.where(wave).repartition(feed.PARTITIONS, "partition").write.mode("append").parquet(
+            arrived
+        )
+    stream = (
+        spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+    )
+    run_available(count_windows.count_windows_writer(stream, path, checkpoint))
+    return count_windows.read_count_windows(spark, path)
 
 
 def _live(query: Callable[..., DataFrame], minutes: int = LOOKBACK, **options) -> Query:

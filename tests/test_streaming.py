@@ -15,7 +15,7 @@ from tidewatch.plans import live_page, pipelines
 from tidewatch.schemas import LAKE_SCHEMA, RECENT_CHANGES_SCHEMA, TRAFFIC_SCHEMA
 from tidewatch.sources import files, lake, payload, sse, topic
 from tidewatch.sources.tables import read_table
-from tidewatch.streaming import folding
+from tidewatch.streaming import count_windows, folding, silence
 from tidewatch.streaming import live as streams
 from tidewatch.streaming.queries import rows_dropped_late, run_available
 from tidewatch.streaming.stats import IngestTotals, observe_ingest
@@ -365,3 +365,68 @@ def test_minute_partials_of_odd_changes(spark, rows):
     assert counted[("severity", "Major", None)] == (1, 1001) and counted[("severity", "Minor", None)] == (1, 7)
     assert operators_page.minute_partials(odd.limit(0)).isEmpty()
     assert operators_page.top_lists(operators_page.minute_partials(odd.limit(0))).isEmpty()
+
+
+# --- count windows, silence ---------------------------------------------------------------
+
+
+def topic_records(spark, *rows):
+    """Records ``(partition, offset, bytes)``, stamped by their offset."""
+    frame = spark.createDataFrame(rows, "partition int, offset long, bytes_changed long")
+    return frame.withColumn("event_time", F.timestamp_seconds(F.lit(NOON) + F.col("offset")))
+
+
+def test_count_windows_over_batches_gaps_and_retries(spark, at, rows, monkeypatch):
+    monkeypatch.setattr(live, "OFFSET_SPAN", 4)
+    batches = [
+        [(0, 0, 1), (0, 3, 2), (1, 5, 10)],
+        [(1, 6, 20)],
+        [(0, n, 1) for n in range(10, 31, 2)] + [(1, 7, 30), (2, 0, 5)],
+        [(0, 40, 100)],
+    ]
+    every = []
+    for batch_id, batch in enumerate(batches):
+        every += batch
+        for _ in range(2):
+            count_windows.store_windows(topic_records(spark, *batch), at("w"), batch_id, 3)
+        expected = live.traffic_count_window(topic_records(spark, *every), 3)
+        assert rows(count_windows.read_count_windows(spark, at("w"))) == rows(expected)
+    assert len(files.names(spark, count_windows.open_path(at("w")))) == 2
+    count_windows.store_windows(topic_records(spark, *batches[0]).limit(0), at("w"), 4, 3)
+    assert rows(count_windows.read_count_windows(spark, at("w"))) == rows(expected)
+    held = read_table(spark, f"{count_windows.open_path(at('w'))}/batch_id=4", count_windows.OPEN)
+    assert rows(held, "partition", "event_count") == [(0, 2), (2, 1)]
+
+
+def test_a_silence_is_told_when_it_begins_and_when_it_ends(spark, at):
+    def send(name):
+        spark.createDataFrame([(name,)] * 3, "feed string").coalesce(1).write.mode("append").parquet(at("in"))
+
+    def wait(count):
+        for _ in range(300):
+            found = silence.read_alarms(spark, at("alarms")).orderBy("silent_since", "silent_until").collect()
+            if len(found) >= count:
+                return found
+            time.sleep(0.2)
+        raise AssertionError(f"{len(found)} alarms, {count} expected")
+
+    send("a")
+    stream = spark.readStream.schema("feed string").parquet(at("in"))
+    writer = silence.alarms_writer(silence.silence_alarms(stream, 4), at("alarms"), at("cp"))
+    query = writer.trigger(processingTime="1 second").start()
+    try:
+        begun = wait(1)[0]
+        assert begun.silent_until is None and begun.seconds >= 4
+        send("b")
+        ended = [row for row in wait(2) if row.silent_until is not None][0]
+        assert ended.silent_since == begun.silent_since and ended.silent_until > ended.silent_since
+        # It falls silent again.
+        assert sum(row.silent_until is None for row in wait(3)) == 2
+    finally:
+        query.stop()
+
+
+def test_feeds_are_told_apart_before_the_state(spark):
+    frame = spark.createDataFrame([(n % 3,) for n in range(5_000)], "p int").coalesce(1)
+    found = silence._arrivals(frame, F.col("p")).collect()
+    assert {row.feed for row in found} == {"0", "1", "2"} and len(found) < 30

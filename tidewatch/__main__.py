@@ -11,6 +11,7 @@
     python -m tidewatch hours --lake LAKE --table TABLE
     python -m tidewatch tables --lake LAKE --state DIR --out TABLES [--days 7]
     python -m tidewatch silence --root TABLES
+    python -m tidewatch alarm --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--seconds 300]
 """
 
 import argparse
@@ -62,6 +63,8 @@ def _arguments() -> argparse.Namespace:
     tables.add_argument("--days", type=int, default=7)
     tables.add_argument("--literal-counts", action="store_true")
     job("silence", "root")
+    alarm = job("alarm", "servers", "topic", "root", "checkpoint")
+    alarm.add_argument("--seconds", type=int, default=60 * monitoring.SILENCE_MINUTES)
     return parser.parse_args()
 
 
@@ -132,6 +135,11 @@ def main() -> None:
         )
         print(counts or "no events in the look-back window, nothing written")
         clean(spark)
+    elif args.job == "alarm":
+        writer = pipelines.topic_to_alarms(
+            spark, args.servers, args.topic, args.root, args.checkpoint, args.seconds
+        )
+        run_forever(writer, LIVE_INTERVAL).awaitTermination()
     elif args.job == "silence":
         monitoring.silence_now(streams.read_live_changes(spark, args.root)).show(truncate=False)
 

@@ -79,12 +79,11 @@ def traffic_volume(changes: DataFrame, window: str = "10 seconds") -> DataFrame:
     )
 
 
-def traffic_count_window(records: DataFrame, size: int = COUNT_WINDOW) -> DataFrame:
-    """Bytes and events per ``size`` consecutive records of a topic partition, whatever offsets lie
-    between them; the row is labelled with its latest event time.
+def numbered_records(records: DataFrame) -> DataFrame:
+    """``partition, event_time, bytes_changed`` and the ``number`` of each record in its topic
+    partition, from 0, whatever offsets lie between them.
 
-    Only the last window of a partition may lack records, and is left out until it is full. Records
-    are numbered within spans of offsets, and the spans by what was counted before them, so no
+    Records are numbered within spans of offsets, and the spans by what was counted before them, so no
     partition is sorted as a whole.
     """
     span = F.floor(F.col("offset") / OFFSET_SPAN).alias("_span")
@@ -106,15 +105,25 @@ def traffic_count_window(records: DataFrame, size: int = COUNT_WINDOW) -> DataFr
         spans,
         F.col("partition").eqNullSafe(F.col("_partition")) & F.col("_span").eqNullSafe(F.col("_of")),
     )
-    window = F.floor((F.col("_before") + F.col("_number") - 1) / size).alias("_window")
-    return (
-        numbered.groupBy("partition", window)
-        .agg(F.max("event_time").alias("window_start"), *traffic_totals())
-        .filter(F.col("event_count") == size)
-        .transform(with_average)
+    number = (F.col("_before") + F.col("_number") - 1).alias("number")
+    return numbered.select("partition", "event_time", "bytes_changed", number)
+
+
+def count_windows(numbered: DataFrame, size: int) -> DataFrame:
+    """Sums per ``partition`` and ``window`` of ``size`` numbers, labelled with the latest event time."""
+    window = F.floor(F.col("number") / size).alias("window")
+    return numbered.groupBy("partition", window).agg(
+        F.max("event_time").alias("window_start"), *traffic_totals()
     )
 
 
+def traffic_count_window(records: DataFrame, size: int = COUNT_WINDOW) -> DataFrame:
+    """Bytes and events per ``size`` consecutive records of a topic partition; the row is labelled with
+    its latest event time. Only the last window of a partition may lack records, and is left out."""
+    windows = count_windows(numbered_records(records), size)
+    return windows.filter(F.col("event_count") == size).transform(with_average)
+
+
 # --- queries ------------------------------------------------------------------------------
 
 

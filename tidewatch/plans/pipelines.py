@@ -18,6 +18,7 @@ from tidewatch.schemas import TEXT, struct
 from tidewatch.sources import lake, payload, sse, topic
 from tidewatch.sources.tables import read_table
 from tidewatch.streaming import live as streams
+from tidewatch.streaming import silence
 from tidewatch.streaming.stats import observe_ingest
 
 # An archive batch closes at this many records or after this long.
@@ -131,6 +132,19 @@ def records_to_traffic(
     return streams.traffic_writer(traffic, streams.window_traffic_path(root), checkpoint)
 
 
+def topic_to_alarms(
+    spark: SparkSession, servers: str, topic_name: str, root: str, checkpoint: str, seconds: int
+) -> DataStreamWriter:
+    """Topic -> rows below ``root`` when the whole of it falls silent, and when that ends."""
+    records = topic.read_stream(spark, topic.source_options(servers, topic_name))
+    alarms = silence.silence_alarms(records, seconds)
+    return silence.alarms_writer(alarms, alarms_path(root), checkpoint)
+
+
+def alarms_path(root: str) -> str:
+    return f"{root.rstrip('/')}/silence_alarms"
+
+
 def topic_to_lake(
     spark: SparkSession,
     servers: str,
