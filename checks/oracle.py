@@ -549,6 +549,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "incremental_hours": _patterns(False),
         "incremental_late_file": _patterns(False),
+        "server_users_sketch": _servers(50),
         "incremental_tables_hourly_patterns": _patterns(False),
         "incremental_tables_hourly_trends": _trends(False, _ROWS),
         "incremental_tables_top_contributors": _contributors(False, 100),

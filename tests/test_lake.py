@@ -13,7 +13,7 @@ from tests.build import HOUR, NOON, stored
 from tests.conftest import plan_of
 from tidewatch import session
 from tidewatch.operators import historical
-from tidewatch.plans import batch_job, history_reads, incremental, retention
+from tidewatch.plans import batch_job, history_reads, incremental, retention, sketches
 from tidewatch.schemas import HISTORY_SCHEMAS, LAKE_SCHEMA, TRAFFIC_SCHEMA
 from tidewatch.sources import jdbc, lake, versions
 from tidewatch.sources.tables import read_table
@@ -356,6 +356,33 @@ def test_the_job_stores_the_tables_of_the_batch_job(spark, path, tmp_path, rows)
         assert rows(batch_job.read_history(spark, one, view)) == rows(batch_job.read_history(spark, two, view))
 
 
+def test_sketches_are_near_the_exact_users_and_merge(spark, path, tmp_path):
+    state, table = str(tmp_path / "state"), str(tmp_path / "sketches")
+    many = spark.range(30_000).selectExpr(
+        f"{NOON} - id * 20 AS timestamp", "cast(id % 9000 AS string) AS user", "id % 3 AS bytes_changed"
+    )
+    named = many.withColumn("server_name", F.when(F.col("bytes_changed") == 0, "big").otherwise("two"))
+    shaped = stored(spark).unionByName(named, allowMissingColumns=True)
+    for part in ("user < '5'", "user >= '5'"):
+        lake.write_lake(shaped.where(part), path, by_day=True)
+        sketches.update_sketches(spark, path, state, table, most_files=5)
+    sketches.update_sketches(spark, path, state, table)
+    for hours in (0, 48):
+        found = sketches.server_rankings(sketches.read_sketches(spark, table, hours, AS_OF)).collect()
+        start = 0 if not hours else NOON - NOON % HOUR - hours * HOUR
+        exact = historical.server_rankings(shaped.where(F.col("timestamp") >= start)).collect()
+        assert [r.server_name for r in found] == [r.server_name for r in exact]
+        for got, want in zip(found, exact):
+            assert (got.edit_count, got.total_bytes) == (want.edit_count, want.total_bytes)
+            assert abs(got.unique_users - want.unique_users) <= 0.03 * want.unique_users
+    # A day that has lost its files has no sketches any more.
+    gone = sorted(glob.glob(f"{lake.events_path(path, by_day=True)}/*/*/event_date=*"))[0]
+    shutil.rmtree(gone)
+    sketches.update_sketches(spark, path, state, table)
+    day = os.path.basename(gone).partition("=")[2]
+    assert sketches.read_sketches(spark, table).where(F.to_date("hour_bucket") == day).isEmpty()
+
+
 # --- lake by day, table versions ----------------------------------------------------------
 
 

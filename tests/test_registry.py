@@ -9,7 +9,7 @@ from checks.registry import _QUERIES, all_queries
 from tests.conftest import SMALL, plan_of
 
 WRITES = (
-    "lake_", "batch_run", "hist_read_", "incremental_", "stream_", "live_sink", "live_fold", "live_page_",
+    "lake_", "batch_run", "hist_read_", "incremental_", "server_users_sketch", "stream_", "live_sink", "live_fold", "live_page_",
     "pipeline_live", "retention_",
     "freshness", "table_counts",
 )

@@ -59,9 +59,7 @@ def _wave(state: str, name: str, wave: int) -> str:
 
 def last_wave(spark: SparkSession, state: str) -> int:
     """The last wave that counts, 0 for none."""
-    folder = _part(state, "marks")
-    marked = [name for name in files.names(spark, folder) if files.finished(spark, f"{folder}/{name}")]
-    return max((int(name.partition("=")[2]) for name in marked), default=0)
+    return marked(spark, _part(state, "marks"))
 
 
 def _read(spark: SparkSession, state: str, name: str, schema, **places) -> DataFrame:
@@ -179,7 +177,7 @@ def _commit(
         replaced.select(PARTITION).coalesce(1).write.mode("overwrite").parquet(
             _wave(state, "replaced", wave)
         )
-    spark.range(1).coalesce(1).write.mode("overwrite").parquet(_wave(state, "marks", wave))
+    set_mark(spark, _part(state, "marks"), wave)
 
 
 def _merge_days(spark: SparkSession, state: str, most_waves: int = MOST_WAVES) -> None:
@@ -201,7 +199,7 @@ def _merge_days(spark: SparkSession, state: str, most_waves: int = MOST_WAVES) -
 
 def _clean(spark: SparkSession, state: str, bases: dict[date | None, int]) -> None:
     """Delete the folders of days that an older merge, or a count of a whole day, has passed."""
-    passed = {_folder(day): base for day, base in bases.items()}
+    passed = {day_folder(day): base for day, base in bases.items()}
     for held in files.names(spark, _part(state, "partials")):
         wave = int(held.partition("=")[2])
         for day in files.names(spark, _wave(state, "partials", wave)):
@@ -209,7 +207,7 @@ def _clean(spark: SparkSession, state: str, bases: dict[date | None, int]) -> No
                 files.delete(spark, f"{_wave(state, 'partials', wave)}/{day}")
 
 
-def _folder(day: date | None) -> str:
+def day_folder(day: date | None) -> str:
     return f"{PARTITION}={day or '__HIVE_DEFAULT_PARTITION__'}"
 
 
@@ -289,15 +287,11 @@ def update_hours(spark: SparkSession, lake: str, table: str) -> None:
     """
     state = state_path(table)
     update(spark, lake, state)
-    mark, last = f"{state}/hours_mark", last_wave(spark, state)
-    done = max((int(name.partition("=")[2]) for name in files.names(spark, mark)
-                if files.finished(spark, f"{mark}/{name}")), default=0)
+    mark = f"{state}/hours_mark"
+    done, last = marked(spark, mark), last_wave(spark, state)
     if done == last:
         return
-    places = {PARTITION: DateType()}
-    added = _read(spark, state, "partials", PARTIALS, **places).select(WAVE, PARTITION)
-    replaced = _read(spark, state, "replaced", REPLACED).select(WAVE, PARTITION)
-    touched = added.unionByName(replaced).where(F.col(WAVE) > done).select(PARTITION).distinct()
+    touched = touched_days(spark, state, done)
     with _days(touched) as (days, listed):
         hours = rollup.grain_rows(_of_days(read_partials(spark, state), days), "hours")
         patterns = hourly_patterns_of(rollup.roll_up(hours, rollup.HOURS))
@@ -307,8 +301,26 @@ def update_hours(spark: SparkSession, lake: str, table: str) -> None:
             ).parquet(table)
             left = {row[0] for row in rows.select(PARTITION).distinct().collect()}
         for day in listed - left:
-            files.delete(spark, f"{table}/{_folder(day)}")
-    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{mark}/{WAVE}={last}")
+            files.delete(spark, f"{table}/{day_folder(day)}")
+    set_mark(spark, mark, last)
+
+
+def marked(spark: SparkSession, mark: str) -> int:
+    """The last wave that a table derived from the partials or files has taken up."""
+    names = [name for name in files.names(spark, mark) if files.finished(spark, f"{mark}/{name}")]
+    return max((int(name.partition("=")[2]) for name in names), default=0)
+
+
+def set_mark(spark: SparkSession, mark: str, wave: int) -> None:
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{mark}/{WAVE}={wave}")
+
+
+def touched_days(spark: SparkSession, state: str, done: int) -> DataFrame:
+    """The days that the waves after ``done`` have added to or replaced."""
+    added = _read(spark, state, "partials", PARTIALS, **{PARTITION: DateType()})
+    replaced = _read(spark, state, "replaced", REPLACED)
+    days = added.select(WAVE, PARTITION).unionByName(replaced.select(WAVE, PARTITION))
+    return days.where(F.col(WAVE) > done).select(PARTITION).distinct()
 
 
 @contextmanager
