@@ -123,6 +123,8 @@ def build(
         F.unhex(leaf).alias("leaf"),
         F.unhex(F.lit(None).cast("string") if claimed is None else claimed).alias("claimed"),
     )
+    # Stored, as numbering reads its input twice.
+    known = stored(known, "digests")
     order = [F.asc_nulls_first("key"), F.col("leaf"), F.asc_nulls_first("claimed")]
     leaves = numbered(known, "group", order, "place", "leaves")
     sizes = leaves.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
