@@ -56,7 +56,7 @@ def test_words_are_those_of_the_library(library, monkeypatch):
     assert [ids for n in range(0, len(texts), 50) for ids in encoded(encoder, texts[n : n + 50])] == (
         ids_of(library, texts)
     )
-    assert len(encoder.young) < 1_500 and max(map(len, encoder.young)) <= subwords.KEPT_CHARS
+    assert len(encoder.words) < 1_500 and max(map(len, encoder.words.to_pylist())) <= subwords.KEPT_CHARS
 
 
 def test_plain_characters_keep_their_kind(library):

@@ -55,8 +55,11 @@ class Code:
         size = int(symbols.max(initial=-1)) + 1
         self._code, self._length = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
         self._code[self.symbols], self._length[self.symbols] = codes, self.lengths
-        table = np.zeros(1 << self.bits, dtype=np.uint64)
-        entries = (self.symbols[order] << 5 | self.lengths[order]).astype(np.uint64)
+        # An id may have 27 bits beside the five of its length.
+        if size > 1 << 27:
+            raise ValueError(f"ids up to {size - 1} do not fit the decoding table")
+        table = np.zeros(1 << self.bits, dtype=np.uint32)
+        entries = (self.symbols[order] << 5 | self.lengths[order]).astype(np.uint32)
         filled = np.repeat(entries, widths)
         table[: len(filled)] = filled
         self._table = table
@@ -98,17 +101,17 @@ class Code:
             return np.zeros(0, dtype=np.uint32)
         steps = int(counts.max())
         padded = payload + bytes(steps * self.bits // 8 + 8)
-        raw = np.frombuffer(padded, dtype=np.uint8).astype(np.uint64)
-        windows = raw[:-3] << np.uint64(24) | raw[1:-2] << np.uint64(16) | raw[2:-1] << np.uint64(8) | raw[3:]
-        out = np.empty((steps, len(offsets)), dtype=np.uint64)
-        at = offsets.astype(np.uint64)
-        drop, mask = np.uint64(32 - self.bits), np.uint64((1 << self.bits) - 1)
+        raw = np.frombuffer(padded, dtype=np.uint8).astype(np.uint32)
+        windows = raw[:-3] << np.uint32(24) | raw[1:-2] << np.uint32(16) | raw[2:-1] << np.uint32(8) | raw[3:]
+        out = np.empty((steps, len(offsets)), dtype=np.uint32)
+        at = offsets.astype(np.int64)
+        drop = np.uint32(32 - self.bits)
         for step in range(steps):
-            window = windows[at >> np.uint64(3)] << (at & np.uint64(7))
-            entry = self._table[(window >> drop) & mask]
-            out[step] = entry
-            at += entry & np.uint64(31)
-        return (out.T[np.arange(steps) < counts[:, None]] >> np.uint64(5)).astype(np.uint32)
+            # A shift of 32 bits loses the bits before the code.
+            window = windows[at >> 3] << (at & 7).astype(np.uint32)
+            entry = out[step] = self._table[window >> drop]
+            at += entry & np.uint32(31)
+        return out.T[np.arange(steps) < counts[:, None]] >> np.uint32(5)
 
 
 def _places(lengths: np.ndarray) -> np.ndarray:

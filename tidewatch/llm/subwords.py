@@ -9,9 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Segments of up to this many characters are kept, in two generations of so many (about 60 MB each).
+# Up to so many segments of up to so many characters are kept, some 50 bytes each.
 KEPT_CHARS = 64
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 800_000
 # Fixed value: bytes that are no visible character of Latin-1 count on from 256, in order.
 _HIDDEN = [n for n in range(256) if not (33 <= n <= 126 or 161 <= n <= 172 or n >= 174)]
 VISIBLE = {byte: 256 + place for place, byte in enumerate(_HIDDEN)}
@@ -64,8 +64,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         if not getattr(self.tokenizer.model, "end_of_word_suffix", None):
             raise ValueError("the tokenizer has no word ends")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # The segments that are kept, and their ids one after the other.
+        self.words = pa.array([], type=pa.string())
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.starts = self.lengths = np.zeros(0, dtype=np.int64)
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has; a null has none."""
@@ -73,63 +75,78 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         parts = pc.split_pattern(_prepared(texts.fill_null("")), " ")
         every = parts.flatten().dictionary_encode()
-        found = self._known(every.dictionary.to_pylist())
-        lengths = np.array([len(ids) for ids in found], dtype=np.int64) // 4
-        flat, starts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(lengths) - lengths
+        kept = self._places(every.dictionary)
+        lengths, starts = self.lengths[kept], self.starts[kept]
         which = every.indices.to_numpy()
         sizes = lengths[which]
         ends = np.cumsum(sizes)
-        ids = flat[np.repeat(starts[which] - ends + sizes, sizes) + np.arange(ends[-1])]
+        ids = self.flat[np.repeat(starts[which] - ends + sizes, sizes) + np.arange(ends[-1])]
         borders = np.concatenate([[0], ends])[parts.offsets.to_numpy()]
+        if len(self.words) > CACHE_ENTRIES or self.longest > KEPT_CHARS:
+            self._trim(kept)
         return ids, np.diff(borders)
 
-    def _known(self, segments: list[str]) -> list[bytes]:
-        if len(self.young) > CACHE_ENTRIES:
-            self.old, self.young = self.young, {}
-        known = self.young
-        new = {part for part in segments if part not in known}
-        self._learn(new)
-        found = [known[part] for part in segments]
-        for part in new:
-            if len(part) > KEPT_CHARS:
-                del known[part]
-        return found
-
-    def _learn(self, segments: set[str]) -> None:
-        known, old = self.young, self.old
+    def _places(self, segments: pa.StringArray) -> np.ndarray:
+        """Where the ids of these different segments are; new ones are learned."""
+        at = pc.fill_null(pc.index_in(segments, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        new = segments.take(pa.array(missing))
+        found = self._learn(new.to_pylist())
+        at[missing] = len(self.words) + np.arange(len(missing))
+        lengths = np.array([len(ids) for ids in found], dtype=np.int64) // 4
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), dtype="<u4")])
+        self.words = pa.concat_arrays([self.words, new])
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.longest = pc.max(pc.utf8_length(new)).as_py() or 0
+        return at
+
+    def _trim(self, used: np.ndarray) -> None:
+        """Keep what was used last and the newer half of the rest, but no long segments."""
+        keep = np.arange(len(self.words)) >= len(self.words) - CACHE_ENTRIES // 2
+        keep[used] = True
+        keep &= pc.less_equal(pc.utf8_length(self.words), KEPT_CHARS).to_numpy(zero_copy_only=False)
+        self.words = self.words.filter(pa.array(keep))
+        lengths, starts = self.lengths[keep], self.starts[keep]
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())
+        self.flat, self.lengths, self.starts = self.flat[places], lengths, ends - lengths
+
+    def _learn(self, segments: list[str]) -> list[bytes]:
+        found: dict[str, bytes] = {}
         split: dict[str, list[str]] = {}
-        odd, whole = [], []
+        odd = []
         for part in segments:
-            if part in old:
-                known[part] = old[part]
-            elif _WORD(part):
-                whole.append(part)
+            if _WORD(part):
+                found[part] = self._word(part)
             elif part.isascii() or not _IS_ODD(part):
                 split[part] = WORDS.findall(part.lower())
             else:
                 odd.append(part)
-        self._learn_words(whole, known)
-        words = {word for some in split.values() for word in some}
-        ids = {word: known.get(word) or old.get(word) for word in words}
-        self._learn_words([word for word, some in ids.items() if some is None], ids)
+        words = list({word for some in split.values() for word in some}.difference(found))
+        at = pc.fill_null(pc.index_in(pa.array(words, type=pa.string()), value_set=self.words), -1)
+        ids = dict(zip(words, map(self._kept, words, at.to_pylist())))
         for part, some in split.items():
-            known[part] = b"".join([ids[word] for word in some])
-        known.update(zip(odd, self._whole(odd)))
+            found[part] = b"".join([ids[w] if w in ids else found[w] for w in some])
+        found.update(zip(odd, self._whole(odd)))
+        return [found[part] for part in segments]
+
+    def _kept(self, word: str, at: int) -> bytes:
+        if at < 0:
+            return self._word(word)
+        return self.flat[self.starts[at] : self.starts[at] + self.lengths[at]].tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The library's model takes a word with its bytes as visible characters."""
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(VISIBLE)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
 
     def _whole(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False) if parts else []
         return [np.array(some.ids, dtype="<u4").tobytes() for some in found]
 
-    def _learn_words(self, words: list[str], ids: dict[str, bytes]) -> None:
-        """The library's model takes the words with their bytes as visible characters."""
-        tokens = self.tokenizer.model.tokenize
-        for word in words:
-            if not (word.isascii() and word.isprintable()):
-                visible = word.encode().decode("latin-1").translate(VISIBLE)
-            else:
-                visible = word
-            ids[word] = array("I", [token.id for token in tokens(visible)]).tobytes()
-
 
 _encoders: dict[int, Encoder] = {}
 

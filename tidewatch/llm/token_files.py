@@ -34,8 +34,9 @@ from tidewatch.sources import files
 
 # A block is closed when it holds so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 16
-# Blocks of so many ids are decoded side by side; documents of so many are coded so.
-DECODED_IDS = 1 << 18
+# Documents of so many ids are coded together, blocks of so many decoded side by side.
+CODED_IDS = 1 << 18
+DECODED_IDS = 1 << 20
 # Texts of so many bytes are encoded together.
 TEXT_BYTES = 1 << 23
 
@@ -150,7 +151,7 @@ def write(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _code(shared.value)
         for whole in batches:
-            for batch in _slices(whole, whole.column(1).to_numpy(), DECODED_IDS):
+            for batch in _slices(whole, whole.column(1).to_numpy(), CODED_IDS):
                 joined = np.concatenate([_ids(value.as_py()) for value in batch.column(2)])
                 payloads, lanes = table.encode(joined, batch.column(1).to_numpy())
                 yield pa.RecordBatch.from_arrays(
