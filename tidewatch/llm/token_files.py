@@ -72,6 +72,23 @@ def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.
         yield batch.slice(start, stop - start)
 
 
+def _bytes(batch: pa.RecordBatch) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to ones of at least so many bytes of text, as far as there are more."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += int(_bytes(batch).sum())
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokenize(docs: DataFrame, definition: str, end: int | None, key: str, text: str) -> DataFrame:
     """``key, n, planes`` of every row: its ids (a null text has none) and ``end`` after them. One more
     row of every task has ``ids`` and ``counts`` instead: how often each id came up in it."""
@@ -87,10 +104,9 @@ def tokenize(docs: DataFrame, definition: str, end: int | None, key: str, text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = subwords.encoder(shared.value)
         held, key_type = np.zeros(0, dtype=np.int64), None
-        for whole in batches:
+        for whole in _gathered(batches, TEXT_BYTES):
             key_type = whole.column(0).type
-            sizes = pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy().astype(np.int64)
-            for batch in _slices(whole, sizes, TEXT_BYTES):
+            for batch in _slices(whole, _bytes(whole), TEXT_BYTES):
                 ids, counts = encoder.encode(batch.column(1))
                 found = np.bincount(np.concatenate([ids, np.repeat(last, len(counts))]), minlength=len(held))
                 found[: len(held)] += held
