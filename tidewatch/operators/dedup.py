@@ -16,8 +16,8 @@ def _keyed(
 
     With ``coordinates`` (columns that name a record, such as topic, partition and offset) an event
     without an id takes these as its key, so there is only one branch and the input is read once.
-    So does one that is not ``identified``, where that is given. Without, the second filter names the stored columns, so a scan skips all row groups where every
-    event has an id.
+    So does one that is not ``identified``, where that is given. Without, the second filter names the
+    stored columns, so a scan skips all row groups where every event has an id.
     """
     key = ev.event_key(F.col("meta"), F.col("id"))
     if coordinates:
