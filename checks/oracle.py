@@ -575,6 +575,22 @@ def all_oracles() -> dict[str, str]:
             """SELECT id, make_timestamp("timestamp" * 1000000) AS event_time, type, "user",
               title, bytes_changed FROM enriched""",
         ),
+        "archive_dedup": _with(
+            "enriched",
+            """SELECT id, make_timestamp("timestamp" * 1000000) AS event_time, type, "user",
+              title, bytes_changed FROM enriched""",
+        ),
+        "stream_heavy_pages": _with(
+            "changes",
+            """SELECT title, server_name AS "Server", count(*) AS "Edits",
+              CAST(sum(abs(bytes_changed)) AS BIGINT) AS "Bytes"
+            FROM changes GROUP BY 1, 2 ORDER BY 3 DESC, title, server_name LIMIT 12""",
+        ),
+        "stream_heavy_users": _with(
+            "changes",
+            """SELECT "user", count(*) AS total_edits FROM changes GROUP BY 1
+            ORDER BY 2 DESC, 1 LIMIT 12""",
+        ),
         "stream_archive": _LAKE_ALL,
         "live_sink": traffic,
         "live_fold": traffic,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from checks import feed
-from tidewatch.operators import dedup, historical, ingest, live, monitoring
+from tidewatch.operators import dedup, heavy_hitters, historical, ingest, live, monitoring
 from tidewatch.plans import (
     batch_job,
     history_reads,
@@ -709,6 +709,36 @@ def live_fold(spark, sf_dir):
     return streams.read_live_traffic(spark, root, hours=0)
 
 
+def _sketched(spark: SparkSession, sf_dir: str) -> str:
+    """The live tables of three batches with sketches of heavy keys, folded after two."""
+    arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
+    feed.changes(spark, sf_dir).repartition(3).write.parquet(arrived)
+    stream = (
+        spark.readStream.schema(RECENT_CHANGES_SCHEMA)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(arrived)
+    )
+    checkpoint = work_dir(spark, "checkpoint")
+    run_available(streams.live_tables_writer(stream, root, checkpoint, fold_every=2, hitters=True))
+    return root
+
+
+@_register
+def stream_heavy_pages(spark, sf_dir):
+    """The leaderboard of pages that merged sketches name, counted over the stored changes. There
+    are fewer pages than are tracked, so the choice is exact."""
+    root = _sketched(spark, sf_dir)
+    found = streams.read_hitters(spark, root, hours=0)
+    return heavy_hitters.leaderboard(streams.read_live_changes(spark, root, hours=0), found)
+
+
+@_register
+def stream_heavy_users(spark, sf_dir):
+    """Users with the most changes, from the sketches alone."""
+    found = streams.read_hitters(spark, _sketched(spark, sf_dir), hours=0)
+    return heavy_hitters.heavy_keys(found, heavy_hitters.USER)
+
+
 def _page(read: Callable[..., DataFrame]) -> Query:
     """Something of the live page, after three batches whose tables were folded."""
 
@@ -766,6 +796,32 @@ def pipeline_live(spark, sf_dir):
     )
 
 
+@_register
+def archive_dedup(spark, sf_dir):
+    """Topic records that come again after every state is gone: in a later run of the stream, and in
+    one that starts anew. The ledger alone keeps them out of the lake."""
+    arrived, path, ledger = (work_dir(spark, name) for name in ("arrivals", "lake", "ledger"))
+    placed = feed.with_coordinates(feed.enriched(spark, sf_dir))
+
+    def run(checkpoint: str) -> None:
+        stream = (
+            spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 2).parquet(arrived)
+        )
+        run_available(
+            pipelines.records_to_lake_once(stream, path, ledger, checkpoint, None, fold_every=2)
+        )
+
+    checkpoint = work_dir(spark, "checkpoint")
+    for delivered in (placed.where("id % 2 = 0"), placed):
+        records = topic.encode(delivered)
+        records.repartition(3).write.mode("append").parquet(arrived)
+        run(checkpoint)
+    run(work_dir(spark, "checkpoint"))
+    return lake.scan_lake(spark, path, days_back=0).select(
+        "id", F.col("timestamp").alias("event_time"), "type", "user", "title", "bytes_changed"
+    )
+
+
 @_register
 def retention_24h(spark, sf_dir):
     """Expired days are deleted from the stored table, the rest of the cutoff's day is left out

@@ -3,9 +3,11 @@
     python -m tidewatch batch --lake LAKE --out TABLES [--days 7]
     python -m tidewatch batch --lake LAKE --jdbc-url URL --jdbc-driver CLASS [--truncate]
     python -m tidewatch ingest --captured DIR --servers HOSTS --topic NAME --checkpoints DIR
-    python -m tidewatch live --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N]
+    python -m tidewatch live --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N] [--hitters]
     python -m tidewatch traffic --servers HOSTS --topic NAME --root TABLES --checkpoint DIR [--max-offsets N]
-    python -m tidewatch archive --servers HOSTS --topic NAME --lake LAKE --checkpoint DIR [--by-month]
+    python -m tidewatch archive --servers HOSTS --topic NAME --lake LAKE --checkpoint DIR [--by-month | --ledger DIR]
+    python -m tidewatch forget --ledger DIR [--days 30]
+    python -m tidewatch hitters --root TABLES [--hours 24]
     python -m tidewatch expire --root TABLES [--hours 24]
     python -m tidewatch compact --lake LAKE --target LAKE [--year 2024 [--month 1]] [--by-day]
     python -m tidewatch hours --lake LAKE --table TABLE
@@ -20,16 +22,18 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidewatch.operators import monitoring
+from tidewatch.operators import heavy_hitters, monitoring
 from tidewatch.operators.retention import RETENTION_HOURS
 from tidewatch.plans import batch_job, incremental, pipelines, retention
 from tidewatch.session import clean, configure
 from tidewatch.sources import jdbc, lake
-from tidewatch.streaming import folding
 from tidewatch.streaming import live as streams
 from tidewatch.streaming.queries import LIVE_INTERVAL, run_forever
 from tidewatch.streaming.stats import IngestTotals
 
+# How long the archive's ledger remembers an event, counted from the event's own day.
+LEDGER_DAYS = 30
+
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidewatch")
@@ -49,10 +53,16 @@ def _arguments() -> argparse.Namespace:
     batch.add_argument("--truncate", action="store_true")
     batch.add_argument("--literal-counts", action="store_true")
     job("ingest", "captured", "servers", "topic", "checkpoints")
-    job("live", "servers", "topic", "root", "checkpoint").add_argument("--max-offsets", type=int)
+    live = job("live", "servers", "topic", "root", "checkpoint")
+    live.add_argument("--max-offsets", type=int)
+    live.add_argument("--hitters", action="store_true")
     job("traffic", "servers", "topic", "root", "checkpoint").add_argument("--max-offsets", type=int)
     archive = job("archive", "servers", "topic", "lake", "checkpoint")
-    archive.add_argument("--by-month", action="store_true")
+    how = archive.add_mutually_exclusive_group()
+    how.add_argument("--by-month", action="store_true")
+    how.add_argument("--ledger")
+    job("forget", "ledger").add_argument("--days", type=int, default=LEDGER_DAYS)
+    job("hitters", "root").add_argument("--hours", type=int, default=RETENTION_HOURS)
     job("expire", "root").add_argument("--hours", type=int, default=RETENTION_HOURS)
     compact = job("compact", "lake", "target")
     compact.add_argument("--year", type=int)
@@ -102,8 +112,9 @@ def main() -> None:
         _counted(spark, writer)
     elif args.job == "live":
         writer = pipelines.topic_to_live(
-            spark, args.servers, args.topic, args.root, args.checkpoint, args.max_offsets
-        )
+            spark, args.servers, args.topic, args.root, args.checkpoint, args.max_offsets,
+            args.hitters,
+        )
         _counted(spark, writer)
     elif args.job == "traffic":
         writer = pipelines.topic_to_traffic(
@@ -112,17 +123,23 @@ def main() -> None:
         _counted(spark, writer)
     elif args.job == "archive":
         writer = pipelines.topic_to_lake(
-            spark, args.servers, args.topic, args.lake, args.checkpoint, not args.by_month
-        )
+            spark, args.servers, args.topic, args.lake, args.checkpoint, not args.by_month,
+            args.ledger,
+        )
         _counted(spark, writer)
     elif args.job == "expire":
         for table in (
             streams.changes_path(args.root), streams.traffic_path(args.root),
             streams.window_traffic_path(args.root), streams.partials_path(args.root),
+            streams.hitters_path(args.root),
         ):
-            for level in range(folding.LEVELS):
-                path = folding.level_path(table, level)
-                print(path, retention.expire_days(spark, path, args.hours))
+            print(table, retention.expire_levels(spark, table, args.hours))
+    elif args.job == "forget":
+        print(args.ledger, retention.expire_levels(spark, args.ledger, 24 * args.days))
+    elif args.job == "hitters":
+        sketches = streams.read_hitters(spark, args.root, args.hours)
+        for dimension in heavy_hitters.KEYS:
+            heavy_hitters.heavy_keys(sketches, dimension).show(truncate=False)
     elif args.job == "compact":
         lake.compact_lake(spark, args.lake, args.target, args.year, args.month, args.by_day)
     elif args.job == "hours":

@@ -28,6 +28,11 @@ def _keyed(
     return events.withColumn(KEY, key).filter(~anonymous), events.filter(anonymous)
 
 
+def with_key(events: DataFrame, coordinates: list[str], identified: Column | None = None) -> DataFrame:
+    """Events with ``event_key``, their ``coordinates`` where they have no id that can be trusted."""
+    return _keyed(events, coordinates, identified)[0]
+
+
 def _joined(unique: DataFrame, anonymous: DataFrame | None) -> DataFrame:
     unique = unique.drop(KEY)
     return unique if anonymous is None else unique.unionByName(anonymous)

@@ -8,7 +8,7 @@ of ``stats.IngestTotals`` are observed on the way.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -17,8 +17,8 @@ from tidewatch.operators.live import recent_changes
 from tidewatch.schemas import TEXT, struct
 from tidewatch.sources import lake, payload, sse, topic
 from tidewatch.sources.tables import read_table
+from tidewatch.streaming import archive, folding, silence
 from tidewatch.streaming import live as streams
-from tidewatch.streaming import silence
 from tidewatch.streaming.stats import observe_ingest
 
 # An archive batch closes at this many records or after this long.
@@ -79,21 +79,29 @@ def topic_to_live(
     root: str,
     checkpoint: str,
     max_offsets: int | None = None,
+    hitters: bool = False,
 ) -> DataStreamWriter:
     """Topic -> both live tables. ``max_offsets`` bounds a batch, such as the first after a stop."""
     options = topic.source_options(servers, topic_name, max_offsets=max_offsets)
-    return records_to_live(topic.read_stream(spark, options), root, checkpoint)
+    return records_to_live(
+        topic.read_stream(spark, options), root, checkpoint, hitters=hitters
+    )
 
 
 def records_to_live(
-    records: DataFrame, root: str, checkpoint: str, dedup_delay: str | None = DEDUP_DELAY
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    dedup_delay: str | None = DEDUP_DELAY,
+    hitters: bool = False,
 ) -> DataStreamWriter:
-    """Both live tables, and ``<root>/rejects``. Redelivered events count once (see
-    ``dedup_stream``); ``dedup_delay`` of None counts each delivery and needs no state."""
+    """Both live tables, and ``<root>/rejects``; with ``hitters`` sketches of the heaviest pages and
+    users. Redelivered events count once (see ``dedup_stream``); ``dedup_delay`` of None counts each
+    delivery and needs no state."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         events = ingest.normalize_events(payload.accepted(batch))
-        streams.store_live_batch(recent_changes(events), root, batch_id)
+        streams.store_live_batch(recent_changes(events), root, batch_id, hitters=hitters)
         quarantine(batch, rejects_path(root), batch_id)
 
     return _each_batch(_decoded_once(records, dedup_delay), store, checkpoint)
@@ -152,8 +160,10 @@ def topic_to_lake(
     lake_path: str,
     checkpoint: str,
     by_day: bool = True,
+    ledger: str | None = None,
 ) -> DataStreamWriter:
-    """Topic -> lake, with its own position, independent of the live tables.
+    """Topic -> lake, with its own position, independent of the live tables; with a ``ledger`` of keys
+    each event once, by day, however late its copies come.
 
     The source closes a batch at ``ARCHIVE_RECORDS`` records or ``ARCHIVE_DELAY``, whichever comes
     first, as often as the trigger looks: start it with a short interval.
@@ -161,9 +171,10 @@ def topic_to_lake(
     options = topic.source_options(
         servers, topic_name, min_offsets=ARCHIVE_RECORDS, max_delay=ARCHIVE_DELAY
     )
-    return records_to_lake(
-        topic.read_stream(spark, options), lake_path, checkpoint, by_day=by_day
-    )
+    records = topic.read_stream(spark, options)
+    if ledger is not None:
+        return records_to_lake_once(records, lake_path, ledger, checkpoint)
+    return records_to_lake(records, lake_path, checkpoint, by_day=by_day)
 
 
 def records_to_lake(
@@ -181,15 +192,42 @@ def records_to_lake(
     return lake.lake_writer(events, lake_path, checkpoint, by=by, by_day=by_day)
 
 
+def records_to_lake_once(
+    records: DataFrame,
+    lake_path: str,
+    ledger: str,
+    checkpoint: str,
+    dedup_delay: str | None = DEDUP_DELAY,
+    fold_every: int = folding.FOLD_BATCHES,
+) -> DataStreamWriter:
+    """The lake's events of the ledger's archive, and ``<lake>/rejects``. Copies within ``dedup_delay``
+    are dropped by the stream's state, later ones by the ledger (see ``archive``); with a delay of None
+    the ledger alone answers, for every event."""
+
+    first = archive.first_batch(records.sparkSession, lake_path, ledger, checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        number = first + batch_id
+        keyed = payload.accepted(dedup.with_key(batch, *_identity(batch)))
+        archive.archive_batch(keyed, lake_path, ledger, number, dedup_delay, fold_every)
+        quarantine(batch, rejects_path(lake_path), number)
+
+    return _each_batch(_decoded_once(records, dedup_delay), store, checkpoint)
+
+
+def _identity(decoded: DataFrame) -> tuple[list[str], Column]:
+    """What names a record without an id, and where an id counts. What a malformed record says of its
+    id must not push out an event; without coordinates its text is its key."""
+    coordinates = [name for name in topic.COORDINATES if name in decoded.columns]
+    return coordinates or ["payload"], F.col("reject_reason").isNull()
+
+
 def _decoded_once(records: DataFrame, delay: str | None) -> DataFrame:
     decoded = observe_ingest(topic.decode_records(records))
     if delay is None:
         return decoded
-    coordinates = [name for name in topic.COORDINATES if name in decoded.columns]
-    # What a malformed record says of its id must not push out an event; without coordinates its
-    # text is its key.
-    good = F.col("reject_reason").isNull()
-    return dedup.dedup_stream(decoded, delay, coordinates or ["payload"], identified=good)
+    coordinates, good = _identity(decoded)
+    return dedup.dedup_stream(decoded, delay, coordinates, identified=good)
 
 
 def _each_batch(decoded: DataFrame, store: Callable, checkpoint: str) -> DataStreamWriter:

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from tidewatch.operators.retention import RETENTION_HOURS
 from tidewatch.sources import files
+from tidewatch.streaming import folding
 
 PARTITION_PREFIX = "event_date="
 
@@ -31,3 +32,14 @@ def expire_days(
     for day in expired:
         files.delete(spark, f"{table.rstrip('/')}/{PARTITION_PREFIX}{day}")
     return expired
+
+
+def expire_levels(
+    spark: SparkSession,
+    table: str,
+    hours: int = RETENTION_HOURS,
+    as_of: datetime | None = None,
+) -> list[str]:
+    """``expire_days`` for a live table and the levels its batches were folded into."""
+    levels = [folding.level_path(table, level) for level in range(folding.LEVELS)]
+    return sorted({day for path in levels for day in expire_days(spark, path, hours, as_of)})

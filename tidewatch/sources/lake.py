@@ -4,7 +4,8 @@ Batch jobs append to ``<lake>/raw_events``, streams to ``<lake>/raw_events_strea
 stream writes has a commit log, and readers of it see the stream's files only, so the two must
 not share one. Written ``by_day``, events go to roots of their own, where the months are divided by
 the day of the event: a look-back prunes folders there although the months are those of the archive
-time. Every scan reads all roots.
+time. An archive that asks a ledger writes ``<lake>/raw_events_once_daily``, a folder per batch, which a
+retried batch replaces. Every scan reads all roots.
 """
 
 from functools import reduce
@@ -12,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import DataType, DateType
+from pyspark.sql.types import DataType, DateType, LongType
 
 from tidewatch.functions import clock
 from tidewatch.schemas import INT, LAKE_SCHEMA, TEXT, extended
@@ -21,10 +22,12 @@ from tidewatch.sources.tables import read_table
 
 RAW_EVENTS = "raw_events"
 STREAMED_EVENTS = "raw_events_streamed"
+BATCHED_EVENTS = "raw_events_once"
 DAILY = "_daily"
 PARTITIONS = ["year", "month"]
 DAY = "event_date"
 COMPRESSION = "snappy"
+BATCH = "batch_id"
 FILE = "file"
 
 
@@ -43,6 +46,10 @@ def streamed_path(lake: str, by_day: bool = False) -> str:
     return _root(lake, STREAMED_EVENTS, by_day)
 
 
+def batched_path(lake: str) -> str:
+    return _root(lake, BATCHED_EVENTS, True)
+
+
 def _levels(by_day: bool) -> list[str]:
     return [*PARTITIONS, DAY] if by_day else PARTITIONS
 
@@ -103,6 +110,17 @@ def write_lake(
     )
 
 
+def write_batch(events: DataFrame, lake: str, batch_id: int) -> None:
+    """Store a stream's batch of normalised events, by day, in place of an earlier attempt's."""
+    (
+        _clustered(with_partitions(events, by_day=True), True)
+        .write.mode("overwrite")
+        .partitionBy(*_levels(True))
+        .option("compression", COMPRESSION)
+        .parquet(f"{batched_path(lake)}/{BATCH}={batch_id}")
+    )
+
+
 def lake_writer(
     events: DataFrame,
     lake: str,
@@ -209,9 +227,16 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return events.withColumn("timestamp", F.timestamp_seconds("timestamp"))
 
 
-def _roots(lake: str) -> list[tuple[str, bool]]:
-    """All folders with events, and whether they are divided by day."""
-    return [(path(lake, by_day), by_day) for by_day in (False, True) for path in (events_path, streamed_path)]
+def _roots(lake: str) -> list[tuple[str, dict[str, DataType]]]:
+    """All folders with events, and what divides them besides year and month."""
+    day = {DAY: DateType()}
+    return [
+        (events_path(lake), {}),
+        (streamed_path(lake), {}),
+        (events_path(lake, by_day=True), day),
+        (streamed_path(lake, by_day=True), day),
+        (batched_path(lake), {BATCH: LongType(), **day}),
+    ]
 
 
 def _stored(
@@ -226,8 +251,8 @@ def _stored(
     """Everything below all roots, of those divided by day the days from the epoch second ``first``
     up to ``end``; a root that was never written is left out."""
 
-    def root(path: str, by_day: bool) -> DataFrame:
-        places = {"year": kind, "month": kind, **({DAY: DateType()} if by_day else {})}
+    def root(path: str, levels: dict[str, DataType]) -> DataFrame:
+        places = {"year": kind, "month": kind, **levels}
         if merge_schema:
             events = spark.read.option("mergeSchema", "true").parquet(path)
         else:
@@ -237,17 +262,15 @@ def _stored(
             events = events.withColumn(
                 FILE, F.col("_metadata.file_path") if files.names(spark, path) else F.lit("")
             )
-        if not by_day:
-            return events
-        if first is not None:
+        if DAY in levels and first is not None:
             events = events.filter(F.col(DAY) >= _day(first))
-        if end is not None:
+        if DAY in levels and end is not None:
             events = events.filter(F.col(DAY) <= _day(end))
-        return events.drop(DAY)
+        return events.drop(*levels)
 
     found = [place for place in _roots(lake) if files.names(spark, place[0])]
     if not found:
-        merge_schema, found = False, [(events_path(lake), False)]
+        merge_schema, found = False, [(events_path(lake), {})]
     return reduce(
         lambda some, more: some.unionByName(more, allowMissingColumns=merge_schema),
         [root(*place) for place in found],

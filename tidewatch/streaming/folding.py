@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructType
+from pyspark.sql.types import DataType, DateType, LongType, StructType
 
 from tidewatch.schemas import extended
 from tidewatch.sources import files
@@ -31,6 +31,8 @@ FOLD_BATCHES = 60
 FOLD_AGAIN = 24
 
 Combine = Callable[[DataFrame], DataFrame]
+# Columns that divide the batches of a table further.
+Further = dict[str, DataType]
 
 
 def level_path(path: str, level: int) -> str:
@@ -50,38 +52,50 @@ def folded_up_to(spark: SparkSession, path: str, level: int) -> int:
     return found
 
 
-def write_batch(rows: DataFrame, time: str, path: str, batch_id: int) -> None:
+def write_batch(
+    rows: DataFrame, time: str, path: str, batch_id: int, further: Further | None = None
+) -> None:
     """Replace the batch's own partitions. The rebalance makes few files of a batch that many
     tasks read; they are in time order, so their statistics prune."""
+    below = list(further or {})
     (
         rows.withColumns({DAY: F.to_date(time), BATCH: F.lit(batch_id).cast("bigint")})
-        .hint("rebalance", DAY)
-        .sortWithinPartitions(DAY, BATCH, time)
+        .hint("rebalance", DAY, *below)
+        .sortWithinPartitions(DAY, BATCH, *below, time)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, BATCH)
+        .partitionBy(DAY, BATCH, *below)
         .parquet(path)
     )
 
 
 def _read_days(
-    spark: SparkSession, path: str, schema: StructType, first_day: date | None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    first_day: date | None,
+    further: Further | None = None,
 ) -> DataFrame:
     """A level's rows, of the days from ``first_day`` on; the folders of older days aren't listed."""
+    partitions = {**PARTITIONS, **(further or {})}
     if first_day is None:
-        return read_table(spark, path, schema, PARTITIONS)
+        return read_table(spark, path, schema, partitions)
     days = [
         f"{path}/{name}" for name in files.names(spark, path)
         if name.startswith(f"{DAY}=") and name.partition("=")[2] >= first_day.isoformat()
     ]
-    shape = extended(schema, PARTITIONS)
+    shape = extended(schema, partitions)
     if not days:
         return spark.createDataFrame([], shape)
     return spark.read.schema(shape).option("basePath", path).parquet(*days)
 
 
 def read_levels(
-    spark: SparkSession, path: str, schema: StructType, first_day: date | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    first_day: date | None = None,
+    further: Further | None = None,
 ) -> DataFrame:
     """All rows of a live table, each from the highest level that holds it, or those of the days from
     ``first_day`` on."""
@@ -90,7 +104,7 @@ def read_levels(
         up_to = None if level == 0 else folded_up_to(spark, path, level - 1)
         if level and up_to < 0:
             continue
-        rows = _read_days(spark, level_path(path, level), schema, first_day)
+        rows = _read_days(spark, level_path(path, level), schema, first_day, further)
         rows = rows.where(F.col(BATCH) > behind)
         parts.append(rows if up_to is None else rows.where(F.col(BATCH) <= up_to))
         behind = behind if up_to is None else up_to
@@ -105,6 +119,7 @@ def fold(
     up_to: int,
     level: int = 0,
     combine: Combine | None = None,
+    further: Further | None = None,
 ) -> None:
     """Gather the batches of ``level`` up to ``up_to`` in the next level. ``combine`` may shrink the
     rows, as summing shares does, and sees the batch each is of; nothing happens when that far was
@@ -112,11 +127,11 @@ def fold(
     before = folded_up_to(spark, path, level)
     if up_to <= before:
         return
-    held = read_table(spark, level_path(path, level), schema, PARTITIONS)
+    held = _read_days(spark, level_path(path, level), schema, None, further)
     rows = held.where((F.col(BATCH) > before) & (F.col(BATCH) <= up_to))
     if combine is not None:
         rows = combine(rows)
-    write_batch(rows.drop(DAY, BATCH), time, level_path(path, level + 1), up_to)
+    write_batch(rows.drop(DAY, BATCH), time, level_path(path, level + 1), up_to, further)
     spark.range(1).write.mode("overwrite").parquet(f"{_marks(path, level)}/up_to={up_to}")
     _clean(spark, path, level, before)
 
@@ -142,11 +157,12 @@ def fold_when_due(
     every: int = FOLD_BATCHES,
     again: int = FOLD_AGAIN,
     combine: Combine | None = None,
+    further: Further | None = None,
 ) -> None:
     """Called after batch ``batch_id`` was written: fold what came before it, whenever ``every``
     batches have come together. The batch itself may be retried and stays out."""
     if batch_id == 0 or batch_id % every:
         return
-    fold(spark, path, schema, time, batch_id - 1, 0, combine)
+    fold(spark, path, schema, time, batch_id - 1, 0, combine, further)
     if (batch_id // every) % again == 0:
-        fold(spark, path, schema, time, batch_id - 1, 1, combine)
+        fold(spark, path, schema, time, batch_id - 1, 1, combine, further)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import DateType
 
 from tidewatch.functions import clock
-from tidewatch.operators import live_page
+from tidewatch.operators import heavy_hitters, live_page
 from tidewatch.operators.live import traffic_volume, with_average
 from tidewatch.operators.retention import RETENTION_HOURS, keep_recent
 from tidewatch.schemas import MINUTE_PARTIALS_SCHEMA, RECENT_CHANGES_SCHEMA, TRAFFIC_SCHEMA
@@ -103,6 +103,7 @@ def live_tables_writer(
     window: str = WINDOW,
     fold_every: int = folding.FOLD_BATCHES,
     fold_again: int = folding.FOLD_AGAIN,
+    hitters: bool = False,
 ) -> DataStreamWriter:
     """One query that stores change rows and traffic of each batch under the same batch id.
 
@@ -113,7 +114,7 @@ def live_tables_writer(
     """
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        store_live_batch(rows, root, batch_id, window, fold_every, fold_again)
+        store_live_batch(rows, root, batch_id, window, fold_every, fold_again, hitters)
 
     return changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
@@ -125,8 +126,10 @@ def store_live_batch(
     window: str = WINDOW,
     fold_every: int = folding.FOLD_BATCHES,
     fold_again: int = folding.FOLD_AGAIN,
+    hitters: bool = False,
 ) -> None:
-    """Store one batch in both live tables, and its minute partials."""
+    """Store one batch in both live tables, and its minute partials; with ``hitters`` also sketches of
+    its heaviest pages and users."""
     batch = changes.persist()
     try:
         folding.write_batch(batch, "event_time", changes_path(root), batch_id)
@@ -136,6 +139,10 @@ def store_live_batch(
         folding.write_batch(
             live_page.minute_partials(batch), "minute", partials_path(root), batch_id
         )
+        if hitters:
+            folding.write_batch(
+                heavy_hitters.sketches(batch), "hour", hitters_path(root), batch_id
+            )
     finally:
         batch.unpersist()
     due = (batch_id, fold_every, fold_again)
@@ -149,6 +156,11 @@ def store_live_batch(
         changes.sparkSession, partials_path(root), MINUTE_PARTIALS_SCHEMA, "minute", *due,
         live_page.merged,
     )
+    if hitters:
+        folding.fold_when_due(
+            changes.sparkSession, hitters_path(root), heavy_hitters.SKETCHES, "hour", *due,
+            heavy_hitters.merged,
+        )
 
 
 def changes_path(root: str) -> str:
@@ -167,6 +179,23 @@ def partials_path(root: str) -> str:
     return f"{root.rstrip('/')}/minute_partials"
 
 
+def hitters_path(root: str) -> str:
+    return f"{root.rstrip('/')}/heavy_hitters"
+
+
+def read_hitters(
+    spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
+) -> DataFrame:
+    """Sketches of the whole hours of a look-back, or of all hours for 0 or less."""
+    rows = folding.read_levels(
+        spark, hitters_path(root), heavy_hitters.SKETCHES, _first_day(hours, as_of)
+    ).drop(BATCH)
+    if hours > 0:
+        first = clock.hour_of(clock.hours_before(as_of, hours))
+        rows = rows.where((F.col(DAY) >= F.to_date(first)) & (F.col("hour") >= first))
+    return rows.drop(DAY)
+
+
 def read_live_changes(
     spark: SparkSession, root: str, hours: int = RETENTION_HOURS, as_of: clock.AsOf = None
 ) -> DataFrame:
