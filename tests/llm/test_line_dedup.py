@@ -79,7 +79,8 @@ DOCS = [
 
 def frame(spark, docs):
     return spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
-        "doc_id", "text", "'x' AS line", "1 AS n_lines", "2L AS doc", "'s' AS sign"
+        "doc_id", "text", "'x' AS line", "1 AS n_lines", "2L AS doc", "'s' AS sign",
+        "3 AS __doc", "4 AS __drop", "5 AS ___doc",
     )
 
 

@@ -64,6 +64,10 @@ def test_odd_rows(spark):
     assert (3, "zero") not in found
     assert sorted(found[2, None]) == sorted([*range(1, len(found[2, None]) // 2 + 1)] * 2)
     assert mixing.mix(df.where("false"), {}).collect() == []
+    clashing = df.selectExpr("*", "1 AS __count", "2 AS __CHANCES", "3 AS __source", "4 AS ___count")
+    again = mixing.mix(clashing, {"zero": 0.0}, default_weight=3.0, epochs=40.0)
+    assert again.select(*mixed.columns).collect() == mixed.collect()
+    assert set(again.select("__count", "__CHANCES", "__source", "___count").collect()) == {(1, 2, 3, 4)}
     assert mixing.mix(df, {}, default_weight=0.0).collect() == []
     with pytest.raises(ValueError):
         mixing.mix(df, {"a": -1.0})

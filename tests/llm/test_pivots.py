@@ -73,6 +73,17 @@ def test_dense_groups_copies_and_recall(spark, block):
     assert np.mean([result[key][1] == wanted[key][1] for key in wanted]) > 0.99
 
 
+def test_lengths_whose_squares_are_out_of_range(spark):
+    far, near, least = 1e200, 1e-200, 5e-324
+    rows = [
+        (1, [far, 0.0], 0), (2, [far, 1.0], 0), (3, [near, 0.0], 0), (4, [1.0, 0.0], 0),
+        (5, [least, 0.0], 0), (6, [1.7e308, 1.7e308], 0), (7, [near, near], 0), (8, [0.0, far], 0),
+    ]
+    result = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    ones, diagonal = dict.fromkeys((1, 2, 3, 4, 5), (4, 1)), dict.fromkeys((6, 7), (1, 6))
+    assert result == {**ones, **diagonal, 8: (0, 8)}
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

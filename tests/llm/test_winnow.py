@@ -88,6 +88,17 @@ def test_ranges_and_odd_rows(spark, rows, monkeypatch):
     assert sorted(found, key=repr) == expected(rows)
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int"])
+def test_keys_of_other_types(spark, kind):
+    rows = [(1, "a text of some length"), (2, "another text"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    narrow = winnow.compare_with_next(df.withColumn("doc_id", df.doc_id.cast(kind)))
+    assert narrow.schema["doc_id"].dataType.simpleString() == kind
+    assert sorted(map(tuple, narrow.collect()), key=repr) == expected(rows)
+    with pytest.raises(TypeError):
+        winnow.compare_with_next(df.withColumn("doc_id", df.doc_id.cast("string")))
+
+
 def test_columns_of_the_operator(spark):
     df = spark.createDataFrame([(1, None, 2), (2, "abc", 3)], "doc_id long, text string, hashes int")
     rows = {r.doc_id: r for r in winnow.fingerprints(df).collect()}

@@ -38,6 +38,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, everything else as it is."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidewatch.llm.common import BLANKS, lower_ascii, stored
+from tidewatch.llm.common import BLANKS, lower_ascii, stored, unused
 from tidewatch.llm.cuckoo import FULL, CuckooFilter
 
 MIN_CHARS = 10
@@ -192,14 +192,15 @@ class LineIndex:
         """``docs`` with repeated lines left in their owner only, plus ``n_lines`` (before) and
         ``n_dropped``, which replace columns of these names. A null text becomes the empty text,
         which is one empty line. Other columns and repeated rows pass through."""
+        docs = docs.drop("n_lines", "n_dropped")
+        of, drop = unused("__doc", docs), unused("__drop", docs)
         # Stored, so that the join below is between two shuffles and a hot line can be split.
         repeated = stored(self.repeated(), "repeated-lines")
         drops = (
             self._refs().join(repeated, "line").where("doc <> owner")
-            .groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__drop"))
+            .groupBy(F.col("doc").alias(of)).agg(F.collect_set("line").alias(drop))
         )
-        docs = docs.drop("n_lines", "n_dropped")
-        joined = docs.join(drops, docs[key].cast("long") == drops["__doc"], "left").drop("__doc")
+        joined = docs.join(drops, docs[key].cast("long") == drops[of], "left").drop(of)
         fields = [
             StructField(text, StringType()) if field.name == text else field
             for field in docs.schema

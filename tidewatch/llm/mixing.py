@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.llm.common import stored
+from tidewatch.llm.common import stored, unused
 
 # Tables of the distribution up to this many numbers (16 MB) are broadcast; beyond, joined.
 BROADCAST_NUMBERS = 2_000_000
@@ -93,20 +93,21 @@ def mix(
     source that holds most rows.
     """
     docs = docs.drop("copy", "shuffle_key")
+    of, chances, count = (unused(name, docs) for name in ("__source", "__chances", "__count"))
     table = stored(
         inverse_table(rates(docs, weights, default_weight, epochs, source, text)), "chances"
-    ).withColumnsRenamed({"source": "__source", "chances": "__chances"})
-    numbers = table.agg(F.sum(F.size("__chances"))).first()[0] or 0
+    ).withColumnsRenamed({"source": of, "chances": chances})
+    numbers = table.agg(F.sum(F.size(chances))).first()[0] or 0
     if numbers <= BROADCAST_NUMBERS:
         table = F.broadcast(table)
     name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     draw = _uniform(seed, name)
-    drawn = docs.join(table, docs[source].eqNullSafe(table["__source"])).withColumn(
-        "__count", F.size(F.filter("__chances", lambda chance: chance < draw))
+    drawn = docs.join(table, docs[source].eqNullSafe(table[of])).withColumn(
+        count, F.size(F.filter(chances, lambda chance: chance < draw))
     )
-    copies = drawn.where("__count > 0").select(
+    copies = drawn.where(F.col(count) > 0).select(
         *(docs[name] for name in docs.columns),
-        F.explode(F.sequence(F.lit(1), F.col("__count"))).alias("copy"),
+        F.explode(F.sequence(F.lit(1), F.col(count))).alias("copy"),
     )
     order = _bits(f"{seed}/order", name, F.col("copy"))
     return (

@@ -36,6 +36,16 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & ~odd & F.exists(vector, lambda x: x != 0)
 
 
+def _units(vectors: list) -> np.ndarray:
+    """Vectors of equal width at length 1. They are brought near 1 by a power of two first, which
+    rounds nothing, so that no square overflows or vanishes."""
+    rows = np.array(vectors, dtype=float)
+    power = np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1]
+    # In two steps, as the power itself may be out of range.
+    rows = np.ldexp(np.ldexp(rows, -(power // 2)), -(power - power // 2))
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def sample_pivots(vectors: DataFrame, count: int, apart: float = APART) -> np.ndarray:
     """Up to ``count`` unit vectors, no two with a cosine of ``apart`` or more, from the
     ``OVERSAMPLE * count`` vectors of smallest hash: a bounded sample, the only vectors that reach
@@ -52,8 +62,7 @@ def sample_pivots(vectors: DataFrame, count: int, apart: float = APART) -> np.nd
     kept = np.zeros((0, width))
     for vector in picked:
         if len(vector) == width and len(kept) < count:
-            row = np.asarray(vector, dtype=float)
-            row /= np.linalg.norm(row)
+            row = _units([vector])[0]
             if not len(kept) or (kept @ row).max() < apart:
                 kept = np.vstack([kept, row])
     return kept
@@ -81,8 +90,7 @@ def index(vectors: DataFrame, pivots: np.ndarray, prefix: int = PREFIX) -> DataF
             orders = [[-1 - SHARED * len(row) - n for n in range(SHARED)] for row in rows]
             usual = [row for row, fit in zip(rows, fits) if fit]
             if usual:
-                unit = np.array(usual, dtype=float)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+                unit = _units(usual)
                 found = iter(nearest_pivots(unit, points, prefix).tolist())
                 orders = [next(found) if fit else order for order, fit in zip(orders, fits)]
             column = pa.array(orders, type=pa.list_(pa.int32()))
@@ -110,8 +118,7 @@ class _List:
         put = np.zeros((len(orders), len(numbers)), dtype=np.float32)
         put[np.repeat(np.arange(len(orders)), [len(order) for order in orders]), flat] = 1
         left, right = np.nonzero(np.triu(put @ put.T >= min(shared, put.sum(axis=1).min()), 1))
-        unit = np.array(rows["vector"].to_pylist(), dtype=float)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        unit = _units(rows["vector"].to_pylist())
         found = np.concatenate(
             [np.zeros(0, dtype=bool)]
             + [

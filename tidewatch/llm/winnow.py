@@ -19,6 +19,7 @@ WINDOW = 24
 RANGE_DOCUMENTS = 2_000
 MAX_RANGES = 10_000
 
+KEY_TYPES = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}
 COMPARED = {
     "n_chars": "bigint",
     "edited_sha256": "string",
@@ -188,7 +189,8 @@ def compare_with_next(
 
     The next document is the one with the next smaller key, after the smallest the largest; rows
     of equal keys follow each other by text, null keys come last, and a table's only row is its
-    own next. Null texts count as empty. Other columns are not read.
+    own next. Null texts count as empty. Other columns are not read. Keys that are not whole numbers
+    of 64 bits or fewer are a ``TypeError``: nothing says which document is next to which.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]):
@@ -219,10 +221,11 @@ def compare_with_next(
         )
 
     kind = docs.schema[key].dataType.simpleString()
+    if kind not in KEY_TYPES:
+        raise TypeError(f"a key is a whole number, not {kind}")
     names = list(COMPARED)
     schema = ", ".join([f"`{key}` {kind}", *(f"{name} {k}" for name, k in COMPARED.items())])
-    key_type = {"bigint": pa.int64(), "int": pa.int32()}[kind]
-    types = [key_type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+    types = [KEY_TYPES[kind], pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
         columns = [pa.array(column, type=t) for column, t in zip(zip(*out), types)]
