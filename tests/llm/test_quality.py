@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm.brute import read
@@ -68,3 +69,38 @@ def test_copies_of_a_document_stay_within_the_bound(spark, monkeypatch):
     docs = spark.range(300).selectExpr("1L AS doc_id", "concat('text ', id) AS text")
     quality.train(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), rows=10)
     assert seen == [10]
+
+
+@pytest.mark.parametrize("common", [True, False])
+def test_all_labelled_rows_are_learned_from(spark, common, monkeypatch):
+    monkeypatch.setattr(quality, "with_features", lambda df, *_: df.withColumnRenamed("text", "features").withColumn("text", F.lit("")))
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(700, len(quality.FEATURES)))
+    better = (values[:, 0] + rng.normal(size=700) > -0.8) == common
+    docs = [(n, row.tolist()) for n, row in enumerate(values)]
+    docs = spark.createDataFrame(docs, "doc_id long, text array<double>").repartition(5)
+    labels = [(n, int(one)) for n, one in enumerate(better)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    learn = np.array([zlib.crc32(str(n).encode()) % 5 != 0 for n in range(700)])
+    values, better = values[learn], better[learn]
+    model = quality.train(docs, labels, pairs=50, penalty=0.1)
+    unit = np.clip((values - values.mean(0)) / values.std(0), -8, 8)
+    assert np.allclose(model.centre, values.mean(0)) and np.allclose(model.scale, values.std(0))
+    good, bad = unit[better], unit[~better]
+    n = np.arange(max(len(good), len(bad)))
+    # No round is over, so the n-th rows meet and each row is in a pair.
+    ahead = good[n % len(good)] - bad[n % len(bad)]
+    weights = np.zeros(values.shape[1])
+    for _ in range(5000):
+        chance = 1 / (1 + np.exp(-ahead @ weights))
+        weights += 0.2 * (ahead.T @ (1 - chance) / len(n) - 0.1 * weights)
+    assert np.allclose(weights, model.weights, atol=1e-6)
+    assert np.isclose(model.cut, np.quantile(unit @ model.weights, len(bad) / len(values)))
+
+
+def test_a_few_rows_fit_alike_here_and_there(spark):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    here, there = (quality.train(docs, labels, rows=rows, pairs=2000) for rows in (10_000, None))
+    for name in ("centre", "scale", "weights", "cut"):
+        assert np.allclose(getattr(here, name), getattr(there, name), rtol=1e-6, atol=1e-9)

@@ -3,11 +3,13 @@
 A pair says that a document of label 1 beats one of label 0. The probability of that is the logistic
 function of the difference of their scores, and a score is linear in the features, so the weights
 are those of a logistic loss on feature differences. A quantile of the training scores, the
-share of label 0, becomes the threshold.
+share of label 0, becomes the threshold. All labelled rows are learned from: their features are a
+stored table, pairs are dealt by a join, tasks add up the loss's derivatives and only these sums
+and single values come to the driver.
 """
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -16,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from tidewatch.llm.common import held_out, unused
+from tidewatch.llm.common import held_out, stored, unused
+from tidewatch.llm.numbering import numbered
 
 FEATURES = [
     "log_words", "word_length", "distinct_words", "top_word", "short_words", "log_lines",
@@ -93,12 +96,17 @@ class Model:
     cut: float
     threshold: float
 
+    def unit(self, features: Column) -> list[Column]:
+        # Beyond eight deviations a feature says no more.
+        return [
+            F.greatest(F.least((features[at] - c) / s, F.lit(8.0)), F.lit(-8.0))
+            for at, (c, s) in enumerate(zip(self.centre, self.scale))
+        ]
+
     def raw(self, features: Column) -> Column:
         total = F.lit(0.0)
-        for at, (c, s, w) in enumerate(zip(self.centre, self.scale, self.weights)):
-            # Beyond eight deviations a feature says no more.
-            unit = F.greatest(F.least((features[at] - c) / s, F.lit(8.0)), F.lit(-8.0))
-            total = total + unit * F.lit(w)
+        for unit, weight in zip(self.unit(features), self.weights):
+            total = total + unit * F.lit(weight)
         return total
 
     def score(self, features: Column) -> Column:
@@ -107,17 +115,44 @@ class Model:
         return 1 / (1 + F.exp(-(self.raw(features) - self.cut + shift)))
 
 
+def _undecided(bad: int, threshold: float) -> Model:
+    """Nothing to compare: every document scores alike, above the cut unless all are bad."""
+    width = len(FEATURES)
+    cut = 1.0 if bad else -1.0
+    return Model((0.0,) * width, (1.0,) * width, (0.0,) * width, cut, threshold)
+
+
+def _ascend(
+    sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], pairs: int, penalty: float
+) -> np.ndarray:
+    """The weights, by Newton's method; ``sums`` gives slope and curve of the loss over all pairs."""
+    width = len(FEATURES)
+    weights = np.zeros(width)
+    for _ in range(50):
+        slope, curve = sums(weights)
+        step = np.linalg.solve(
+            curve / pairs + penalty * np.eye(width), slope / pairs - penalty * weights
+        )
+        weights += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return weights
+
+
+def _derivatives(ahead: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over some pairs' feature differences, a row each."""
+    chance = 1 / (1 + np.exp(-ahead @ weights))
+    return ahead.T @ (1 - chance), (ahead.T * (chance * (1 - chance))) @ ahead
+
+
 def bradley_terry(
     values: np.ndarray, better: np.ndarray, pairs: int, penalty: float, threshold: float
 ) -> Model:
-    """Fit on rows of ``values``; ``better`` marks label 1. Pairs are dealt evenly: the n-th pair
-    takes the n-th row of either label, round and round with different strides."""
+    """Fit on the few rows of ``values``; ``better`` marks label 1. Pairs are dealt evenly: the n-th
+    pair takes the n-th row of either label, round and round with different strides."""
     good, bad = np.flatnonzero(better), np.flatnonzero(~better)
-    width = len(FEATURES)
     if not len(good) or not len(bad):
-        # Nothing to compare: every document scores alike, above the cut unless all are bad.
-        cut = 1.0 if len(bad) else -1.0
-        return Model((0.0,) * width, (1.0,) * width, (0.0,) * width, cut, threshold)
+        return _undecided(len(bad), threshold)
     centre, scale = values.mean(axis=0), values.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
     unit = np.clip((values - centre) / scale, -8, 8)
@@ -125,19 +160,84 @@ def bradley_terry(
     left = good[rounds % len(good)]
     right = bad[(rounds + rounds // len(good)) % len(bad)]
     ahead = unit[left] - unit[right]
-    weights = np.zeros(width)
-    for _ in range(50):
-        chance = 1 / (1 + np.exp(-ahead @ weights))
-        slope = ahead.T @ (1 - chance) / pairs - penalty * weights
-        curve = (ahead.T * (chance * (1 - chance))) @ ahead / pairs + penalty * np.eye(width)
-        step = np.linalg.solve(curve, slope)
-        weights += step
-        if np.abs(step).max() < 1e-8:
-            break
+    weights = _ascend(lambda weights: _derivatives(ahead, weights), pairs, penalty)
     cut = np.quantile(unit @ weights, len(bad) / len(values), method="linear")
     return Model(*(tuple(map(float, x)) for x in (centre, scale, weights)), float(cut), threshold)
 
 
+def fit(found: DataFrame, pairs: int, penalty: float, threshold: float) -> Model:
+    """``bradley_terry`` of all rows of ``found`` (``__key, __good, features``), however many.
+
+    There are ``pairs`` pairs, or as many as rows of the commoner label if these are more, and the
+    rows of that label take turns, so every row is in a pair. Rows are numbered per label by key.
+    """
+    rows = numbered(found, "__good", [F.col("__key"), F.col("features")], "__at", "labelled")
+    width = len(FEATURES)
+    value = [F.col("features")[at] for at in range(width)]
+    total, good, *moments = rows.agg(
+        F.count(F.lit(1)), F.count_if("__good"), *map(F.avg, value), *map(F.stddev_pop, value)
+    ).first()
+    bad = total - good
+    if not good or not bad:
+        return _undecided(bad, threshold)
+    scale = tuple(value if value > 1e-9 else 1.0 for value in moments[width:])
+    model = Model(tuple(moments[:width]), scale, (0.0,) * width, 0.0, threshold)
+    pairs = max(pairs, good, bad)
+    leads = good >= bad
+    most, fewest = (good, bad) if leads else (bad, good)
+    turn = F.col("id") % most
+    other = (F.col("id") + F.floor(F.col("id") / most)) % fewest
+    unit = rows.select("__good", "__at", F.array(*model.unit(F.col("features"))).alias("unit"))
+    sides = [
+        unit.where(F.col("__good") == label).select(
+            F.col("__at").alias(number), F.col("unit").alias(name)
+        )
+        for label, number, name in ((leads, "turn", "lead"), (not leads, "other", "rest"))
+    ]
+    ahead = F.zip_with("lead", "rest", lambda a, b: a - b if leads else b - a)
+    dealt = (
+        found.sparkSession.range(pairs).select(turn.alias("turn"), other.alias("other"))
+        .join(sides[0], "turn").join(sides[1], "other").select(ahead.alias("ahead"))
+    )
+    dealt = stored(dealt, "pairs")
+    weights = _ascend(lambda weights: _summed(dealt, weights), pairs, penalty)
+    model = replace(model, weights=tuple(map(float, weights)))
+    return replace(model, cut=_quantile(rows, model, total, bad / total))
+
+
+def _summed(dealt: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_derivatives`` over all pairs; a task adds up its own."""
+    width = len(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slope, curve = np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            ahead = np.asarray(batch.column(0).flatten()).reshape(-1, width)
+            more = _derivatives(ahead, weights)
+            slope, curve = slope + more[0], curve + more[1]
+        flat = np.r_[slope, curve.ravel()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(flat))), pa.array(flat)], names=["place", "part"]
+        )
+
+    parts = dealt.mapInArrow(run, "place long, part double").groupBy("place").agg(F.sum("part"))
+    flat = np.zeros(width + width * width)
+    for place, part in parts.collect():
+        flat[place] = part
+    return flat[:width], flat[width:].reshape(width, width)
+
+
+def _quantile(rows: DataFrame, model: Model, total: int, share: float) -> float:
+    """The exact ``share`` quantile of the raw scores of ``total`` rows, between two neighbours in
+    proportion."""
+    place = share * (total - 1)
+    low = int(place)
+    scores = rows.select(F.lit(True).alias("all"), model.raw(F.col("features")).alias("raw"))
+    ranked = numbered(scores, "all", [F.col("raw")], "rank", "ranked")
+    near = dict(ranked.where(F.col("rank").isin(low, low + 1)).select("rank", "raw").collect())
+    return near[low] + (near.get(low + 1, near[low]) - near[low]) * (place - low)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -146,33 +246,35 @@ def train(
     label: str = "quality",
     folds: int = 5,
     held_fold: int = 0,
-    rows: int = 20_000,
+    rows: int | None = None,
     pairs: int = 40_000,
     penalty: float = 1e-3,
     threshold: float = 0.3,
 ) -> Model:
-    """Learn from labelled rows outside the held-out fold.
+    """Learn from all labelled rows outside the held-out fold, by at least ``pairs`` comparisons
+    (see ``fit``).
 
-    ``rows`` bounds the sample of labels (the smallest hashes of the key) and of the documents that
-    have one, ``pairs`` the comparisons; 20,000 rows of 20 numbers are all that reaches the driver.
-    Null labels and labels without a document are left out; a key labelled twice counts twice.
+    Null labels and labels without a document are left out; a key labelled twice counts twice. Only
+    where ``rows`` is given it bounds labels (the smallest hashes of the key) and the documents that
+    have one, and the model is fitted on the driver.
     """
     wanted = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
         .where(~held_out(F.col(key), folds, held_fold))
         .select(F.col(key).alias("__key"), (F.col(label) == 1).alias("__good"))
-        .orderBy(F.xxhash64("__key", F.lit(1)), "__key", "__good")
-        .limit(rows)
     )
+    names = ["__key", "__good", "features"]
+    if rows is None:
+        # Features before the join: it moves numbers, not texts.
+        found = with_features(docs.select(F.col(key).alias("__key"), text), text).drop(text)
+        return fit(found.join(wanted, "__key").select(*names), pairs, penalty, threshold)
+    order = F.xxhash64("__key", F.lit(1))
+    wanted = wanted.orderBy(order, "__key", "__good").limit(rows)
+    labelled = docs.select(key, text).join(F.broadcast(wanted), F.col(key) == F.col("__key"))
     found = (
-        with_features(
-            docs.select(key, text)
-            .join(F.broadcast(wanted), F.col(key) == F.col("__key"))
-            .select("__key", "__good", text),
-            text,
-        )
-        .select("__key", "__good", "features")
-        .orderBy(F.xxhash64("__key", F.lit(1)), "__key", "__good", "features")
+        with_features(labelled.select("__key", "__good", text), text)
+        .select(*names)
+        .orderBy(order, *names)
         .limit(rows)
         .toPandas()
         .sort_values(["__key", "__good"], kind="stable")
