@@ -5,6 +5,7 @@ Everything is computed row by row, so the feed grows with the table and needs no
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewatch.functions import event as ev
 from tidewatch.operators.ingest import enrich_events, filter_events
@@ -133,6 +134,26 @@ def twice(events: DataFrame) -> DataFrame:
     return events.withColumn("copy", F.explode(F.sequence(F.lit(1), deliveries)))
 
 
+def _files(spark: SparkSession) -> int:
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def deliver(rows: DataFrame, folder: str, parts: int) -> None:
+    """Add ``rows`` to ``folder`` in ``parts`` equal parts, each of as many files as there are cores: a
+    part that came as one file would be read and decoded by one task, however large it is."""
+    files = parts * _files(rows.sparkSession)
+    rows.repartition(files).write.mode("append").parquet(folder)
+
+
+def delivered(spark: SparkSession, folder: str, schema: StructType, parts: int = 1) -> DataFrame:
+    """The stream of what ``deliver`` has added, so many ``parts`` to a batch."""
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", parts * _files(spark))
+        .parquet(folder)
+    )
+
+
 def age_files(spark: SparkSession, folder: str, seconds: int) -> None:
     """Make the files of a folder look as if they had been written so much earlier."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -804,9 +804,7 @@ def archive_dedup(spark, sf_dir):
     placed = feed.with_coordinates(feed.enriched(spark, sf_dir))
 
     def run(checkpoint: str) -> None:
-        stream = (
-            spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 2).parquet(arrived)
-        )
+        stream = feed.delivered(spark, arrived, records.schema, parts=2)
         run_available(
             pipelines.records_to_lake_once(stream, path, ledger, checkpoint, None, fold_every=2)
         )
@@ -814,7 +812,7 @@ def archive_dedup(spark, sf_dir):
     checkpoint = work_dir(spark, "checkpoint")
     for delivered in (placed.where("id % 2 = 0"), placed):
         records = topic.encode(delivered)
-        records.repartition(3).write.mode("append").parquet(arrived)
+        feed.deliver(records, arrived, 3)
         run(checkpoint)
     run(work_dir(spark, "checkpoint"))
     return lake.scan_lake(spark, path, days_back=0).select(

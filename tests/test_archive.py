@@ -5,10 +5,12 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from checks import feed
 from tests.build import NOON, raw
 from tidewatch.operators import dedup, ingest
 from tidewatch.plans import pipelines, retention
-from tidewatch.sources import lake, topic
+from tidewatch.schemas import LAKE_SCHEMA
+from tidewatch.sources import lake, payload, topic
 from tidewatch.streaming import archive
 from tidewatch.streaming.queries import run_available
 
@@ -101,3 +103,26 @@ def test_streams_that_start_anew_replace_and_repeat_nothing(spark, at):
         assert ids(lake.scan_lake(spark, at("lake"), days_back=0)) == wanted
     rejects = pipelines.read_quarantine(spark, pipelines.rejects_path(at("lake")))
     assert {row.payload for row in rejects.collect()} == {"{"}
+
+
+def test_a_delivered_part_is_one_batch_and_many_tasks(spark, at):
+    feed.deliver(spark.range(4_000), at("source"), 3)
+    feed.deliver(spark.range(4_000, 6_000), at("source"), 1)
+    seen = []
+
+    def store(batch, _):
+        seen.append((batch.rdd.getNumPartitions(), [row.id for row in batch.collect()]))
+
+    stream = feed.delivered(spark, at("source"), spark.range(0).schema, parts=2)
+    run_available(stream.writeStream.foreachBatch(store).option("checkpointLocation", at("cp")))
+    assert len(seen) == 2 and sorted(sum((ids for _, ids in seen), [])) == list(range(6_000))
+    assert min(tasks for tasks, _ in seen) > 1
+
+
+def test_whether_a_payload_has_any_field_is_one_expression(spark):
+    payloads = spark.createDataFrame([('{"id": 1}',), ('{"id": ',), ("[1]",), ("",), (None,)], "payload string")
+    decoded = payload.decode(payloads, LAKE_SCHEMA)
+    plan = decoded._jdf.queryExecution().analyzed().toString()
+    assert "greatest(" in plan and "OR isnotnull" not in plan
+    reasons = {row.payload: row.reject_reason for row in decoded.collect()}
+    assert reasons.pop('{"id": 1}') is None and set(reasons.values()) == {payload.MALFORMED}
