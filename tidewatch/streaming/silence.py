@@ -25,12 +25,15 @@ _STATE = "arrived long, silent boolean"
 
 
 def _arrivals(records: DataFrame, feed: Column) -> DataFrame:
-    """One row per feed and Arrow batch: that something came is all that matters, so however much
-    comes, few rows meet in the state."""
+    """One row per feed and task: that something came is all that matters, so however much comes, few
+    rows meet in the state."""
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[str | None] = set()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0).unique()], names=["feed"])
+            new = set(batch.column(0).unique().to_pylist()) - known
+            known |= new
+            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["feed"])
 
     return records.select(feed.cast("string").alias("feed")).mapInArrow(seen, "feed string")
 
