@@ -712,12 +712,8 @@ def live_fold(spark, sf_dir):
 def _sketched(spark: SparkSession, sf_dir: str) -> str:
     """The live tables of three batches with sketches of heavy keys, folded after two."""
     arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
-    feed.changes(spark, sf_dir).repartition(3).write.parquet(arrived)
-    stream = (
-        spark.readStream.schema(RECENT_CHANGES_SCHEMA)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(arrived)
-    )
+    feed.deliver(feed.changes(spark, sf_dir), arrived, 3)
+    stream = feed.delivered(spark, arrived, RECENT_CHANGES_SCHEMA)
     checkpoint = work_dir(spark, "checkpoint")
     run_available(streams.live_tables_writer(stream, root, checkpoint, fold_every=2, hitters=True))
     return root

@@ -7,6 +7,7 @@ from checks import compare
 from checks.oracle import all_oracles
 from checks.registry import _QUERIES, all_queries
 from tests.conftest import SMALL, plan_of
+from tidewatch.streaming import live
 
 WRITES = (
     "lake_", "batch_run", "hist_read_", "incremental_", "server_users_sketch", "stream_", "live_sink", "live_fold", "live_page_",
@@ -37,3 +38,16 @@ def test_entry(spark):
     flagship = entry.entry(spark)
     assert flagship.count() > 0
     assert flagship.columns[-2:] == ["rank", "percentile"]
+
+
+@pytest.mark.parametrize("name", ["stream_heavy_pages", "live_fold"])
+def test_no_batch_is_read_by_one_task(spark, name, monkeypatch):
+    tasks, store = [], live.store_live_batch
+
+    def counted(changes, *asked):
+        tasks.append(changes.rdd.getNumPartitions())
+        store(changes, *asked)
+
+    monkeypatch.setattr(live, "store_live_batch", counted)
+    all_queries()[name](spark, SMALL)
+    assert len(tasks) == {"stream_heavy_pages": 3, "live_fold": 6}[name] and min(tasks) > 1
