@@ -627,12 +627,8 @@ _add("stream_traffic_hourly", _stream_traffic("1 hour"))
 def stream_traffic_fold(spark, sf_dir):
     """Hourly windows after six batches that each changed most of them, folded and folded again."""
     arrived, path = work_dir(spark, "arrivals"), work_dir(spark, "traffic")
-    feed.changes(spark, sf_dir).repartition(6).write.parquet(arrived)
-    stream = (
-        spark.readStream.schema(RECENT_CHANGES_SCHEMA)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(arrived)
-    )
+    feed.deliver(feed.changes(spark, sf_dir), arrived, 6)
+    stream = feed.delivered(spark, arrived, RECENT_CHANGES_SCHEMA)
     # The files are in no order of time, so the windows stay open for all of it.
     traffic = streams.traffic_stream(stream, "1 hour", watermark="1000 days")
     run_available(
@@ -697,13 +693,8 @@ def live_sink(spark, sf_dir):
 def live_fold(spark, sf_dir):
     """Traffic after six batches that were folded, and the folds again."""
     arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
-    changes = feed.changes(spark, sf_dir)
-    changes.repartition(6).write.parquet(arrived)
-    stream = (
-        spark.readStream.schema(RECENT_CHANGES_SCHEMA)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(arrived)
-    )
+    feed.deliver(feed.changes(spark, sf_dir), arrived, 6)
+    stream = feed.delivered(spark, arrived, RECENT_CHANGES_SCHEMA)
     checkpoint = work_dir(spark, "checkpoint")
     run_available(streams.live_tables_writer(stream, root, checkpoint, fold_every=2, fold_again=2))
     return streams.read_live_traffic(spark, root, hours=0)
@@ -741,12 +732,8 @@ def _page(read: Callable[..., DataFrame]) -> Query:
     def query(spark, sf_dir):
         arrived, root = work_dir(spark, "arrivals"), work_dir(spark, "live")
         changes = feed.changes(spark, sf_dir)
-        changes.repartition(3).write.parquet(arrived)
-        stream = (
-            spark.readStream.schema(RECENT_CHANGES_SCHEMA)
-            .option("maxFilesPerTrigger", 1)
-            .parquet(arrived)
-        )
+        feed.deliver(changes, arrived, 3)
+        stream = feed.delivered(spark, arrived, RECENT_CHANGES_SCHEMA)
         checkpoint = work_dir(spark, "checkpoint")
         run_available(streams.live_tables_writer(stream, root, checkpoint, fold_every=2))
         newest = changes.agg(F.unix_seconds(F.max("event_time"))).first()[0]
