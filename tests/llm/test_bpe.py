@@ -71,3 +71,35 @@ def test_odd_rows(spark):
     decoded = bpe.decode(encoded, RANKS).collect()
     assert sorted(bytes(row.decoded) for row in decoded) == [b"", b"", b"same", b"same"]
     assert bpe.encode(df.where("false"), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_steps_grow_with_the_longest_piece_not_with_the_vocabulary(monkeypatch):
+    rng, steps, merged = random.Random(3), [], bpe.Merges.merged
+    monkeypatch.setattr(bpe.Merges, "merged", lambda *some: steps.append(1) or merged(*some))
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=10)) for _ in range(3000)]
+    text = " ".join(words)
+    assert ids([text]) == [ORACLE.encode_ordinary(text)]
+    # Two lookups per merge of a matrix of 8 or 12 columns, and one before, twice (head and rest).
+    assert len(steps) < 100
+
+
+def test_odd_segments_between_kept_ones(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 4)
+    encoder = bpe.Encoder(MERGES, public_tokenizers.PATTERN)
+    texts = ["a  b", "a b", "", "a \tb c", "x" * 300 + " " + "y" * 300 + " b", "b a  ", " b  c d e"]
+    for some in (texts, texts[::-1], texts[:3] * 2, texts[4:5]):
+        found = [np.frombuffer(one, dtype=np.int32).tolist() for one in encoder.encode(some)]
+        assert found == [ORACLE.encode_ordinary(text) for text in some]
+        assert len(encoder.segments) <= 4
+
+
+def test_ids_outside_the_vocabulary_are_an_error():
+    tokens = bpe._by_id(RANKS)
+    lists = bpe.pa.array([[0, 1], None, [], [2]], type=bpe.pa.list_(bpe.pa.int32()))
+    assert bpe._joined(lists, tokens).to_pylist() == [
+        b"".join(tokens[n].as_py() for n in some) for some in ([0, 1], [], [], [2])
+    ]
+    assert bpe._joined(lists.slice(1, 2), tokens).to_pylist() == [b"", b""]
+    for bad in ([len(tokens)], [-1], [None]):
+        with pytest.raises((ValueError, IndexError)):
+            bpe._joined(bpe.pa.array([bad], type=lists.type), tokens)
