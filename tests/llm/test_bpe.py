@@ -103,3 +103,13 @@ def test_ids_outside_the_vocabulary_are_an_error():
     for bad in ([len(tokens)], [-1], [None]):
         with pytest.raises((ValueError, IndexError)):
             bpe._joined(bpe.pa.array([bad], type=lists.type), tokens)
+
+
+def test_kept_segments_take_little_memory():
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=10)) for _ in range(20_000)]
+    encoder = bpe.Encoder(MERGES, public_tokenizers.PATTERN)
+    encoder.encode([" ".join(words)])
+    kept = [encoder.segments, encoder.flat, encoder.starts, encoder.sizes]
+    assert len(encoder.segments) > 19_000
+    assert sum(some.nbytes for some in kept) < 64 * len(encoder.segments)

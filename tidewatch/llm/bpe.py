@@ -9,6 +9,7 @@ texts plus a table of bounded size.
 
 import base64
 import heapq
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 
@@ -24,10 +25,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 LONG_PIECE = 200
 WIDTHS = (8, 12, 16, 24, 48, 96, LONG_PIECE)
 # Up to so many segments of up to so many bytes are kept, some 50 bytes each.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000
 KEPT_BYTES = 64
 # Documents are encoded in groups of about this many characters.
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 2 << 20
 # No symbol, behind the end of a piece; no merge, above all ranks.
 PAD, NONE = -1, np.iinfo(np.int32).max
 
@@ -55,16 +56,15 @@ class Merges:
     def __init__(self, ranks: bytes):
         self.rank = _ranks(ranks)
         self.single = np.array([self.rank[bytes([byte])] for byte in range(256)], dtype=np.int32)
-        keys, found = [], []
+        keys, found = array("q"), array("i")
         for token, number in self.rank.items():
             for cut in range(1, len(token)):
                 left, right = self.rank.get(token[:cut]), self.rank.get(token[cut:])
                 if left is not None and right is not None:
                     keys.append(left << 32 | right)
                     found.append(number)
-        order = np.argsort(np.array(keys, dtype=np.int64))
-        self._keys = np.array(keys, dtype=np.int64)[order]
-        self._merged = np.array(found, dtype=np.int32)[order]
+        order = np.argsort(np.array(keys))
+        self._keys, self._merged = np.array(keys)[order], np.array(found)[order]
         self._whole = pa.array(self.rank.keys(), type=pa.binary())
         self._numbers = np.array(list(self.rank.values()), dtype=np.int32)
 
@@ -321,6 +321,8 @@ def _appended(df: DataFrame, column: str, kind, prepare: Callable) -> DataFrame:
         for batch in batches:
             names = [*batch.schema.names, column]
             yield pa.RecordBatch.from_arrays([*batch.columns, function(batch)], names=names)
+            # What Arrow has freed goes back to the system, not to a pool that the process keeps.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
