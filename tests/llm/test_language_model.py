@@ -7,6 +7,7 @@ import pytest
 
 from tests.conftest import SMALL
 from tests.llm.brute import read
+from tidewatch import session
 from tidewatch.llm import language_model as lm
 from tidewatch.llm.queries import QUERIES
 
@@ -129,3 +130,46 @@ def test_model_grows_with_the_corpus(spark):
         runs = [words(r.text) for r in df.select("text").collect()]
         grams = {tuple(run[i : i + order + 1]) for run in runs for i in range(len(run) - order)}
         assert sizes[0][order] < sizes[1][order] == len(grams)
+
+
+@pytest.mark.parametrize("share", [0, 0.004])
+def test_chunks_and_slots_do_not_matter(spark, monkeypatch, share):
+    rng = np.random.default_rng(5)
+    rows = [(n % 70, " ".join(rng.choice(["a", "b", "The", "cat", f"w{n % 9}"], rng.integers(0, 30)))) for n in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lm, "CHUNK_CHARS", 200)
+    monkeypatch.setattr(lm, "SLOT_WORDS", 150)
+    check(rows, lm.train_and_score(df, share=share).collect(), share=share)
+
+
+def test_a_model_scores_other_rows(spark):
+    learned = [(n, f"the cat sat on mat{n % 5} and the dog sat on it") for n in range(30)]
+    asked = [("k", "the cat sat on the dog"), (None, None), ("k", "the dog sat on mat3 and the mat"), ("z", "")]
+    model = lm.train(spark.createDataFrame(learned, "doc_id long, text string"))
+    found = lm.score(spark.createDataFrame(asked, "name string, body string"), model, "name", "body").collect()
+    brute = Brute([text for _, text in learned], share=0)
+    got, wanted = (sorted(part, key=repr) for part in ([tuple(r) for r in found], [(k, *brute.row(t)) for k, t in asked]))
+    assert [r[:4] for r in got] == [r[:4] for r in wanted]
+    assert [r[4:] for r in got] == [pytest.approx(r[4:], rel=1e-9, abs=1e-9) for r in wanted]
+
+
+def test_nothing_but_the_scores_stays_on_disk(spark, tmp_path, monkeypatch):
+    """Texts with few repeats: their n-grams as stored rows are several times their size."""
+    rng = np.random.default_rng(1)
+    rows = [(n, " ".join(f"{word:x}" for word in rng.zipf(1.3, 2000) % 1_000_000)) for n in range(300)]
+    documents, folder, sizes = tmp_path / "documents", tmp_path / "shared", []
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(documents))
+
+    def size(top):
+        return sum(file.stat().st_size for file in top.rglob("*") if file.is_file())
+
+    def root(spark, shared):
+        sizes.append(size(folder))
+        return str(folder)
+
+    folder.mkdir()
+    monkeypatch.setattr(session, "_session_root", root)
+    scored = lm.train_and_score(spark.read.parquet(str(documents)))
+    assert max(sizes) < 2 * size(documents) and size(folder) < 0.1 * size(documents)
+    assert [part.name.split("-")[0] for part in folder.iterdir()] == ["scores"]
+    assert scored.count() == 300

@@ -33,7 +33,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
     Cuts the lineage: a lost executor costs a re-read, and several readers cost one computation.
     """
-    path = work_dir(df.sparkSession, purpose)
+    return stored_at(df, work_dir(df.sparkSession, purpose))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

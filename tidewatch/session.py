@@ -4,6 +4,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -53,8 +55,26 @@ def clean(spark: SparkSession) -> None:
     """Delete all work folders of this session; call it when their results have been read."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_session_root(spark, root))
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        remove(spark, _session_root(spark, root))
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete one folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries begun within leave no shuffle files: these go as each query ends, not when the driver
+    next collects garbage. For queries that are run once, as a plan run again makes them anew."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 @cache
