@@ -27,7 +27,7 @@ END = b""
 ORDER = 3
 DISCOUNT = 0.5
 # Bytes of texts that a chunk holds, and words of all texts for each slot.
-CHUNK_CHARS = 8 << 20
+CHUNK_CHARS = 6 << 20
 SLOT_WORDS = 1 << 20
 # Tells the hash that deals n-grams to slots from the one that names them within a slot.
 SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -185,9 +185,9 @@ def _grams(texts: _Texts, sizes: list[int], slots: int) -> Iterator[_Grams]:
         first = ends[first]
         slot = ((_mix(deal[first] ^ SALT) >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)
         by = np.argsort(slot.astype(np.min_scalar_type(slots)), kind="stable")
-        rank = np.empty(len(by), dtype=np.int64)
+        rank = np.empty(len(by), dtype=np.int32)
         rank[by] = np.arange(len(by))
-        which = np.full(len(key), -1)
+        which = np.full(len(key), -1, dtype=np.int32)
         which[ends] = rank[inverse]
         yield _Grams(keys[by], np.searchsorted(slot[by], np.arange(slots + 1)), first[by], which)
 
@@ -429,7 +429,7 @@ def _walk(model: Automaton, slots: int) -> Callable[[pa.Table, pa.Table], pa.Tab
             left[taken] = False
             # A history that was never seen is no state.
             failed = failed[history.count[history.grams.which[failed - 1]] > 0]
-            pairs = history.grams.which[failed - 1] * several + texts.text[failed]
+            pairs = history.grams.which[failed - 1].astype(np.int64) * several + texts.text[failed]
             pairs, often = np.unique(pairs, return_counts=True)
             states, state = np.unique(pairs // several, return_inverse=True)
             shorter = np.zeros_like(states)
@@ -457,6 +457,7 @@ def _walk(model: Automaton, slots: int) -> Callable[[pa.Table, pa.Table], pa.Tab
                     ],
                 })
         words = arcs[0].count[arcs[0].grams.which]
+        pa.default_memory_pool().release_unused()
         if row["scored"]:
             chance = np.where(words > 0, (1 - unknown) * words / max(tokens, 1), unknown)
             logs[left] = np.log10(chance[left])
@@ -489,26 +490,33 @@ def _weigh(model: Automaton) -> Callable[[pa.Table], pa.Table]:
 
     def weigh(table: pa.Table) -> pa.Table:
         size, sent = table["size"][0].as_py(), table["sums"].to_pylist()
-        keys = np.concatenate([_unpack(part[0], True) for part in sent])
-        keys, which = np.unique(keys, return_inverse=True)
+        keys, _, which = _unique(np.concatenate([_unpack(part[0], True) for part in sent]))
         arcs, taken, shorter = (
             np.bincount(which, np.concatenate([_unpack(part[n]) for part in sent]), len(keys)) for n in (1, 2, 3)
         )
+        fails = table["fails"].to_pylist()
+        states = [_unpack(part[0], True) for part in fails]
+        stops = np.cumsum([len(part) for part in states])
+        states = np.concatenate(states)
+        times, below = (np.concatenate([_unpack(part[n]) for part in fails]).astype(np.int64) for n in (1, 2))
+        # Without arcs, a history is no state and costs nothing.
+        at = np.searchsorted(keys, states)
+        known = np.flatnonzero(at < len(keys))
+        known = known[keys[at[known]] == states[known]]
+        at, times, below = at[known], times[known], below[known]
+        kept_back = (times - taken[at] + discount * arcs[at]) / times
+        if size > 1:
+            others = (below - shorter[at] + discount * arcs[at]) / below
+        else:
+            others = (tokens - (1 - unknown) * shorter[at]) / tokens
+        costs = np.zeros(len(states))
+        costs[known] = np.log10(np.maximum(kept_back, LEAST) / np.maximum(others, LEAST))
         chunks, losers, losses = [], [], []
-        for chunk, part in zip(table["chunk"].to_pylist(), table["fails"].to_pylist()):
-            states, state = _unpack(part[0], True), _unpack(part[3], True).astype(np.int64)
-            times, below, text, often = (_unpack(part[n]).astype(np.int64) for n in (1, 2, 4, 5))
-            # Without arcs, a history is no state and costs nothing.
-            known = np.flatnonzero(np.isin(states, keys))
-            at, times, below = np.searchsorted(keys, states[known]), times[known], below[known]
-            kept_back = (times - taken[at] + discount * arcs[at]) / times
-            if size > 1:
-                others = (below - shorter[at] + discount * arcs[at]) / below
-            else:
-                others = (tokens - (1 - unknown) * shorter[at]) / tokens
-            lost = np.zeros(len(states))
-            lost[known] = np.log10(np.maximum(kept_back, LEAST) / np.maximum(others, LEAST))
-            loss = np.bincount(text, often * lost[state])
+        for chunk, part, cost in zip(table["chunk"].to_pylist(), fails, np.split(costs, stops[:-1])):
+            if not len(cost):
+                continue
+            state, text, often = (_unpack(part[n], n == 3).astype(np.int64) for n in (3, 4, 5))
+            loss = np.bincount(text, often * cost[state])
             some = np.flatnonzero(loss)
             if len(some):
                 chunks.append(chunk)
