@@ -67,6 +67,57 @@ def test_plain_characters_keep_their_kind(library):
     assert encoded(subwords.Encoder(DEFINITION), texts) == ids_of(library, texts)
 
 
+def test_frequent_segments_stay_known(library, monkeypatch):
+    """A segment that comes back in every other batch is learned once, whatever rare ones come after."""
+    learn, learned = subwords.Encoder._learn, []
+
+    def seen(self, segments):
+        learned.extend(map(str, segments))
+        return learn(self, segments)
+
+    monkeypatch.setattr(subwords, "CACHE_ENTRIES", 100)
+    monkeypatch.setattr(subwords.Encoder, "_learn", seen)
+    encoder = subwords.Encoder(DEFINITION)
+    usual = [f"{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    encoded(encoder, [" ".join(usual)])
+    for turn in range(12):
+        rare = [f"{a}{b}{'z' * turn}q" for a in "ghijklmn" for b in "opqrst"]
+        text = " ".join(rare if turn % 2 else rare + usual)
+        assert encoded(encoder, [text]) == ids_of(library, [text])
+    assert [learned.count(word) for word in usual] == [1] * len(usual)
+    assert len(encoder.words) <= 100
+
+
+def test_parts_of_a_batch_are_equal():
+    """No small rest that costs as many lookups as a whole part."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(220))], names=["key"])
+
+    def parts(sizes, most):
+        return [some.num_rows for some in token_files._slices(batch, np.array(sizes), most)]
+
+    assert parts([1] * 220, 200) == [220]
+    assert parts([1] * 220, 100) == [110, 110]
+    assert parts([0] * 220, 100) == [220]
+    assert parts([100] * 220, 100) == [1] * 220
+
+
+@pytest.mark.parametrize("most, width", [(1, 1), (255, 1), (256, 2), (2**24, 4), (2**32 - 1, 4)])
+def test_planes_have_the_bytes_of_the_largest_id(most, width):
+    counts = [0, 3, 0, 5, 1]
+    ids = np.array([most, 0, 1, 0, most - 1, 0, 0, 0, most // 2], dtype=np.uint32)
+    planes = token_files._planes(ids, np.array(counts))
+    assert [len(some) for some in planes] == [width * n for n in counts]
+    assert np.array_equal(np.concatenate([token_files._ids(*some) for some in zip(planes, counts)]), ids)
+
+
+def test_tokens_between_the_steps_are_small(spark, library):
+    texts = ["some words, and others", None, "", "word " * 500]
+    frame = spark.createDataFrame(enumerate(texts), "doc_id long, text string").coalesce(1)
+    found = token_files.tokenize(frame, DEFINITION, END_ID, "doc_id", "text").where("ids IS NULL")
+    sizes = [len(ids) + 1 for ids in ids_of(library, [text or "" for text in texts])]
+    assert [(row.n, len(row.planes)) for row in found.orderBy("key").collect()] == [(n, 2 * n) for n in sizes]
+
+
 # --- the code -----------------------------------------------------------------------------
 
 

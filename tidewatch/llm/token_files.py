@@ -53,20 +53,27 @@ def _code(table: tuple[bytes, bytes]) -> huffman.Code:
     return _codes[key]
 
 
-def _planes(ids: np.ndarray) -> bytes:
-    """32-bit integers as four runs of bytes, low ones first: most of the high ones are zero, which
-    the store's compression sees."""
-    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _planes(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """For documents of ``counts`` 32-bit integers in ``ids``: as many runs of bytes as the largest
+    integer has, low ones first, which the store's compression sees."""
+    width = max(1, (int(ids.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T)
+    stops = np.cumsum(counts).tolist()
+    return [planes[:, start:stop].tobytes() for start, stop in zip([0, *stops], stops)]
 
 
-def _ids(planes: bytes) -> np.ndarray:
-    raw = np.frombuffer(planes, dtype=np.uint8).reshape(4, len(planes) // 4)
-    return np.ascontiguousarray(raw.T).view("<u4").ravel()
+def _ids(planes: bytes, count: int) -> np.ndarray:
+    out = np.zeros((count, 4), dtype=np.uint8)
+    if count:
+        out[:, : len(planes) // count] = np.frombuffer(planes, dtype=np.uint8).reshape(-1, count).T
+    return out.view("<u4").ravel()
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose ``sizes`` add up to about ``most``, to bound what a step holds."""
-    turns = (np.cumsum(sizes) - sizes) // most
+    """Parts of a batch whose ``sizes`` add up to about ``most``, to bound what a step holds. They are
+    as equal as whole rows allow: each costs a look at all known segments."""
+    total = int(sizes.sum())
+    turns = (np.cumsum(sizes) - sizes) * max(1, round(total / most)) // max(1, total)
     starts = np.flatnonzero(np.r_[True, turns[1:] != turns[:-1]]) if len(turns) else []
     for start, stop in zip(starts, [*starts[1:], len(turns)]):
         yield batch.slice(start, stop - start)
@@ -93,7 +100,6 @@ def tokenize(docs: DataFrame, definition: str, end: int | None, key: str, text:
     """``key, n, planes`` of every row: its ids (a null text has none) and ``end`` after them. One more
     row of every task has ``ids`` and ``counts`` instead: how often each id came up in it."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)
-    last = np.array([] if end is None else [end], dtype=np.uint32)
     kind = docs.schema[key].dataType
 
     def rows(keys: pa.Array, counts: np.ndarray, planes: list[bytes]) -> pa.RecordBatch:
@@ -108,11 +114,15 @@ def tokenize(docs: DataFrame, definition: str, end: int | None, key: str, text:
             key_type = whole.column(0).type
             for batch in _slices(whole, _bytes(whole), TEXT_BYTES):
                 ids, counts = encoder.encode(batch.column(1))
-                found = np.bincount(np.concatenate([ids, np.repeat(last, len(counts))]), minlength=len(held))
-                found[: len(held)] += held
-                held = found
-                each = [np.concatenate([some, last]) for some in np.split(ids, np.cumsum(counts)[:-1])]
-                yield rows(batch.column(0), counts + len(last), [_planes(some) for some in each])
+                if end is not None:
+                    ids, counts = np.insert(ids, np.cumsum(counts), end), counts + 1
+                for first in range(0, len(ids), CODED_IDS):
+                    found = np.bincount(ids[first : first + CODED_IDS], minlength=len(held))
+                    found[: len(held)] += held
+                    held = found
+                yield rows(batch.column(0), counts, _planes(ids, counts))
+                # What Arrow has freed goes back to the system, not to a pool that the process keeps.
+                pa.default_memory_pool().release_unused()
         some = np.flatnonzero(held)
         if len(some):
             counted = [pa.array([column.tobytes()]) for column in (some, held[some])]
@@ -168,8 +178,9 @@ def write(
         table = _code(shared.value)
         for whole in batches:
             for batch in _slices(whole, whole.column(1).to_numpy(), CODED_IDS):
-                joined = np.concatenate([_ids(value.as_py()) for value in batch.column(2)])
-                payloads, lanes = table.encode(joined, batch.column(1).to_numpy())
+                counts = batch.column(1).to_numpy()
+                each = zip(batch.column(2).to_pylist(), counts.tolist())
+                payloads, lanes = table.encode(np.concatenate([_ids(*some) for some in each]), counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
